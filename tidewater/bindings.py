@@ -16,10 +16,25 @@ from .functions import scalars as S
 from .session import prepare
 
 DATABASE = "shop"
+DAY = 86_400
+
+
+# Tables that grow with the data, with columns that tell their rows apart.
+SPREAD = {
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+    "orders": ("o_orderkey",),
+    "events": ("event_id",),
+}
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
+    """A test table. One that comes in fewer files than there are cores is spread
+    over the cores first; a table of many files is read as it lies."""
+    df = prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if table in SPREAD and len(df.inputFiles()) < cores:
+        df = df.repartition(cores, *SPREAD[table])
+    return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,89 +232,144 @@ def _payment_code() -> Column:
     return F.substring("o_orderpriority", 1, 1)
 
 
-def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of the order, payment, refund, cart and comment tables.
-
-    A filter on the table name leaves only the branches of that table, so a reader of
-    one table scans only what that table comes from.
-    """
-    lines, orders = _lines(spark, sf_dir), _orders(spark, sf_dir)
-    parts = load(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
+def _order_info(spark, sf_dir):
+    """Orders placed; cancelled (P), set to refund (F, O) and refunded (F) later."""
+    orders = _orders(spark, sf_dir)
     order = dict(id=_text("o_orderkey"), user_id=_text("o_custkey"),
                  province_id=_text("c_nationkey"))
-    placed = _epoch("o_orderdate")
-
-    def moved(df, old, new, days):
-        when = placed + days * 86_400
-        return _change(df, "order_info", "update",
-                       _map(**order, order_status=F.lit(new),
-                            operate_time=S.millis_to_datetime(when * 1000)),
-                       _map(order_status=F.lit(old)), when)
-
-    status = F.col("o_orderstatus")
-    refunded = lines.where("l_returnflag = 'R'")
-    with_order = refunded.join(
-        load(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"),
-        "l_orderkey")
-    refund = dict(id=F.col("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"),
-                  refund_num=_money("l_quantity"), refund_amount=_money("l_extendedprice"))
-    reason = F.least("l_linenumber", F.lit(5))
-    parts_of = [
+    placed, status = _epoch("o_orderdate"), F.col("o_orderstatus")
+
+    def moved(rows, old, new, days):
+        when = placed + days * DAY
+        data = _map(**order, order_status=F.lit(new),
+                    operate_time=S.millis_to_datetime(when * 1000))
+        return _change(rows, "order_info", "update", data, _map(order_status=F.lit(old)), when)
+
+    return [
         _change(orders, "order_info", "insert",
                 _map(**order, order_status=F.lit("1001"), create_time=_datetime("o_orderdate")),
                 None, placed),
         moved(orders.where(status == "P"), "1001", "1003", 1),
         moved(orders.where(status != "P"), "1002", "1005", 6),
         moved(orders.where(status == "F"), "1005", "1006", 7),
-        _change(orders.where(status != "P"), "payment_info", "update",
-                _map(order_id=_text("o_orderkey"), user_id=_text("o_custkey"),
-                     payment_type=_payment_code(),
-                     payment_status=F.when(status == "F", "1602").otherwise("1601"),
-                     callback_time=S.millis_to_datetime((placed + 5 * 86_400) * 1000)),
-                _map(payment_status=F.lit("1600")), placed + 5 * 86_400),
-        _change(lines.join(parts, "l_partkey"), "order_detail", "insert",
-                _map(id=F.col("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"),
-                     sku_name=F.col("p_name"), create_time=_datetime("l_shipdate"),
-                     sku_num=_money("l_quantity"), order_price=_money("p_retailprice"),
-                     split_total_amount=_money("l_extendedprice"),
-                     split_activity_amount=F.col("activity"),
-                     split_coupon_amount=F.col("coupon")),
-                None, F.col("ship")),
-        _change(lines.where("l_discount > 0.05").groupBy("id")
-                .agg(F.min("ship").alias("ship"), F.max("l_suppkey").alias("l_suppkey")),
-                "order_detail_activity", "insert",
-                _map(order_detail_id=F.col("id"), activity_id=_text("l_suppkey"),
-                     activity_rule_id=F.lit("1")), None, F.col("ship")),
-        _change(lines.where("l_tax > 0.04").groupBy("id")
-                .agg(F.min("ship").alias("ship"), F.min("l_suppkey").alias("l_suppkey")),
-                "order_detail_coupon", "insert",
-                _map(order_detail_id=F.col("id"), coupon_id=_text("l_suppkey")),
-                None, F.col("ship")),
-        _change(with_order, "order_refund_info", "insert",
-                _map(**refund, user_id=_text("o_custkey"), refund_type=_payment_code(),
-                     refund_reason_type=reason, refund_reason_txt=F.col("l_linestatus"),
-                     create_time=_datetime("l_shipdate"), refund_status=F.lit("0701")),
-                None, F.col("ship")),
-        _change(refunded.where("l_linestatus = 'F'"), "order_refund_info", "update",
-                _map(**refund, refund_status=F.lit("0705")),
-                _map(refund_status=F.lit("0702")), F.col("ship") + 86_400),
-        _change(with_order.where("l_linestatus = 'F'"), "refund_payment", "update",
-                _map(id=F.col("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"),
-                     payment_type=_payment_code(),
-                     callback_time=S.millis_to_datetime((F.col("ship") + 86_400) * 1000),
-                     total_amount=_money("l_extendedprice"), refund_status=F.lit("1602")),
-                _map(refund_status=F.lit("1601")), F.col("ship") + 86_400),
-        cart_changes(spark, sf_dir), comment_changes(spark, sf_dir),
     ]
-    out = parts_of[0]
-    for part in parts_of[1:]:
+
+
+def _payment_info(spark, sf_dir):
+    """Payments five days after the order: successful for F, still open for O."""
+    orders = load(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
+    when = _epoch("o_orderdate") + 5 * DAY
+    data = _map(order_id=_text("o_orderkey"), user_id=_text("o_custkey"),
+                payment_type=_payment_code(),
+                payment_status=F.when(F.col("o_orderstatus") == "F", "1602").otherwise("1601"),
+                callback_time=S.millis_to_datetime(when * 1000))
+    return [_change(orders, "payment_info", "update", data, _map(payment_status=F.lit("1600")),
+                    when)]
+
+
+def _order_detail(spark, sf_dir):
+    parts = load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
+    rows = _lines(spark, sf_dir).join(parts, "l_partkey")
+    data = _map(id=F.col("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"),
+                sku_name=F.col("p_name"), create_time=_datetime("l_shipdate"),
+                sku_num=_money("l_quantity"), order_price=_money("p_retailprice"),
+                split_total_amount=_money("l_extendedprice"),
+                split_activity_amount=F.col("activity"), split_coupon_amount=F.col("coupon"))
+    return [_change(rows, "order_detail", "insert", data, None, F.col("ship"))]
+
+
+def _order_detail_activity(spark, sf_dir):
+    rows = (_lines(spark, sf_dir).where("l_discount > 0.05").groupBy("id")
+            .agg(F.min("ship").alias("ship"), F.max("l_suppkey").alias("l_suppkey")))
+    data = _map(order_detail_id=F.col("id"), activity_id=_text("l_suppkey"),
+                activity_rule_id=F.lit("1"))
+    return [_change(rows, "order_detail_activity", "insert", data, None, F.col("ship"))]
+
+
+def _order_detail_coupon(spark, sf_dir):
+    rows = (_lines(spark, sf_dir).where("l_tax > 0.04").groupBy("id")
+            .agg(F.min("ship").alias("ship"), F.min("l_suppkey").alias("l_suppkey")))
+    data = _map(order_detail_id=F.col("id"), coupon_id=_text("l_suppkey"))
+    return [_change(rows, "order_detail_coupon", "insert", data, None, F.col("ship"))]
+
+
+def _returned(spark, sf_dir, with_order: bool):
+    rows = _lines(spark, sf_dir).where("l_returnflag = 'R'")
+    if not with_order:
+        return rows
+    return rows.join(load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"), "l_orderkey")
+
+
+def _refund_data(**more) -> Column:
+    return _map(id=F.col("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"),
+                refund_num=_money("l_quantity"), refund_amount=_money("l_extendedprice"), **more)
+
+
+def _order_refund_info(spark, sf_dir):
+    """Refund requests for returned lines, finished a day later where the line is F."""
+    asked = _refund_data(
+        user_id=_text("o_custkey"), refund_type=_payment_code(),
+        refund_reason_type=F.least("l_linenumber", F.lit(5)),
+        refund_reason_txt=F.col("l_linestatus"), create_time=_datetime("l_shipdate"),
+        refund_status=F.lit("0701"))
+    done = _returned(spark, sf_dir, False).where("l_linestatus = 'F'")
+    return [
+        _change(_returned(spark, sf_dir, True), "order_refund_info", "insert", asked, None,
+                F.col("ship")),
+        _change(done, "order_refund_info", "update", _refund_data(refund_status=F.lit("0705")),
+                _map(refund_status=F.lit("0702")), F.col("ship") + DAY),
+    ]
+
+
+def _refund_payment(spark, sf_dir):
+    rows = _returned(spark, sf_dir, True).where("l_linestatus = 'F'")
+    data = _map(id=F.col("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"),
+                payment_type=_payment_code(),
+                callback_time=S.millis_to_datetime((F.col("ship") + DAY) * 1000),
+                total_amount=_money("l_extendedprice"), refund_status=F.lit("1602"))
+    return [_change(rows, "refund_payment", "update", data, _map(refund_status=F.lit("1601")),
+                    F.col("ship") + DAY)]
+
+
+def order_changes(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+    """Changes of the order, payment, refund, cart and comment tables, or of those
+    named. A filter on table and type leaves only the branches it asks for, so a
+    reader of one table scans only what that table comes from."""
+    parts = [part for name, build in CHANGED.items() if not tables or name in tables
+             for part in build(spark, sf_dir)]
+    out = parts[0]
+    for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_detail_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order-detail fact table as its readers find it, without promotions."""
+    parts = load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
+    orders = _orders(spark, sf_dir).select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "c_nationkey")
+    rows = _lines(spark, sf_dir).join(parts, "l_partkey").join(orders, "l_orderkey")
+    none = F.lit(None).cast("string")
+    return rows.select(
+        "id", _text("l_orderkey").alias("order_id"), _text("o_custkey").alias("user_id"),
+        _text("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
+        _text("c_nationkey").alias("province_id"), none.alias("activity_id"),
+        none.alias("activity_rule_id"), none.alias("coupon_id"),
+        F.date_format("l_shipdate", S.DATE).alias("date_id"),
+        _datetime("l_shipdate").alias("create_time"),
+        _money("l_quantity").cast("string").alias("sku_num"),
+        (_money("l_quantity") * _money("p_retailprice")).cast(S.AMOUNT).cast("string")
+        .alias("split_original_amount"),
+        _text("activity").alias("split_activity_amount"),
+        _text("coupon").alias("split_coupon_amount"),
+        _money("l_extendedprice").cast("string").alias("split_total_amount"),
+        F.col("ship").alias("ts"))
+
+
+def _cart_info(spark, sf_dir):
     """Cart inserts for sign-ups and purchases, quantity updates for views and clicks,
     other updates for errors."""
     k = F.col("k")
@@ -308,19 +378,31 @@ def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _map(id=F.col("seq"), user_id=F.col("user"), sku_id=k, sku_num=k % 5 + 1)
     old = (F.when(F.col("event_type").isin("view", "click"), _map(sku_num=k % 7))
            .when(F.col("event_type") == "error", _map(sku_id=k + 1)))
-    return ev.select(
+    return [ev.select(
         F.lit(DATABASE).alias("database"), F.lit("cart_info").alias("table"),
         kind.alias("type"), data.alias("data"), old.alias("old"),
-        F.floor(F.col("ts") / 1000).alias("ts"))
+        F.floor(F.col("ts") / 1000).alias("ts"))]
 
 
-def comment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _comment_info(spark, sf_dir):
     ev = events(spark, sf_dir).where("event_type = 'purchase'")
-    return _change(ev, "comment_info", "insert",
-                   _map(id=F.col("seq"), user_id=F.col("user"), sku_id=F.col("k"),
-                        appraise=F.col("k") % 6 + 1, comment_txt=F.col("event_type"),
-                        create_time=S.millis_to_datetime(F.col("ts"))),
-                   None, F.floor(F.col("ts") / 1000))
+    data = _map(id=F.col("seq"), user_id=F.col("user"), sku_id=F.col("k"),
+                appraise=F.col("k") % 6 + 1, comment_txt=F.col("event_type"),
+                create_time=S.millis_to_datetime(F.col("ts")))
+    return [_change(ev, "comment_info", "insert", data, None, F.floor(F.col("ts") / 1000))]
+
+
+CHANGED = {
+    "order_info": _order_info,
+    "payment_info": _payment_info,
+    "order_detail": _order_detail,
+    "order_detail_activity": _order_detail_activity,
+    "order_detail_coupon": _order_detail_coupon,
+    "order_refund_info": _order_refund_info,
+    "refund_payment": _refund_payment,
+    "cart_info": _cart_info,
+    "comment_info": _comment_info,
+}
 
 
 def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:

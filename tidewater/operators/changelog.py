@@ -50,40 +50,41 @@ def route_facts(log: DataFrame, config: DataFrame) -> DataFrame:
         "ts", "seq")
 
 
-def dim_cells(routed: DataFrame, order: list[str] = ["ts", "seq"]) -> DataFrame:
-    """Dimension rows after all changes, one row per table, key and column.
+# Stands for the whole row in a list of columns.
+ROW = ""
 
-    A deletion removes the row, any other change writes its non-null columns. Per
-    column only the newest value and per row only the newest deletion matter, so
-    this is one pre-aggregated maximum per column and one per row, not a replay.
+
+def dim_rows(routed: DataFrame, order: list[str] = ["ts", "seq"]) -> DataFrame:
+    """Dimension rows after all changes: sink_table, row_key, fields, a map.
+
+    A deletion removes the row, any other change writes its non-null columns. So per
+    column only the newest value matters and per row only the newest deletion. Both
+    are one pre-aggregated maximum per column, not a replay of the row's changes;
+    what then meets per row is at most one entry per configured column.
     """
     at = F.struct(*order)
-    not_deleted = F.col("op_type") != "delete"
-    cells = (routed.where(not_deleted)
-             .select("sink_table", "row_key", at.alias("at"),
-                     F.explode("data").alias("column", "value"))
-             .where("value is not null and column <> 'op_type'")
-             .groupBy("sink_table", "row_key", "column")
-             .agg(F.max(F.struct("at", "value")).alias("newest")))
-    deleted = (routed.where(~not_deleted)
-               .groupBy("sink_table", "row_key").agg(F.max(at).alias("deleted_at")))
-    return (cells.join(deleted, ["sink_table", "row_key"], "left")
-            .where("deleted_at is null or newest.at > deleted_at")
-            .select("sink_table", "row_key", "column", F.col("newest.value").alias("value"),
-                    F.col("newest.at").alias("at")))
-
-
-def dim_rows(cells: DataFrame) -> DataFrame:
-    """Dimension rows with their columns as a map; at most the configured columns."""
-    return cells.groupBy("sink_table", "row_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("fields"))
-
-
-def dim_table(cells: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    written = F.map_filter("data", lambda k, v: (k != "op_type") & v.isNotNull())
+    gone = F.create_map(F.lit(ROW), F.lit(None).cast("string"))
+    newest = (routed.select(
+        "sink_table", "row_key", at.alias("at"),
+        F.explode(F.when(F.col("op_type") == "delete", gone).otherwise(written))
+        .alias("column", "value"))
+        .groupBy("sink_table", "row_key", "column")
+        .agg(F.max(F.struct("at", "value")).alias("newest")))
+    rows = newest.groupBy("sink_table", "row_key").agg(
+        F.collect_list(F.struct("column", "newest.value", "newest.at")).alias("cells"),
+        F.max(F.when(F.col("column") == ROW, F.col("newest.at"))).alias("gone"))
+    alive = F.filter("cells", lambda c: (c["column"] != ROW) & (
+        F.col("gone").isNull() | (c["at"] > F.col("gone"))))
+    return (rows.withColumn("cells", alive).where(F.size("cells") > 0)
+            .select("sink_table", "row_key", F.map_from_entries(F.transform(
+                "cells", lambda c: F.struct(c["column"], c["value"]))).alias("fields")))
+
+
+def dim_table(rows: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """One dimension table with its columns side by side."""
-    wanted = cells.where((F.col("sink_table") == table) & F.col("column").isin(*columns))
-    return wanted.groupBy("row_key").agg(
-        *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
+    return rows.where(F.col("sink_table") == table).select(
+        "row_key", *[F.col("fields")[c].alias(c) for c in columns])
 
 
 def upsert_latest(df: DataFrame, keys: list[str], order: list[str],

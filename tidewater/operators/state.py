@@ -102,27 +102,24 @@ def delta_groups(df: DataFrame, key: str, time: str, order: list[str],
     before. Columns: key, amounts, carry, copies, and own, the row's own carried
     columns, on which the copies - 1 further rows of zero amounts belong.
 
-    A key is cut into its days. Inside a day the row before is found by a window on
-    (key, day); the first row of a day takes the last row of the key's day before,
-    found on one row per key and day. Equal rows are first brought together by a
-    pre-aggregated count, so copies of one row are no group either.
+    Equal rows are first brought together by a pre-aggregated count. A key is then cut
+    into its days: inside a day the row before is found on (key, day). The first row
+    of a day needs the last row of the key's day before, so the first and last rows of
+    all days of a key, and only those, meet in a second window. The order must start
+    with the time.
     """
     cols = list(dict.fromkeys([key, time, *order, *amounts, *carry]))
     rows = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
             .withColumn("_day", F.to_date(time)))
     here = F.struct(*amounts, *carry)
-    inside = Window.partitionBy(key, "_day").orderBy(*order)
-    with_prev = rows.withColumn("_prev", F.lag(here).over(inside))
-    day_last = rows.groupBy(key, "_day").agg(
-        F.max_by(here, F.struct(*order)).alias("_last"))
-    before = (day_last
-              .withColumn("_before", F.lag("_last").over(
-                  Window.partitionBy(key).orderBy("_day")))
-              .select(key, "_day", "_before"))
-    prev = F.coalesce("_prev", "_before")
-    joined = with_prev.join(before, [key, "_day"], "left").withColumn("_p", prev)
+    in_day = Window.partitionBy(key, "_day").orderBy(*order)
+    rows = rows.select("*", F.lag(here).over(in_day).alias("_prev"),
+                       F.lead(F.lit(1)).over(in_day).isNull().alias("_last"))
+    edge = F.col("_prev").isNull() | F.col("_last")
+    at_edge = (Window.partitionBy(key, F.when(~edge, F.col("_day"))).orderBy(*order))
+    rows = rows.select("*", F.coalesce("_prev", F.lag(here).over(at_edge)).alias("_p"))
     first = F.col("_p").isNull()
-    return joined.select(
+    return rows.select(
         key,
         *[F.when(first, F.col(a)).otherwise(F.col(a) - F.col(f"_p.{a}")).alias(a)
           for a in amounts],
@@ -131,27 +128,31 @@ def delta_groups(df: DataFrame, key: str, time: str, order: list[str],
         F.struct(*carry).alias("own"))
 
 
+def _with_zeros(groups: DataFrame, amounts: list[str], carry: list[str], times) -> DataFrame:
+    """The correction row and, for copies, the zero row that is due _n times."""
+    types = {f.name: f.dataType for f in groups.schema.fields}
+    keys = [c for c in groups.columns if c not in (*amounts, *carry, "copies", "own")]
+    changed = F.struct(*amounts, *carry, F.lit(1).cast("long").alias("_n"))
+    zero = F.struct(*[F.lit(0).cast(types[a]).alias(a) for a in amounts],
+                    *[F.col(f"own.{c}").alias(c) for c in carry],
+                    times.cast("long").alias("_n"))
+    both = F.when(F.col("copies") > 1, F.array(changed, zero)).otherwise(F.array(changed))
+    return groups.select(*keys, F.inline(both))
+
+
 def delta_rows(groups: DataFrame, amounts: list[str], carry: list[str]) -> DataFrame:
     """One row per input row of the delta correction. Many copies of a row are
-    spread over tasks in chunks."""
-    changed = groups.drop("copies", "own")
-    key = [c for c in changed.columns if c not in (*amounts, *carry)]
-    left = F.col("copies") - 1
-    chunks = (groups.where("copies > 1")
-              .select(*key, F.col("own.*"), left.alias("_left"),
-                      F.explode(F.sequence(F.lit(0), F.floor((left - 1) / COPY_CHUNK))).alias("_c"))
-              .repartition(*key, "_c"))
-    n = F.least(F.lit(COPY_CHUNK), F.col("_left") - F.col("_c") * COPY_CHUNK)
-    zeros = chunks.select(
-        *key, *[F.lit(0).cast(groups.schema[a].dataType).alias(a) for a in amounts], *carry,
-        F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("_i")).drop("_i")
-    return changed.unionByName(zeros)
+    written out in chunks by several tasks."""
+    rows = _with_zeros(groups, amounts, carry, F.col("copies") - 1)
+    out = [c for c in rows.columns if c != "_n"]
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"),
+                                 F.floor((F.col("_n") - 1) / COPY_CHUNK))).alias("_c")
+    chunks = rows.select("*", chunk).repartition(*out, "_c")
+    size = F.least(F.lit(COPY_CHUNK).cast("long"), F.col("_n") - F.col("_c") * COPY_CHUNK)
+    return chunks.select(*out, F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*out)
 
 
 def delta_sums(groups: DataFrame, amounts: list[str], carry: list[str]) -> DataFrame:
     """The delta correction for sums: the zero rows of copies are kept once, so that
     their group exists, instead of once per copy."""
-    changed = groups.select(*amounts, *carry)
-    zeros = groups.where("copies > 1").select(
-        *[F.lit(0).cast(groups.schema[a].dataType).alias(a) for a in amounts], "own.*")
-    return changed.unionByName(zeros)
+    return _with_zeros(groups, amounts, carry, F.lit(1)).select(*amounts, *carry)

@@ -165,7 +165,7 @@ _cte("paid", f"""
 _cte("pay", """
   SELECT od.*, paid.pri, paid.pt, dic.name AS pay_name
   FROM paid JOIN od ON od.order_id = paid.paid_order
-   AND od.et BETWEEN paid.pt - INTERVAL 30 MINUTE AND paid.pt + INTERVAL 5 SECOND
+   AND od.et BETWEEN paid.pt - INTERVAL 30 DAY AND paid.pt + INTERVAL 5 DAY
   JOIN dic ON dic.code = paid.pri""", "paid", "od", "dic")
 
 _cte("rr", """
@@ -545,7 +545,7 @@ WHERE p.ls = 'F' AND r.ls = 'F'""", "rr"),
 SELECT id, order_id, sku_id, CAST(price AS VARCHAR) AS split_total_amount, pri AS payment_type,
        {at} AS ordered_at, strftime(pt, {DT}) AS paid_at
 FROM paid JOIN od ON od.order_id = paid.paid_order
- AND od.et >= paid.pt - INTERVAL 30 MINUTE AND od.et <= paid.pt + INTERVAL 5 SECOND""", "paid", "od"),
+ AND od.et >= paid.pt - INTERVAL 30 DAY AND od.et <= paid.pt + INTERVAL 5 DAY""", "paid", "od"),
         "join_lookup": _with("""
 SELECT order_id, pri AS payment_type, CAST(epoch(o_orderdate) AS BIGINT) + 5 * 86400 AS ts,
        dic.name AS payment_type_name

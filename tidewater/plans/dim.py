@@ -13,5 +13,5 @@ def routed(log: DataFrame, config: DataFrame, database: str) -> DataFrame:
 
 
 def latest(log: DataFrame, config: DataFrame, database: str) -> DataFrame:
-    """Cells of all dimension rows after all changes."""
-    return changelog.dim_cells(routed(log, config, database))
+    """All dimension rows after all changes."""
+    return changelog.dim_rows(routed(log, config, database))

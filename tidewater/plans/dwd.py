@@ -159,12 +159,12 @@ def payments(log: DataFrame, database: str) -> DataFrame:
                   "payment_type", "callback_time", paid_order="order_id")
 
 
-def order_payment(log: DataFrame, details: DataFrame, dictionary: DataFrame,
-                  database: str) -> DataFrame:
+def order_payment(log: DataFrame, details: DataFrame, dictionary: DataFrame, database: str,
+                  before: str = PAY_BEFORE, after: str = PAY_AFTER) -> DataFrame:
     """Details of paid orders: ordered within half an hour before the payment."""
     od = _timed(details, "od_et").drop("ts")
     rows = joins.interval(payments(log, database), od, F.col("paid_order") == F.col("order_id"),
-                          "pi_et", "od_et", PAY_BEFORE, PAY_AFTER)
+                          "pi_et", "od_et", before, after)
     rows = joins.lookup(rows, dictionary, "payment_type", "payment_type_name")
     return rows.select(
         F.col("id").alias("order_detail_id"), *ORDER_COLUMNS,

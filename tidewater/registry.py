@@ -55,25 +55,39 @@ def query(build: Query) -> Query:
 
 # --- inputs shared by queries ---------------------------------------------------------
 
-def _changes(spark, sf):
-    return B.order_changes(spark, sf)
+# Trade dates of the test tables are whole days, so the half hour before a payment and
+# the five seconds after it are taken as days.
+PAY_INTERVAL = ("30 days", "5 days")
+
+
+def _changes(spark, sf, *tables):
+    return B.order_changes(spark, sf, *tables)
 
 
 def _details(spark, sf):
-    return dwd.order_detail(_changes(spark, sf), B.DATABASE)
+    """The order-detail fact, from the change log."""
+    log = _changes(spark, sf, "order_detail", "order_info", "order_detail_activity",
+                   "order_detail_coupon")
+    return dwd.order_detail(log, B.DATABASE)
+
+
+def _facts(spark, sf):
+    """The order-detail fact, as a stored table's readers find it."""
+    return B.order_detail_facts(spark, sf)
 
 
 def _carts(spark, sf):
-    return dwd.cart_add(_changes(spark, sf), B.DATABASE)
+    return dwd.cart_add(_changes(spark, sf, "cart_info"), B.DATABASE)
 
 
 def _refunds(spark, sf):
-    return dwd.order_refund(_changes(spark, sf), B.dictionary(spark, sf), B.DATABASE)
+    log = _changes(spark, sf, "order_refund_info", "order_info")
+    return dwd.order_refund(log, B.dictionary(spark, sf), B.DATABASE)
 
 
-def _paid(spark, sf):
-    return dwd.order_payment(_changes(spark, sf), _details(spark, sf),
-                             B.dictionary(spark, sf), B.DATABASE)
+def _paid(spark, sf, details=_facts):
+    return dwd.order_payment(_changes(spark, sf, "payment_info"), details(spark, sf),
+                             B.dictionary(spark, sf), B.DATABASE, *PAY_INTERVAL)
 
 
 def _dim_config(spark, sf):
@@ -130,7 +144,7 @@ def src_page_log(spark, sf):
 
 @query
 def src_fact_reread(spark, sf):
-    facts = decode.fact_table(_details(spark, sf), "3 seconds")
+    facts = decode.fact_table(_facts(spark, sf), "3 seconds")
     return facts.select("id", "order_id", "ts", F.col("et").alias("at"))
 
 
@@ -182,8 +196,7 @@ def dim_config_route(spark, sf):
 @query
 def dim_latest(spark, sf):
     config = changelog.active_config(_dim_config(spark, sf), ["source_table"])
-    cells = dim.latest(_generic(spark, sf), config, B.DATABASE)
-    rows = changelog.dim_rows(cells)
+    rows = dim.latest(_generic(spark, sf), config, B.DATABASE)
     return rows.select("sink_table", "row_key", *[F.col("fields")[c].alias(c)
                                                   for c in ("id", "name", "score")])
 
@@ -240,7 +253,7 @@ def prj_config_columns(spark, sf):
 
 @query
 def flt_status_exact(spark, sf):
-    log = etl.table_changes(_changes(spark, sf), B.DATABASE, "order_info", "update")
+    log = etl.table_changes(_changes(spark, sf, "order_info"), B.DATABASE, "order_info", "update")
     rows = log.where(etl.moved("order_status", etl.ORDER_PLACED, etl.ORDER_CANCELLED))
     return etl.pick(rows, "id", "user_id", "operate_time")
 
@@ -254,7 +267,7 @@ def flt_status_changed(spark, sf):
              ("refund_payment", "refund_status", etl.REFUND_PAID, "id")]
     out = None
     for table, column, status, key in cases:
-        log = etl.table_changes(_changes(spark, sf), B.DATABASE, table, "update")
+        log = etl.table_changes(_changes(spark, sf, table), B.DATABASE, table, "update")
         rows = log.where(etl.became(column, status)).select(
             F.lit(table).alias("source"), F.lit(status).alias("status"),
             F.col("data")[key].alias("id"), "ts")
@@ -284,7 +297,7 @@ def fn_decimal_amount(spark, sf):
 
 @query
 def fn_amount_default(spark, sf):
-    facts = _details(spark, sf)
+    facts = _facts(spark, sf)
     return facts.select("id", "ts", "sku_id",
                         S.amount_or_zero(F.col("split_activity_amount")).alias("activity"),
                         S.amount_or_zero(F.col("split_coupon_amount")).alias("coupon"))
@@ -362,7 +375,7 @@ def dwd_page(spark, sf):
 
 @query
 def join_inner(spark, sf):
-    log = _changes(spark, sf)
+    log = _changes(spark, sf, "order_detail", "order_info")
     od = etl.pick(etl.table_changes(log, B.DATABASE, "order_detail", "insert"),
                   "id", "order_id", "sku_id")
     oi = etl.pick(etl.table_changes(log, B.DATABASE, "order_info", "insert"),
@@ -378,7 +391,7 @@ def join_left_chain(spark, sf):
 
 @query
 def join_composite(spark, sf):
-    log = _changes(spark, sf)
+    log = _changes(spark, sf, "refund_payment", "order_refund_info")
     rp = etl.pick(etl.table_changes(log, B.DATABASE, "refund_payment", "update"),
                   "id", "order_id", "sku_id", "total_amount")
     ri = etl.pick(etl.table_changes(log, B.DATABASE, "order_refund_info", "update"),
@@ -388,26 +401,27 @@ def join_composite(spark, sf):
 
 @query
 def join_interval(spark, sf):
-    pi = dwd.payments(_changes(spark, sf), B.DATABASE)
-    od = dwd._timed(_details(spark, sf), "od_et").select(
+    pi = dwd.payments(_changes(spark, sf, "payment_info"), B.DATABASE)
+    od = dwd._timed(_facts(spark, sf), "od_et").select(
         "id", "order_id", "sku_id", "split_total_amount", "od_et")
     rows = joins.interval(pi, od, F.col("paid_order") == F.col("order_id"), "pi_et", "od_et",
-                          dwd.PAY_BEFORE, dwd.PAY_AFTER)
+                          *PAY_INTERVAL)
     return rows.select("id", "order_id", "sku_id", "split_total_amount", "payment_type",
                        F.col("od_et").alias("ordered_at"), F.col("pi_et").alias("paid_at"))
 
 
 @query
 def join_lookup(spark, sf):
-    rows = etl.pick(etl.table_changes(_changes(spark, sf), B.DATABASE, "payment_info", "update"),
+    log = _changes(spark, sf, "payment_info")
+    rows = etl.pick(etl.table_changes(log, B.DATABASE, "payment_info", "update"),
                     "order_id", "payment_type")
     return joins.lookup(rows, B.dictionary(spark, sf), "payment_type", "payment_type_name")
 
 
 @query
 def join_lookup_twice(spark, sf):
-    rows = etl.pick(etl.table_changes(_changes(spark, sf), B.DATABASE, "order_refund_info",
-                                      "insert"),
+    log = _changes(spark, sf, "order_refund_info")
+    rows = etl.pick(etl.table_changes(log, B.DATABASE, "order_refund_info", "insert"),
                     "id", "sku_id", "refund_type", "refund_reason_type")
     dic = B.dictionary(spark, sf)
     rows = joins.lookup(rows, dic, "refund_type", "refund_type_name")
@@ -422,14 +436,14 @@ def join_lateral_words(spark, sf):
 
 @query
 def enrich_one_hop(spark, sf):
-    rows = _details(spark, sf).select("id", "sku_id", "ts", "province_id", "split_total_amount")
+    rows = _facts(spark, sf).select("id", "sku_id", "ts", "province_id", "split_total_amount")
     return joins.enrich(rows, B.provinces(spark, sf), "province_id",
                         {"province_name": "name", "region_name": "region"})
 
 
 @query
 def enrich_snowflake(spark, sf):
-    rows = _details(spark, sf).select("id", "sku_id", "ts", "split_total_amount")
+    rows = _facts(spark, sf).select("id", "sku_id", "ts", "split_total_amount")
     flat = joins.flatten_sku(B.dimensions(spark, sf))
     return joins.enrich(rows, flat, "sku_id",
                         {n: n for n in flat.columns if n != "sku_id"}, dim_key="sku_id")
@@ -439,7 +453,7 @@ def enrich_snowflake(spark, sf):
 
 @query
 def agg_window_keyed(spark, sf):
-    facts = dws.sku_facts(_details(spark, sf))
+    facts = dws.sku_facts(_facts(spark, sf))
     return windows.tumble(facts, TRADE_WINDOW, ["sku_id"], windows.sums(*dws.SKU_AMOUNTS))
 
 
@@ -451,7 +465,7 @@ def agg_window_global(spark, sf):
 
 @query
 def agg_window_distinct(spark, sf):
-    rows = _details(spark, sf).select(S.event_time_seconds(F.col("ts")).alias("et"),
+    rows = _facts(spark, sf).select(S.event_time_seconds(F.col("ts")).alias("et"),
                                       "province_id", "order_id")
     return windows.tumble(rows, TRADE_WINDOW, ["province_id"],
                           [F.count_distinct("order_id").alias("order_count")])
@@ -540,7 +554,7 @@ def _users(facts, unique, new):
 
 @query
 def st_order_uu_new(spark, sf):
-    return _users(_details(spark, sf), "uu_ct", "new_ct")
+    return _users(_facts(spark, sf), "uu_ct", "new_ct")
 
 
 @query
@@ -550,7 +564,7 @@ def st_pay_uu_new(spark, sf):
 
 @query
 def st_dedup_first(spark, sf):
-    rows = _details(spark, sf).select(
+    rows = _facts(spark, sf).select(
         "id", "ts", "sku_id", "order_id", "province_id",
         S.amount(F.col("split_total_amount")).alias("order_amount"))
     return state.first_rows(rows, ["id"], dws.DETAIL_ORDER)
@@ -558,7 +572,7 @@ def st_dedup_first(spark, sf):
 
 @query
 def st_delta_correct(spark, sf):
-    groups = dws.sku_deltas(_details(spark, sf))
+    groups = dws.sku_deltas(_facts(spark, sf))
     return state.delta_rows(groups, dws.SKU_AMOUNTS, dws.SKU_CARRY)
 
 
@@ -566,7 +580,7 @@ def st_delta_correct(spark, sf):
 
 @query
 def dwd_comment(spark, sf):
-    return dwd.comment(_changes(spark, sf), B.dictionary(spark, sf), B.DATABASE)
+    return dwd.comment(_changes(spark, sf, "comment_info"), B.dictionary(spark, sf), B.DATABASE)
 
 
 @query
@@ -581,12 +595,12 @@ def dwd_trade_order_detail(spark, sf):
 
 @query
 def dwd_trade_order_cancel(spark, sf):
-    return dwd.order_cancel(_changes(spark, sf), _details(spark, sf), B.DATABASE)
+    return dwd.order_cancel(_changes(spark, sf, "order_info"), _details(spark, sf), B.DATABASE)
 
 
 @query
 def dwd_trade_pay_suc(spark, sf):
-    return _paid(spark, sf)
+    return _paid(spark, sf, _details)
 
 
 @query
@@ -596,7 +610,8 @@ def dwd_trade_refund(spark, sf):
 
 @query
 def dwd_refund_pay_suc(spark, sf):
-    return dwd.refund_payment(_changes(spark, sf), B.dictionary(spark, sf), B.DATABASE)
+    log = _changes(spark, sf, "refund_payment", "order_refund_info", "order_info")
+    return dwd.refund_payment(log, B.dictionary(spark, sf), B.DATABASE)
 
 
 # --- windowed tables ------------------------------------------------------------------
@@ -633,7 +648,7 @@ def dws_cart_uu(spark, sf):
 
 @query
 def dws_order(spark, sf):
-    return dws.order_users(_details(spark, sf), TRADE_WINDOW)
+    return dws.order_users(_facts(spark, sf), TRADE_WINDOW)
 
 
 @query
@@ -643,7 +658,7 @@ def dws_payment(spark, sf):
 
 @query
 def dws_province_order(spark, sf):
-    return dws.province_order(_details(spark, sf), B.provinces(spark, sf), TRADE_WINDOW)
+    return dws.province_order(_facts(spark, sf), B.provinces(spark, sf), TRADE_WINDOW)
 
 
 @query
@@ -653,7 +668,7 @@ def dws_refund(spark, sf):
 
 @query
 def dws_sku_order(spark, sf):
-    return dws.sku_order(_details(spark, sf), B.dimensions(spark, sf), TRADE_WINDOW)
+    return dws.sku_order(_facts(spark, sf), B.dimensions(spark, sf), TRADE_WINDOW)
 
 
 # --- reports, over all days -------------------------------------------------------------

@@ -27,8 +27,20 @@ def valid_json(raw: DataFrame, column: str = "value") -> DataFrame:
 
 
 def _records(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    kept = valid_json(drop_null_records(raw))
-    return kept.select(F.from_json("value", schema).alias("r")).select("r.*")
+    """Typed fields of the records that are JSON objects.
+
+    A record is parsed once. What does not fit the schema as it should comes back
+    whole in _bad, and only then is the object check made: an object with a field of
+    the wrong type stays, with that field null. The parsed record leaves through a
+    generator because filters on its fields would otherwise be pushed below the
+    parse, and parse again.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    parsed = F.array(F.from_json("value", full, options))
+    objects = F.filter(parsed, lambda r: r.isNotNull() & (
+        r["_bad"].isNull() | is_json_object(r["_bad"])))
+    return raw.select(F.inline(objects)).drop("_bad")
 
 
 def behaviour_log(raw: DataFrame) -> DataFrame:
