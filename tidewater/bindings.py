@@ -448,7 +448,7 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "category3": types.select(kind.alias("id"), F.lower(kind).alias("name"),
                                   level2.alias("category2_id")),
         "category2": category2.select("id", F.upper("id").alias("name"),
-                                      F.lit("all").alias("category1_id")),
-        "category1": category2.select(F.lit("all").alias("id"),
-                                      F.lit("ALL").alias("name")).distinct(),
+                                      F.substring("id", 1, 1).alias("category1_id")),
+        "category1": category2.select(F.substring("id", 1, 1).alias("id"),
+                                      F.initcap("id").alias("name")).distinct(),
     }

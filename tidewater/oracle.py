@@ -197,7 +197,8 @@ _cte("sku", """
          p_type AS category3_id, lower(p_type) AS category3_name,
          CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 'sized' ELSE 'plain' END AS category2_id,
          CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 'SIZED' ELSE 'PLAIN' END AS category2_name,
-         'all' AS category1_id, 'ALL' AS category1_name
+         CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 's' ELSE 'p' END AS category1_id,
+         CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 'Sized' ELSE 'Plain' END AS category1_name
   FROM part""")
 
 SKU_COLUMNS = ("sku_name, spu_id, trademark_id, category3_id, spu_name, trademark_name, "
