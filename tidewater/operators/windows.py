@@ -35,5 +35,20 @@ def tumble(df: DataFrame, size: str, keys: list[str], aggs: list[Column],
         *keys, *measures)
 
 
+def tumble_distinct(df: DataFrame, size: str, keys: list[str], distinct: str, count: str,
+                    summed: list[str], time: str = "et",
+                    day_format: str = S.PARTITION_DATE) -> DataFrame:
+    """Distinct values and sums per window and keys.
+
+    The first step has one group per distinct value, so a hot key is spread over its
+    values, and on a stream no set of values is kept in one state.
+    """
+    per = df.groupBy(F.window(time, size), *keys, distinct).agg(
+        F.count(F.lit(1)).alias("_rows"), *sums(*summed))
+    per = per.select(F.window_time("window").alias("_at"), *keys, distinct, *summed)
+    return tumble(per, size, keys, [F.count(distinct).alias(count), *sums(*summed)],
+                  time="_at", day_format=day_format)
+
+
 def sums(*names: str) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]

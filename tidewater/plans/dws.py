@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import etl, joins, state
-from ..operators.windows import WINDOW, sums, tumble, with_lateness
+from ..operators.windows import WINDOW, sums, tumble, tumble_distinct, with_lateness
 
 ORDER = ["ts", "seq"]
 TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
@@ -41,7 +41,7 @@ def _day_firsts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def _day_visits(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     if df.isStreaming:
         from ..streaming.state import day_visits
-        return day_visits(df, key)
+        return day_visits(df, [key])
     return state.day_visits(df, key, order)
 
 
@@ -83,6 +83,27 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
     return tumble(flows, size, TRAFFIC_KEYS, sums("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"))
 
 
+def bounces(pages: DataFrame, size: str = WINDOW, gap: str = "1 hour") -> DataFrame:
+    """Sessions of one page view as further rows of the traffic table, for streams.
+
+    That a session has one view is known only after it has been quiet for the gap, long
+    after the window of the view went out. The row adds to that window's others: the
+    reports sum over rows.
+    """
+    rows = with_lateness(pages.select(
+        "et", *ORDER, F.col("common.sid").alias("sid"),
+        *[F.col(f"common.{k}").alias(k) for k in TRAFFIC_KEYS]))
+    first = F.min(F.struct(*ORDER, "et", *TRAFFIC_KEYS)).alias("first")
+    sessions = (rows.groupBy(F.session_window("et", gap), "sid")
+                .agg(first, F.count(F.lit(1)).alias("n")).where("n = 1").select("first.*"))
+    at = sessions.withColumn("w", F.window("et", size))
+    return at.select(
+        F.date_format("w.start", S.DATETIME).alias("stt"),
+        F.date_format("w.end", S.DATETIME).alias("edt"),
+        F.date_format("w.start", S.PARTITION_DATE).alias("cur_date"), *TRAFFIC_KEYS,
+        _zero("uv_ct"), _zero("sv_ct"), _zero("pv_ct"), _zero("dur_sum"), _one("uj_ct"))
+
+
 def home_detail(pages: DataFrame, size: str = WINDOW) -> DataFrame:
     """Daily visitors of the home page and of the product page."""
     page = F.col("page.page_id")
@@ -152,27 +173,13 @@ def province_order(details: DataFrame, provinces: DataFrame, size: str = WINDOW)
     rows = _timed(details).select(
         "et", "ts", "id", "sku_id", "order_id", "province_id",
         S.amount(F.col("split_total_amount")).alias("order_amount"))
-    if rows.isStreaming:
-        once = rows.dropDuplicates(["id"])
-        amounts = once.select("et", "province_id", "order_amount", _zero("order_count"))
-        orders = _window_distinct(once, size, ["province_id", "order_id"]).select(
-            "et", "province_id", F.lit(0).cast(S.AMOUNT).alias("order_amount"),
-            _one("order_count"))
-        table = tumble(amounts.unionByName(orders), size, ["province_id"],
-                       sums("order_count", "order_amount"))
-    else:
-        once = state.first_rows(rows, ["id"], DETAIL_ORDER)
-        table = tumble(once, size, ["province_id"],
-                       [F.count_distinct("order_id").alias("order_count"),
-                        *sums("order_amount")])
+    once = (rows.dropDuplicates(["id"]) if rows.isStreaming
+            else state.first_rows(rows, ["id"], DETAIL_ORDER))
+    table = tumble_distinct(once, size, ["province_id"], "order_id", "order_count",
+                            ["order_amount"])
     return joins.enrich(table, provinces, "province_id", {"province_name": "name"})
 
 
-def _window_distinct(df: DataFrame, size: str, keys: list[str]) -> DataFrame:
-    """First row of each key in each window, on a stream."""
-    return df.withColumn("_w", F.window("et", size)).dropDuplicates(["_w", *keys]).drop("_w")
-
-
 def refund(refunds: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW) -> DataFrame:
     """Refunded orders by brand, category and user. Brand and category are group
     keys, so the product comes in before the window and the names after it."""
@@ -180,12 +187,8 @@ def refund(refunds: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW) -
     rows = joins.enrich(rows, dims["sku"], "sku_id",
                         {"trademark_id": "tm_id", "category3_id": "category3_id"})
     keys = ["trademark_id", "category3_id", "user_id"]
-    if rows.isStreaming:
-        count = F.count(F.lit(1))
-        rows = _window_distinct(rows, size, [*keys, "order_id"])
-    else:
-        count = F.count_distinct("order_id")
-    table = tumble(rows, size, keys, [count.alias("refund_count")], day_format=S.DATE)
+    table = tumble_distinct(rows, size, keys, "order_id", "refund_count", [],
+                            day_format=S.DATE)
     table = joins.enrich(table, dims["trademark"], "trademark_id", {"trademark_name": "tm_name"})
     return joins.flatten_category(table, dims)
 

@@ -467,8 +467,8 @@ def agg_window_global(spark, sf):
 def agg_window_distinct(spark, sf):
     rows = _facts(spark, sf).select(S.event_time_seconds(F.col("ts")).alias("et"),
                                       "province_id", "order_id")
-    return windows.tumble(rows, TRADE_WINDOW, ["province_id"],
-                          [F.count_distinct("order_id").alias("order_count")])
+    return windows.tumble_distinct(rows, TRADE_WINDOW, ["province_id"], "order_id",
+                                   "order_count", [])
 
 
 @query

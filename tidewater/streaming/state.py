@@ -1,9 +1,9 @@
 """Keyed state in streaming form.
 
 The flags work in arrival order, like any keyed stream; on input in event-time order
-they give what the batch forms give. Day flags need no custom state: the rows are
-de-duplicated on the key and the day as an event-time window, so the state of a day is
-dropped when the watermark passes it.
+they give what the batch forms give. A day flag keeps one day per key. In front of it,
+rows of the same key and day are dropped within the watermark, so that of a busy key
+only a few rows get as far as the custom state.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-DAY = "1 day"
-
 
 def millis(ttl: str) -> int:
     """Length in milliseconds of a text like '60 seconds'."""
@@ -26,17 +24,11 @@ def millis(ttl: str) -> int:
     return int(count) * per * 1000
 
 
-def first_of_day(df: DataFrame, keys: list[str], time: str = "et") -> DataFrame:
-    """First row of each key and day."""
-    return (df.withColumn("_day", F.window(time, DAY))
-            .dropDuplicates([*keys, "_day"]).drop("_day"))
-
-
-class _PreviousDay(StatefulProcessor):
-    """Adds the key's previous day to rows that are one per key and day."""
+class _DayFlag(StatefulProcessor):
+    """Passes the first row of each new day of a key, with the day before it."""
 
-    def __init__(self, key: str, columns: list[str]):
-        self.key, self.columns = key, columns
+    def __init__(self, columns: list[str]):
+        self.columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last_day", "day date")
@@ -44,25 +36,34 @@ class _PreviousDay(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = Row(*self.columns, "_prev_day")
         stored = self.last.get()[0] if self.last.exists() else None
+        days = {}  # of this batch only, one row each
+        for row in rows:
+            day = row["_day"]
+            if day != stored and day not in days:
+                days[day] = named(*[row[c] for c in self.columns], None).asDict(True)
         newest = stored
-        # One row per day has come this far, so this holds at most the batch's days.
-        for row in sorted(rows, key=lambda r: r["_day"]):
-            yield named(*[row[c] for c in self.columns], newest)
-            if newest is None or row["_day"] > newest:
-                newest = row["_day"]
-        if newest is not None and newest != stored:
+        for day in sorted(days):
+            yield Row(**{**days[day], "_prev_day": newest})
+            newest = day if newest is None else max(newest, day)
+        if newest != stored:
             self.last.update((newest,))
 
     def close(self) -> None:
         pass
 
 
-def day_visits(df: DataFrame, key: str, time: str = "et") -> DataFrame:
+def day_visits(df: DataFrame, keys: list[str], time: str = "et") -> DataFrame:
     """First row of each key and day, with the key's previous day, null for none."""
-    daily = first_of_day(df, [key], time).withColumn("_day", F.to_date(time))
+    daily = df.withColumn("_day", F.to_date(time))
+    daily = daily.dropDuplicatesWithinWatermark([*keys, "_day"])
     schema = T.StructType([*daily.schema.fields, T.StructField("_prev_day", T.DateType())])
-    return daily.groupBy(key).transformWithState(
-        _PreviousDay(key, daily.columns), schema, "append", "none", eventTimeColumnName=time)
+    return daily.groupBy(*keys).transformWithState(
+        _DayFlag(daily.columns), schema, "append", "none", eventTimeColumnName=time)
+
+
+def first_of_day(df: DataFrame, keys: list[str], time: str = "et") -> DataFrame:
+    """First row of each key and day."""
+    return day_visits(df, keys, time).drop("_day", "_prev_day")
 
 
 class _Expiring(StatefulProcessor):
