@@ -58,7 +58,7 @@ def login_end(df, i):
 
 def test_traffic(spark, tmp_path, pages):
     stream = feed(spark, tmp_path / "in", pages, ["ts", "seq"], page_end)
-    out = run(dws.traffic(stream, "1 day", session_ttl="2 days"), tmp_path)
+    out = run(dws.traffic(stream, "1 day", session_ttl="2 days"), tmp_path, one_source=True)
     batch = dws.traffic(pages, "1 day")
     same(out, batch, CLOSED, [c for c in batch.columns if c != "uj_ct"])
 

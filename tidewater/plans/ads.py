@@ -87,8 +87,13 @@ def total_amount(province: DataFrame, date=None) -> DataFrame:
     return of_day(province, date).agg(_total("order_total_amount", "order_amount"))
 
 
-def _labelled(label: str, rows: DataFrame, value: Column, key: str, name: str) -> DataFrame:
-    return rows.agg(value.alias(name)).select(F.lit(label).alias(key), name)
+def _labelled(rows: DataFrame, key: str, name: str, measures: dict[str, Column]) -> DataFrame:
+    """Totals of one table, one labelled row each, from one pass over it."""
+    labels = list(measures)
+    totals = rows.agg(*[m.alias(f"m{i}") for i, m in enumerate(measures.values())])
+    pairs = F.array(*[F.struct(F.lit(label).alias(key), F.col(f"m{i}").alias(name))
+                      for i, label in enumerate(labels)])
+    return totals.select(F.inline(pairs))
 
 
 def _stack(*parts: DataFrame) -> DataFrame:
@@ -104,13 +109,13 @@ ORDERS, ORDERING_USERS, REFUNDS, REFUNDING_USERS = "订单数", "下单人数",
 
 def trade_stats(province: DataFrame, order_users: DataFrame, refund: DataFrame,
                 date=None) -> DataFrame:
-    refunds = of_iso_day(refund, date)
     return _stack(
-        _labelled(ORDERS, of_day(province, date), F.sum("order_count"), "type", "value"),
-        _labelled(ORDERING_USERS, of_day(order_users, date),
-                  F.sum("order_unique_user_count"), "type", "value"),
-        _labelled(REFUNDS, refunds, F.sum("refund_count"), "type", "value"),
-        _labelled(REFUNDING_USERS, refunds, F.count_distinct("user_id"), "type", "value"))
+        _labelled(of_day(province, date), "type", "value", {ORDERS: F.sum("order_count")}),
+        _labelled(of_day(order_users, date), "type", "value",
+                  {ORDERING_USERS: F.sum("order_unique_user_count")}),
+        _labelled(of_iso_day(refund, date), "type", "value",
+                  {REFUNDS: F.sum("refund_count"),
+                   REFUNDING_USERS: F.count_distinct("user_id")}))
 
 
 def province_count(province: DataFrame, date=None) -> DataFrame:
@@ -198,29 +203,27 @@ def visitor_type_table(traffic: DataFrame, date=None) -> DataFrame:
 # --- users ----------------------------------------------------------------------------
 
 def user_change(login: DataFrame, register: DataFrame, date=None) -> DataFrame:
-    logins = of_day(login, date)
     return _stack(
-        _labelled("backCt", logins, F.sum("back_ct"), "type", "user_ct"),
-        _labelled("activeUserCt", logins, F.sum("uu_ct"), "type", "user_ct"),
-        _labelled("newUserCt", of_day(register, date), F.sum("register_ct"), "type", "user_ct"))
+        _labelled(of_day(login, date), "type", "user_ct",
+                  {"backCt": F.sum("back_ct"), "activeUserCt": F.sum("uu_ct")}),
+        _labelled(of_day(register, date), "type", "user_ct",
+                  {"newUserCt": F.sum("register_ct")}))
 
 
 def uv_by_page(home_detail: DataFrame, cart: DataFrame, order: DataFrame, payment: DataFrame,
                date=None) -> DataFrame:
-    views = of_day(home_detail, date)
-    return _stack(
-        _labelled("home", views, F.sum("home_uv_ct"), "page_id", "uv_ct"),
-        _labelled("good_detail", views, F.sum("good_detail_uv_ct"), "page_id", "uv_ct"),
-        _labelled("cart", of_day(cart, date), F.sum("cart_add_uu_ct"), "page_id", "uv_ct"),
-        _labelled("trade", of_day(order, date), F.sum("order_unique_user_count"), "page_id",
-                  "uv_ct"),
-        _labelled("payment", of_day(payment, date), F.sum("payment_suc_unique_user_count"),
-                  "page_id", "uv_ct"))
+    def part(table, **measures):
+        return _labelled(of_day(table, date), "page_id", "uv_ct",
+                         {label: F.sum(c) for label, c in measures.items()})
+    return _stack(part(home_detail, home="home_uv_ct", good_detail="good_detail_uv_ct"),
+                  part(cart, cart="cart_add_uu_ct"),
+                  part(order, trade="order_unique_user_count"),
+                  part(payment, payment="payment_suc_unique_user_count"))
 
 
 def trade_users(order: DataFrame, payment: DataFrame, date=None) -> DataFrame:
     return _stack(
-        _labelled("order", of_day(order, date), F.sum("order_new_user_count"), "trade_type",
-                  "user_ct"),
-        _labelled("payment", of_day(payment, date), F.sum("payment_suc_new_user_count"),
-                  "trade_type", "user_ct"))
+        _labelled(of_day(order, date), "trade_type", "user_ct",
+                  {"order": F.sum("order_new_user_count")}),
+        _labelled(of_day(payment, date), "trade_type", "user_ct",
+                  {"payment": F.sum("payment_suc_new_user_count")}))

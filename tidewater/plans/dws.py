@@ -56,27 +56,34 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
     view. The flows are cut down before they are shuffled, so no task gets all rows
     of a busy visitor or session. uj_ct is our addition; on a stream it is written by
     bounces() and is 0 here.
+
+    On a stream the first views come from de-duplication that remembers a visitor's
+    day for a day and a session for its TTL. All flows come from one source, so the
+    query is to run with the watermark of the most advanced one (Run.one_source);
+    otherwise windows close only after the longest of these spans.
     """
-    rows = with_lateness(pages.select(
+    rows = pages.select(
         "et", *ORDER, F.col("common.mid").alias("mid"), F.col("common.sid").alias("sid"),
         *[F.col(f"common.{k}").alias(k) for k in TRAFFIC_KEYS],
-        F.col("page.during_time").alias("dur_sum")))
-    views = rows.select("et", *TRAFFIC_KEYS, _zero("uv_ct"), _zero("sv_ct"), _one("pv_ct"),
-                        "dur_sum", _zero("uj_ct"))
-    narrow = rows.select("et", *ORDER, "mid", *TRAFFIC_KEYS)
-    visitors = _day_firsts(narrow, ["mid"], ORDER).select(
-        "et", *TRAFFIC_KEYS, _one("uv_ct"), _zero("sv_ct"), _zero("pv_ct"), _zero("dur_sum"),
+        F.col("page.during_time").alias("dur_sum"))
+    views = with_lateness(rows).select(
+        "et", *TRAFFIC_KEYS, _zero("uv_ct"), _zero("sv_ct"), _one("pv_ct"), "dur_sum",
         _zero("uj_ct"))
+    by_day = rows.select("et", *ORDER, "mid", *TRAFFIC_KEYS, F.to_date("et").alias("day"))
     narrow = rows.select("et", *ORDER, "sid", *TRAFFIC_KEYS)
     if pages.isStreaming:
-        from ..streaming.state import first_of_session
-        sessions = first_of_session(narrow, "sid", session_ttl).withColumn(
+        from ..streaming.state import first_within
+        visitors = first_within(by_day, ["mid", "day"], "1 day")
+        sessions = first_within(narrow, ["sid"], session_ttl).withColumn(
             "uj_ct", F.lit(0).cast("long"))
     else:
+        visitors = state.first_rows(by_day, ["mid", "day"], ORDER)
         first = F.struct(*ORDER, "et", *TRAFFIC_KEYS)
         sessions = (narrow.groupBy("sid")
                     .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
                     .select("first.*", (F.col("n") == 1).cast("long").alias("uj_ct")))
+    visitors = visitors.select("et", *TRAFFIC_KEYS, _one("uv_ct"), _zero("sv_ct"),
+                               _zero("pv_ct"), _zero("dur_sum"), _zero("uj_ct"))
     sessions = sessions.select("et", *TRAFFIC_KEYS, _zero("uv_ct"), _one("sv_ct"),
                                _zero("pv_ct"), _zero("dur_sum"), "uj_ct")
     flows = views.unionByName(visitors).unionByName(sessions)

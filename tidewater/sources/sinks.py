@@ -27,6 +27,7 @@ def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
 
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+WATERMARK_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
 
 
 @dataclass(frozen=True)
@@ -36,26 +37,36 @@ class Run:
     ttl_state marks a query whose keyed state expires by processing time. Such a query
     asks for another batch as long as it lives, so a run through what is there has to
     do without batches that bring no data; its last windows close in the next run.
+
+    one_source says that all branches of the query read the same source, so that the
+    most advanced of their watermarks may lead. With several sources the slowest must.
     """
 
     checkpoint: str
     available_now: bool = False
     ttl_state: bool = False
+    one_source: bool = False
     trigger: str = TRIGGER
 
     def start(self, spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
         writer = writer.option("checkpointLocation", self.checkpoint)
-        if not self.available_now:
-            return writer.trigger(processingTime=self.trigger).start()
-        writer = writer.trigger(availableNow=True)
-        if not self.ttl_state:
-            return writer.start()
-        before = spark.conf.get(NO_DATA_BATCHES)
-        spark.conf.set(NO_DATA_BATCHES, "false")
+        if self.available_now:
+            writer = writer.trigger(availableNow=True)
+        else:
+            writer = writer.trigger(processingTime=self.trigger)
+        settings = {}
+        if self.available_now and self.ttl_state:
+            settings[NO_DATA_BATCHES] = "false"
+        if self.one_source:
+            settings[WATERMARK_POLICY] = "max"
+        before = {key: spark.conf.get(key) for key in settings}
+        for key, value in settings.items():  # a query takes its settings when it starts
+            spark.conf.set(key, value)
         try:
             return writer.start()
         finally:
-            spark.conf.set(NO_DATA_BATCHES, before)
+            for key, value in before.items():
+                spark.conf.set(key, value)
 
 
 def as_json(df: DataFrame) -> DataFrame:

@@ -24,8 +24,17 @@ def millis(ttl: str) -> int:
     return int(count) * per * 1000
 
 
+def first_within(df: DataFrame, keys: list[str], span: str, time: str = "et") -> DataFrame:
+    """First row of each key, a key being forgotten a span after its first row. The
+    frame must not have a watermark yet."""
+    return df.withWatermark(time, span).dropDuplicatesWithinWatermark(keys)
+
+
 class _DayFlag(StatefulProcessor):
-    """Passes the first row of each new day of a key, with the day before it."""
+    """Passes the first row of each new day of a key, with the day before it.
+
+    A row behind the watermark is left out here, as it would be by a window.
+    """
 
     def __init__(self, columns: list[str]):
         self.columns = columns
@@ -36,10 +45,11 @@ class _DayFlag(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = Row(*self.columns, "_prev_day")
         stored = self.last.get()[0] if self.last.exists() else None
+        watermark = timerValues.getCurrentWatermarkInMs()
         days = {}  # of this batch only, one row each
         for row in rows:
             day = row["_day"]
-            if day != stored and day not in days:
+            if row["_ms"] > watermark and day != stored and day not in days:
                 days[day] = named(*[row[c] for c in self.columns], None).asDict(True)
         newest = stored
         for day in sorted(days):
@@ -57,8 +67,8 @@ def day_visits(df: DataFrame, keys: list[str], time: str = "et") -> DataFrame:
     daily = df.withColumn("_day", F.to_date(time))
     daily = daily.dropDuplicatesWithinWatermark([*keys, "_day"])
     schema = T.StructType([*daily.schema.fields, T.StructField("_prev_day", T.DateType())])
-    return daily.groupBy(*keys).transformWithState(
-        _DayFlag(daily.columns), schema, "append", "none", eventTimeColumnName=time)
+    return daily.withColumn("_ms", F.unix_millis(time)).groupBy(*keys).transformWithState(
+        _DayFlag(daily.columns), schema, "append", "eventTime", eventTimeColumnName=time)
 
 
 def first_of_day(df: DataFrame, keys: list[str], time: str = "et") -> DataFrame:
@@ -84,6 +94,10 @@ class _Expiring(StatefulProcessor):
         self.value = handle.getValueState(self.name, f"{self.schema}, _ms bigint, _timer bigint",
                                           self.ttl_ms if by_wall else None)
 
+    def watermark(self, timerValues) -> int:
+        """Rows at or before this are late. By the processing clock none is."""
+        return timerValues.getCurrentWatermarkInMs() if self.clock == "event" else -1
+
     def load(self) -> tuple | None:
         """The value, its time last but one, its timer last."""
         return tuple(self.value.get()) if self.value.exists() else None
@@ -108,9 +122,14 @@ class _Expiring(StatefulProcessor):
         pass
 
 
-def _mode(clock: str) -> str:
-    assert clock in ("event", "processing")
-    return "eventTime" if clock == "event" else "processingTime"
+def _by_clock(df: DataFrame, key: str, processor: _Expiring, out: T.StructType,
+              time: str) -> DataFrame:
+    """Run a processor by its clock. The result keeps its watermark by the event clock."""
+    by_event = processor.clock == "event"
+    assert by_event or processor.clock == "processing"
+    return df.withColumn("_ms", F.unix_millis(time)).groupBy(key).transformWithState(
+        processor, out, "append", "eventTime" if by_event else "processingTime",
+        eventTimeColumnName=time if by_event else "")
 
 
 class _FirstSeen(_Expiring):
@@ -123,20 +142,19 @@ class _FirstSeen(_Expiring):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = Row(*self.columns)
         old = value = self.load()
+        watermark = self.watermark(timerValues)
         for row in rows:
-            if value is None or self.expired(value, row["_ms"]):
+            if row["_ms"] > watermark and (value is None or self.expired(value, row["_ms"])):
                 value = (True, row["_ms"], None)
                 yield named(*[row[c] for c in self.columns])
         if value is not None and value is not old:
-            self.store(old, value[:-2], value[-2], timerValues.getCurrentWatermarkInMs())
+            self.store(old, value[:-2], value[-2], watermark)
 
 
 def first_of_session(df: DataFrame, key: str, ttl: str, time: str = "et",
                      clock: str = "event") -> DataFrame:
     """First row of each session id, a session being forgotten a TTL after it began."""
-    return df.withColumn("_ms", F.unix_millis(time)).groupBy(key).transformWithState(
-        _FirstSeen(df.columns, millis(ttl), clock), df.schema, "append", _mode(clock),
-        eventTimeColumnName=time)
+    return _by_clock(df, key, _FirstSeen(df.columns, millis(ttl), clock), df.schema, time)
 
 
 class _VisitorRepair(StatefulProcessor):
@@ -185,18 +203,19 @@ class _Delta(_Expiring):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = Row(*self.amounts, *self.carry)
-        watermark = timerValues.getCurrentWatermarkInMs()
+        watermark = self.watermark(timerValues)
         old = prev = self.load()
         n, width = len(self.amounts), len(self.amounts) + len(self.carry)
         for row in rows:
             current = (*[row[a] for a in self.amounts], *[row[c] for c in self.carry],
                        row["_ms"], None)
+            # A row goes to the window of the carried time. Behind the watermark that
+            # window is closed and the row is dropped; the state moves on all the same.
             if prev is None or self.expired(prev, row["_ms"]):
-                yield named(*current[:width])
+                if current[-2] > watermark:
+                    yield named(*current[:width])
             elif prev[-2] > watermark:
                 yield named(*[c - p for c, p in zip(current[:n], prev[:n])], *prev[n:width])
-            # Else the row before lies behind the watermark. The correction belongs to
-            # its window, which is closed, so the correction is dropped.
             prev = current
         if prev is not None and prev is not old:
             self.store(old, prev[:width], prev[-2], watermark)
@@ -213,6 +232,4 @@ def delta_correct(df: DataFrame, key: str, amounts: list[str], ttl: str, time: s
     out = T.StructType([*[T.StructField(a, wide[a]) for a in amounts],
                         *[fields[c] for c in carry]])
     state = ", ".join(f"{c} {fields[c].dataType.simpleString()}" for c in (*amounts, *carry))
-    return df.withColumn("_ms", F.unix_millis(time)).groupBy(key).transformWithState(
-        _Delta(amounts, carry, state, millis(ttl), clock), out, "append", _mode(clock),
-        eventTimeColumnName=time)
+    return _by_clock(df, key, _Delta(amounts, carry, state, millis(ttl), clock), out, time)
