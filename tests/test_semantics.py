@@ -304,3 +304,16 @@ def test_one_table_reads_one_branch(spark):
 def test_pushdown(spark):
     text = plan(registry.QUERIES["ads_channel_uv"](spark, SF))
     assert "html" not in text and "lineitem" not in text
+
+
+def test_broadcast_only_if_small(spark, monkeypatch):
+    dic = spark.range(20).select(F.col("id").cast("string").alias("dic_code"))
+    hinted = "ResolvedHint"
+    def analyzed(df):
+        return df._jdf.queryExecution().analyzed().toString()
+    assert hinted in analyzed(joins.broadcast_if_small(dic))
+    monkeypatch.setattr(joins, "SMALL_ROWS", 10)
+    assert hinted not in analyzed(joins.broadcast_if_small(dic))
+    monkeypatch.setattr(joins, "SMALL_ROWS", 100)
+    monkeypatch.setattr(joins, "SMALL_BYTES", 10)
+    assert hinted not in analyzed(joins.broadcast_if_small(dic))

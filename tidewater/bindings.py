@@ -19,12 +19,8 @@ DATABASE = "shop"
 DAY = 86_400
 
 
-# Tables that grow with the data, with columns that tell their rows apart.
-SPREAD = {
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-    "orders": ("o_orderkey",),
-    "events": ("event_id",),
-}
+# Tables that grow with the data, with the column that a table of one file is spread by.
+SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,7 +29,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     df = prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if table in SPREAD and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, *SPREAD[table])
+        df = df.repartition(cores, SPREAD[table])
     return df
 
 

@@ -84,6 +84,7 @@ TRAFFIC_LOGS = {"start": start, "display": display, "action": action, "err": err
 def comment(log: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
     rows = etl.pick(etl.table_changes(log, database, "comment_info", "insert"),
                     "id", "user_id", "sku_id", "appraise", "comment_txt")
+    dictionary = joins.broadcast_if_small(dictionary)
     named = joins.lookup(rows, dictionary, "appraise", "appraise_name")
     return named.select("id", "user_id", "sku_id", "appraise", "appraise_name",
                         "comment_txt", "ts")
@@ -165,6 +166,7 @@ def order_payment(log: DataFrame, details: DataFrame, dictionary: DataFrame, dat
     od = _timed(details, "od_et").drop("ts")
     rows = joins.interval(payments(log, database), od, F.col("paid_order") == F.col("order_id"),
                           "pi_et", "od_et", before, after)
+    dictionary = joins.broadcast_if_small(dictionary)
     rows = joins.lookup(rows, dictionary, "payment_type", "payment_type_name")
     return rows.select(
         F.col("id").alias("order_detail_id"), *ORDER_COLUMNS,
@@ -182,6 +184,7 @@ def order_refund(log: DataFrame, dictionary: DataFrame, database: str) -> DataFr
                 etl.became("order_status", etl.ORDER_REFUND_ASKED), "oi_",
                 "province_id", oi_id="id")
     rows = ri.join(oi, _near(ri, F.col("order_id") == F.col("oi_id"), "ri_et", "oi_et"))
+    dictionary = joins.broadcast_if_small(dictionary)
     rows = joins.lookup(rows, dictionary, "refund_type", "refund_type_name")
     rows = joins.lookup(rows, dictionary, "refund_reason_type", "refund_reason_type_name")
     return rows.select(
@@ -207,6 +210,7 @@ def refund_payment(log: DataFrame, dictionary: DataFrame, database: str) -> Data
     same = (F.col("order_id") == F.col("ri_order")) & (F.col("sku_id") == F.col("ri_sku"))
     rows = rp.join(ri, _near(rp, same, "rp_et", "ri_et"))
     rows = rows.join(oi, _near(rp, F.col("order_id") == F.col("oi_id"), "rp_et", "oi_et"))
+    dictionary = joins.broadcast_if_small(dictionary)
     rows = joins.lookup(rows, dictionary, "payment_type", "payment_type_name")
     return rows.select(
         "id", "user_id", "order_id", "sku_id", "province_id",
