@@ -317,3 +317,33 @@ def test_broadcast_only_if_small(spark, monkeypatch):
     monkeypatch.setattr(joins, "SMALL_ROWS", 100)
     monkeypatch.setattr(joins, "SMALL_BYTES", 10)
     assert hinted not in analyzed(joins.broadcast_if_small(dic))
+
+
+def test_hot_visitor_is_split_at_run_time(spark):
+    """With the run-time bounds scaled down to the test, a visitor with most of the
+    records is split in the join, and the result is as without the split."""
+    rows_in = spark.range(0, 60_000, numPartitions=8).select(
+        F.struct(F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(
+            F.concat(F.lit("m"), F.col("id"))).alias("mid"), F.lit("1").alias("is_new"))
+        .alias("common"),
+        (F.lit(T0) + F.col("id") * 10_000).alias("ts"), F.col("id").alias("seq"))
+    scaled = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in scaled}
+    try:
+        for k, v in scaled.items():
+            spark.conf.set(k, v)
+        out = state.repair_new_visitor(rows_in)
+        kept = out.where(F.col("common.is_new") == "1").select("common.mid").collect()
+        final = out.where(F.col("common.is_new") == "1").select("common.mid")
+        n = len(final.collect())
+        assert "skew=true" in plan(final)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    first_day = sum(1 for i in range(60_000) if i % 10 < 9 and i * 10_000 < DAY)
+    assert len(kept) == n == first_day + 6_000
