@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import duck, duck_rows, duck_schema, spark_rows
+from tidewater import oracle, registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
