@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate
+from . import decontaminate, packing, quality
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.hits(docs, C.table(spark, sf_dir, "benchmark"), with_text=False)
+    return decontaminate.hits(_documents(spark, sf_dir), C.table(spark, sf_dir, "benchmark"), with_text=False)
+
+
+def tokenizer() -> dict[str, str]:
+    """The tokenizer's file, the same vocabulary as ranks, and its split pattern."""
+    return {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"),
+            "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(_documents(spark, sf_dir), **tokenizer()))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = quality.fit(docs, C.table(spark, sf_dir, "labels").filter(~quality.held_out()))
+    return quality.scored(docs, model, with_text=False).select(
+        "doc_id", quality.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
 QUERIES = {
     "op6_decontaminate": op6_decontaminate,
+    "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
 }
 
 SQL: dict[str, str] = {}
