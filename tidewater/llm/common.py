@@ -62,7 +62,7 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, work, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, work, schema) -> DataFrame:
     """work(iterator of record batches) on small batches."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(work, schema)

@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, packing, quality
+from . import decontaminate, jaccard, packing, quality
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(_documents(spark, sf_dir))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(_documents(spark, sf_dir), C.table(spark, sf_dir, "benchmark"), with_text=False)
 
@@ -37,6 +41,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_jaccard": op4_jaccard,
     "op6_decontaminate": op6_decontaminate,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
