@@ -161,6 +161,19 @@ class Words:
         return np.diff(self.first)
 
 
+class Numbers(dict):
+    """Numbers of strings; one that is new gets the next number and is kept in fresh."""
+
+    def __init__(self):
+        super().__init__()
+        self.next, self.fresh = 1, []
+
+    def __missing__(self, string):
+        out = self[string] = self.next + len(self.fresh)
+        self.fresh.append(string)
+        return out
+
+
 def grams(name: np.ndarray, n: int) -> np.ndarray:
     """Names of all n consecutive values; empty if there are fewer. Built by doubling."""
     count = name.size - n + 1

@@ -7,17 +7,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, jaccard, packing, quality
+from . import decontaminate, jaccard, langid, packing, pii, quality, rules
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(C.crc_mod("doc_id", 3) == 1, F.lit(False))
+    identifier = langid.learn(docs.filter(~held_out))
+    return langid.identified(docs.select("doc_id", "text"), identifier, ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), F.col("lang_best").alias("lang_pred"), "score", "cross_entropy", "rejected")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(_documents(spark, sf_dir))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(_documents(spark, sf_dir))
 
 
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return rules.judged(docs, rules.fit(docs, C.table(spark, sf_dir, "labels"))).drop("anomaly")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(_documents(spark, sf_dir), C.table(spark, sf_dir, "benchmark"), with_text=False)
 
@@ -41,7 +58,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op3_pii": op3_pii,
     "op4_jaccard": op4_jaccard,
+    "op5_rules": op5_rules,
     "op6_decontaminate": op6_decontaminate,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
