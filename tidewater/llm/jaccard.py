@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 
 from . import common as C
 from . import graph as G
+from . import repeats as R
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(G)
+cloudpickle.register_pickle_by_value(R)
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union; MARGIN is the largest distance of a link.
@@ -173,24 +175,6 @@ def memberships(sets: DataFrame) -> DataFrame:
     return C.stored(posting.join(block, "s").select("pivot", "node").distinct())
 
 
-def grouped(batches, key: str):
-    """Consecutive rows with the same key as tables; the input is sorted by the key."""
-    held, last = [], None
-    for batch in batches:
-        values = batch.column(key).to_numpy(zero_copy_only=False)
-        if not values.size:
-            continue
-        cuts = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [values.size]])
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if held and values[a] != last:
-                yield pa.Table.from_batches(held).combine_chunks()
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = values[a]
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def partnered(n: np.ndarray, sketches: list[bytes]) -> np.ndarray:
     """Which documents of a region may link with another one there, as far as sizes and
     sketches tell."""
@@ -298,7 +282,7 @@ def _sets_of(rows: pa.Table) -> list[np.ndarray]:
 def _by_key(df: DataFrame, key: str, work, schema: str) -> DataFrame:
     """work(table) for the rows of each key; groups are small, a task has many."""
     def run(batches):
-        for rows in grouped(batches, key):
+        for rows in R.grouped(batches, key):
             yield from work(rows)
     return C.map_batches(df.repartition(F.col(key)).sortWithinPartitions(key), run, schema)
 

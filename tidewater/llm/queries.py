@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, jaccard, langid, packing, pii, quality, rules
+from . import decontaminate, jaccard, langid, packing, pii, quality, rules, suffixes, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), F.col("lang_best").alias("lang_pred"), "score", "cross_entropy", "rejected")
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(_documents(spark, sf_dir))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(_documents(spark, sf_dir))
 
@@ -45,6 +49,12 @@ def tokenizer() -> dict[str, str]:
             "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = C.shared_folder(spark)
+    manifest = warc.write(C.table(spark, sf_dir, "pages"), folder)
+    return warc.read(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_documents(spark, sf_dir), **tokenizer()))
 
@@ -59,10 +69,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_suffixes": op2_suffixes,
     "op3_pii": op3_pii,
     "op4_jaccard": op4_jaccard,
     "op5_rules": op5_rules,
     "op6_decontaminate": op6_decontaminate,
+    "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
 }
