@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, jaccard, langid, packing, pii, quality, rules, suffixes, warc
+from . import decontaminate, jaccard, langid, packing, pii, quality, recompress, rules, suffixes, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.removed(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_suffixes": op2_suffixes,
@@ -77,6 +81,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
+    "op10_recompression": op10_recompression,
 }
 
 SQL: dict[str, str] = {}

@@ -81,9 +81,9 @@ def repeated(anchors: DataFrame) -> DataFrame:
     return C.stored(anchors.join(often, "anchor"))
 
 
-def lists(found: DataFrame) -> DataFrame:
+def lists(found: DataFrame, *more: str) -> DataFrame:
     """(row, segments): the segments of each document together."""
-    return C.stored(found.groupBy("row").agg(F.collect_set(F.struct("start", "n", "hot")).alias("segments")))
+    return C.stored(found.groupBy("row").agg(F.collect_set(F.struct("start", "n", "hot", *more)).alias("segments")))
 
 
 def grouped(batches, key: str):
