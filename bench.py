@@ -42,7 +42,7 @@ def streamed(spark):
     stream = spark.readStream.schema(pages.schema).parquet(f"{folder}/in")
     start = time.perf_counter()
     query = sinks.day_table(dws.traffic(stream, "1 day"), f"{folder}/out",
-                            sinks.Run(f"{folder}/cp", available_now=True, one_source=True))
+                            sinks.Run(f"{folder}/cp", available_now=True))
     query.awaitTermination()
     return rows / (time.perf_counter() - start)
 

@@ -3,27 +3,43 @@
 import time
 from collections import Counter
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.sources import sinks
 
 
+#: Files of a micro-batch, over which its rows are dealt without regard to their order.
+FILES = 8
+
+
 class Feed:
-    """A folder that a stream reads file by file, in the order they were put there."""
+    """A folder that a stream reads; what is put there at a time is a micro-batch."""
 
     def __init__(self, spark, folder):
         self.spark, self.folder, self.n = spark, str(folder), 0
 
-    def put(self, df, order=()):
-        df = df.orderBy(*order) if order else df
-        df.coalesce(1).write.parquet(f"{self.folder}/f{self.n:03d}")
+    def put(self, df, order=(), batches=1):
+        """One micro-batch, or several that follow each other in the order given."""
         self.schema = df.schema
+        if batches > 1:
+            rank = F.ntile(batches).over(Window.orderBy(*order))
+            cut = df.withColumn("_part", rank).persist()
+            for i in range(1, batches + 1):
+                self.put(cut.where(f"_part = {i}").drop("_part"))
+            return self
+        # Kept, or every file would deal the rows anew.
+        rows = df.withColumn("_file", F.row_number().over(Window.orderBy(F.rand(7))) % FILES).persist()
+        rows.count()
+        for i in range(FILES):  # as many files each time, some of them empty
+            (rows.where(f"_file = {i}").drop("_file").coalesce(1)
+             .write.parquet(f"{self.folder}/f{self.n:03d}{i}"))
         self.n += 1
         time.sleep(1.05)  # files are taken by their modification time, in seconds
         return self
 
     def stream(self):
-        return (self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1)
+        return (self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", FILES)
                 .parquet(f"{self.folder}/f*"))
 
 

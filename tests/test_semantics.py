@@ -13,7 +13,7 @@ from tidewater import registry, schemas
 from tidewater.functions import scalars as S
 from tidewater.operators import changelog, etl, joins, state
 from tidewater.plans import ads, dwd, dws
-from tidewater.sources import decode
+from tidewater.sources import decode, sinks
 
 DAY = 86_400_000
 T0 = 1_704_067_200_000  # 2024-01-01 00:00:00
@@ -306,17 +306,31 @@ def test_pushdown(spark):
     assert "html" not in text and "lineitem" not in text
 
 
-def test_broadcast_only_if_small(spark, monkeypatch):
-    dic = spark.range(20).select(F.col("id").cast("string").alias("dic_code"))
-    hinted = "ResolvedHint"
-    def analyzed(df):
-        return df._jdf.queryExecution().analyzed().toString()
-    assert hinted in analyzed(joins.broadcast_if_small(dic))
-    monkeypatch.setattr(joins, "SMALL_ROWS", 10)
-    assert hinted not in analyzed(joins.broadcast_if_small(dic))
-    monkeypatch.setattr(joins, "SMALL_ROWS", 100)
-    monkeypatch.setattr(joins, "SMALL_BYTES", 10)
-    assert hinted not in analyzed(joins.broadcast_if_small(dic))
+def test_plans_are_built_without_jobs(spark):
+    """No join looks at its sides before it runs."""
+    dictionary = B.dictionary(spark, SF)
+    log = B.order_changes(spark, SF)
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        dwd.comment(log, dictionary, B.DATABASE)
+        dwd.order_refund(log, dictionary, B.DATABASE)
+        assert "ResolvedHint" not in plan(dwd.comment(log, dictionary, B.DATABASE))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_null_delete_mark_deletes_nothing(spark):
+    rows = spark.createDataFrame([("a", 1, None), ("b", 1, "d"), ("c", 1, "x")], "k string, ts int, op string")
+    kept = changelog.upsert_latest(rows, ["k"], ["ts"], "op = 'd'")
+    assert sorted(r.k for r in kept.collect()) == ["a", "c"]
+    values = sinks.tombstones(rows, ["k"], "op = 'd'").collect()
+    assert sum(r.value is None for r in values) == 1
+
+
+def test_values_out_of_range_are_null(spark):
+    rows = spark.createDataFrame([("9" * 15, "9" * 15), ("2", "1.5"), ("x", "1")], "q string, p string")
+    assert [r[0] for r in rows.select(S.line_amount(F.col("q"), F.col("p"))).collect()][1:] == ["3.0000", None]
 
 
 def test_hot_visitor_is_split_at_run_time(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from streams import Feed, counted, run, same
 from tidewater import bindings as B
 from tidewater import registry, schemas
-from tidewater.operators import changelog, windows
+from tidewater.operators import changelog, joins, windows
 from tidewater.plans import ads, dim, dwd, dws
 from tidewater.sources import decode, readers, sinks
 from tidewater.streaming import state as streaming_state
@@ -290,3 +290,49 @@ def test_checkpoint_root(spark):
         with pytest.raises(ValueError):
             sinks.checkpoint_root(spark)
         assert sinks.checkpoint_root(spark, "/tmp/x/") == "/tmp/x"
+
+
+def test_upserts_are_folded(spark, tmp_path):
+    """After many batches a read takes one base and the batches behind it; a batch that
+    is written again changes nothing."""
+    keys, order, path = ["k"], ["ts"], f"{tmp_path}/out"
+    feed = Feed(spark, tmp_path / "in")
+    for i in range(7):
+        feed.put(_ticks(spark, [(f"k{i % 3}", i * 1000), (f"only{i}", i * 1000)]))
+    stream = feed.stream().withColumn("ts", F.unix_millis("et"))
+    sinks.upsert_table(stream, path, keys, order, sinks.Run(f"{tmp_path}/cp", True),
+                       fold=2).awaitTermination()
+    assert sinks._folded(spark, path) == 5
+    kept = sorted(r.batch for r in spark.read.parquet(f"{path}/changes").select("batch").distinct().collect())
+    assert kept == [4, 5, 6]  # those of the newest base and behind it
+    out = {r.k: r.ts % 60_000 for r in sinks.read_upserts(spark, path, keys, order).collect()}
+    assert out == {"k0": 6000, "k1": 4000, "k2": 5000, **{f"only{i}": i * 1000 for i in range(7)}}
+
+
+def test_dimensions_and_configuration_are_live(spark, tmp_path):
+    """A dimension row, a configured table and a removal that come between two batches of a
+    running query count in the second."""
+    dims, config = f"{tmp_path}/dims", f"{tmp_path}/config"
+    spark.createDataFrame([("a", "A")], "id string, name string").write.parquet(dims)
+    setting = "source_table string, sink_table string"
+    spark.createDataFrame([("a", "first"), ("b", "second")], setting).write.parquet(config)
+
+    def build(batch):
+        named = joins.enrich(batch, spark.read.parquet(dims), "k", {"name": "name"})
+        return named.join(spark.read.parquet(config), named["k"] == F.col("source_table"))
+
+    feed = Feed(spark, tmp_path / "in").put(_ticks(spark, [("a", 0), ("b", 0), ("c", 0)]))
+    query = sinks.live_table(feed.stream(), f"{tmp_path}/out", build,
+                             sinks.Run(f"{tmp_path}/cp", trigger="0 seconds"))
+    try:
+        query.processAllAvailable()
+        spark.createDataFrame([("b", "B")], "id string, name string").write.mode("append").parquet(dims)
+        spark.createDataFrame([("b", "second"), ("c", "third")], setting).write.mode("overwrite").parquet(config)
+        feed.put(_ticks(spark, [("a", 0), ("b", 0), ("c", 0)]))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.parquet(f"{tmp_path}/out").where("batch = 0").select("k", "name", "sink_table").collect()
+    assert sorted(map(tuple, rows)) == [("a", "A", "first"), ("b", None, "second")]
+    rows = spark.read.parquet(f"{tmp_path}/out").where("batch > 0").select("k", "name", "sink_table").collect()
+    assert sorted(map(tuple, rows), key=repr) == [("b", "B", "second"), ("c", None, "third")]

@@ -19,18 +19,9 @@ DATABASE = "shop"
 DAY = 86_400
 
 
-# Tables that grow with the data, with the column that a table of one file is spread by.
-SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
-
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A test table. One that comes in fewer files than there are cores is spread
-    over the cores first; a table of many files is read as it lies."""
-    df = prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if table in SPREAD and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, SPREAD[table])
-    return df
+    """A test table, read as it lies."""
+    return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

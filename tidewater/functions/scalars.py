@@ -51,8 +51,9 @@ def date_to_millis(text: Column) -> Column:
 
 
 def line_amount(quantity: Column, price: Column) -> Column:
-    """Quantity times unit price, exact, as text."""
-    return (quantity.try_cast(MONEY) * price.try_cast(MONEY)).cast(AMOUNT).cast("string")
+    """Quantity times unit price, exact, as text; null beyond the range of amounts."""
+    product = F.try_multiply(quantity.try_cast(MONEY), price.try_cast(MONEY))
+    return product.try_cast(AMOUNT).cast("string")
 
 
 def amount(text: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import etl
-from .joins import broadcast_if_small
 from .state import last_rows
 
 
@@ -30,7 +29,6 @@ def created_targets(config: DataFrame) -> DataFrame:
 def route_dim(log: DataFrame, config: DataFrame) -> DataFrame:
     """Changes of configured tables, payload cut to the configured columns, with the
     change type added as op_type and the row key of the target."""
-    config = broadcast_if_small(config)
     joined = log.join(config, log["table"] == config["source_table"], "inner")
     payload = F.map_concat(
         F.map_filter("data", lambda k, _: k != "op_type"),
@@ -45,7 +43,6 @@ def route_dim(log: DataFrame, config: DataFrame) -> DataFrame:
 
 def route_facts(log: DataFrame, config: DataFrame) -> DataFrame:
     """Changes configured by table and type, payload cut to the configured columns."""
-    config = broadcast_if_small(config)
     joined = log.join(config, (log["table"] == config["source_table"])
                       & (log["type"] == config["source_type"]), "inner")
     return joined.select(
@@ -94,4 +91,4 @@ def upsert_latest(df: DataFrame, keys: list[str], order: list[str],
                   deleted: str | None = None) -> DataFrame:
     """Last row of each key, without the keys whose last row is a deletion."""
     last = last_rows(df, keys, order)
-    return last if deleted is None else last.where(~F.expr(deleted))
+    return last if deleted is None else last.where(~F.coalesce(F.expr(deleted), F.lit(False)))

@@ -1,9 +1,7 @@
 """Joins.
 
-Spark broadcasts a side when its own size check allows it and shuffles otherwise; a hot
-key in a shuffled join is split at run time. Only dictionaries and configuration get a
-hint, after their size has been measured: they are joined on a handful of codes, and
-shuffling a large table on those is to be avoided even before the run-time check.
+No side has a hint: Spark broadcasts a side when its size check, before or at run time,
+allows it, and shuffles otherwise; a hot key in a shuffled join is split at run time.
 """
 
 from __future__ import annotations
@@ -12,19 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# A side up to this many rows and bytes of JSON text is broadcast.
-SMALL_ROWS = 10_000
-SMALL_BYTES = 8 * 1024 * 1024
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """The frame with a broadcast hint if it is measured to be small, else as it is.
-    The measure looks at one row more than the bound, not at all of a large frame."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    rows, size = df.limit(SMALL_ROWS + 1).agg(F.count(F.lit(1)), size).first()
-    return F.broadcast(df) if rows <= SMALL_ROWS and (size or 0) <= SMALL_BYTES else df
-
-
 def lookup(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
     """Add the dictionary name of a code. A code not in the dictionary drops the row."""
     dic = dictionary.select(F.col("dic_code").alias("_code"),

@@ -18,9 +18,6 @@ from ..functions import scalars as S
 # Copies of one row written by one task when copies are expanded again.
 COPY_CHUNK = 1_000_000
 
-# Partitions that one visitor's records are salted over in the new-visitor repair.
-VISITOR_SALT = 16
-
 
 def first_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row of each key. The rank filter is applied before the shuffle too, so
@@ -52,10 +49,9 @@ def repair_new_visitor(log: DataFrame, order: list[str] = ["ts", "seq"]) -> Data
 
     The first record of a visitor fixes the day: its own day if it claims to be new,
     the day before if not. A later record claiming to be new on another day is set
-    to '0'. One small row per visitor is joined to all records. A busy visitor's records
-    are salted over VISITOR_SALT partitions, with that many copies of the small row. The
-    salt also puts a shuffle of its own under both sides of the join, without which
-    Spark could not split a hot partition further at run time.
+    to '0'. One small row per visitor is joined to all records. The join has the visitor's
+    hash as a second key: the side grouped by visitor is then shuffled for the join as
+    well, without which Spark could not split a busy visitor's partition at run time.
     """
     seen = log.select(F.col("common.mid").alias("_mid"),
                       F.col("common.is_new").alias("_new"), *order)
@@ -63,12 +59,10 @@ def repair_new_visitor(log: DataFrame, order: list[str] = ["ts", "seq"]) -> Data
     stored = (first_rows(seen.where("_mid is not null"), ["_mid"], order)
               .select("_mid", F.when(F.col("_new") == "1", day)
                       .otherwise(F.date_sub(day, 1)).alias("_stored")))
-    copies = stored.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(VISITOR_SALT - 1))))
-    salted = log.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(VISITOR_SALT)).cast("int"))
-    joined = salted.join(copies, (F.col("common.mid") == F.col("_mid"))
-                         & (F.col("_salt") == F.col("_copy")), "left")
-    return (joined.withColumn("common", repaired_common())
-            .drop("_mid", "_stored", "_salt", "_copy"))
+    stored = stored.withColumn("_hash", F.xxhash64("_mid"))
+    joined = log.join(stored, (F.col("common.mid") == F.col("_mid"))
+                      & (F.xxhash64("common.mid") == F.col("_hash")), "left")
+    return joined.withColumn("common", repaired_common()).drop("_mid", "_stored", "_hash")
 
 
 def repaired_common():

@@ -84,7 +84,6 @@ TRAFFIC_LOGS = {"start": start, "display": display, "action": action, "err": err
 def comment(log: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
     rows = etl.pick(etl.table_changes(log, database, "comment_info", "insert"),
                     "id", "user_id", "sku_id", "appraise", "comment_txt")
-    dictionary = joins.broadcast_if_small(dictionary)
     named = joins.lookup(rows, dictionary, "appraise", "appraise_name")
     return named.select("id", "user_id", "sku_id", "appraise", "appraise_name",
                         "comment_txt", "ts")
@@ -129,7 +128,7 @@ def order_detail(log: DataFrame, database: str) -> DataFrame:
         F.col("od_ts").alias("ts"))
 
 
-def _timed(facts: DataFrame, name: str) -> DataFrame:
+def timed(facts: DataFrame, name: str) -> DataFrame:
     """Facts with the event time of ts under the given name, watermarked on a stream."""
     timed = facts.withColumn(name, S.event_time_seconds(F.col("ts")))
     return timed.withWatermark(name, LATENESS) if timed.isStreaming else timed
@@ -142,7 +141,7 @@ SPLITS = ("split_original_amount", "split_activity_amount", "split_coupon_amount
 
 def order_cancel(log: DataFrame, details: DataFrame, database: str) -> DataFrame:
     """Details of cancelled orders, at the time of cancelling."""
-    od = _timed(details, "od_et").drop("ts", "date_id", "create_time")
+    od = timed(details, "od_et").drop("ts", "date_id", "create_time")
     oc = _table(log, database, "order_info", "update",
                 etl.moved("order_status", etl.ORDER_PLACED, etl.ORDER_CANCELLED), "oc_",
                 cancelled="id", cancel_time="operate_time")
@@ -163,10 +162,9 @@ def payments(log: DataFrame, database: str) -> DataFrame:
 def order_payment(log: DataFrame, details: DataFrame, dictionary: DataFrame, database: str,
                   before: str = PAY_BEFORE, after: str = PAY_AFTER) -> DataFrame:
     """Details of paid orders: ordered within half an hour before the payment."""
-    od = _timed(details, "od_et").drop("ts")
+    od = timed(details, "od_et").drop("ts")
     rows = joins.interval(payments(log, database), od, F.col("paid_order") == F.col("order_id"),
                           "pi_et", "od_et", before, after)
-    dictionary = joins.broadcast_if_small(dictionary)
     rows = joins.lookup(rows, dictionary, "payment_type", "payment_type_name")
     return rows.select(
         F.col("id").alias("order_detail_id"), *ORDER_COLUMNS,
@@ -184,7 +182,6 @@ def order_refund(log: DataFrame, dictionary: DataFrame, database: str) -> DataFr
                 etl.became("order_status", etl.ORDER_REFUND_ASKED), "oi_",
                 "province_id", oi_id="id")
     rows = ri.join(oi, _near(ri, F.col("order_id") == F.col("oi_id"), "ri_et", "oi_et"))
-    dictionary = joins.broadcast_if_small(dictionary)
     rows = joins.lookup(rows, dictionary, "refund_type", "refund_type_name")
     rows = joins.lookup(rows, dictionary, "refund_reason_type", "refund_reason_type_name")
     return rows.select(
@@ -210,7 +207,6 @@ def refund_payment(log: DataFrame, dictionary: DataFrame, database: str) -> Data
     same = (F.col("order_id") == F.col("ri_order")) & (F.col("sku_id") == F.col("ri_sku"))
     rows = rp.join(ri, _near(rp, same, "rp_et", "ri_et"))
     rows = rows.join(oi, _near(rp, F.col("order_id") == F.col("oi_id"), "rp_et", "oi_et"))
-    dictionary = joins.broadcast_if_small(dictionary)
     rows = joins.lookup(rows, dictionary, "payment_type", "payment_type_name")
     return rows.select(
         "id", "user_id", "order_id", "sku_id", "province_id",

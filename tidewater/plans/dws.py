@@ -33,7 +33,7 @@ def _day_firsts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row of each key and day."""
     if df.isStreaming:
         from ..streaming.state import first_of_day
-        return first_of_day(df, keys)
+        return first_of_day(df, keys, order)
     return (state.first_rows(df.withColumn("_day", F.to_date("et")), [*keys, "_day"], order)
             .drop("_day"))
 
@@ -41,7 +41,7 @@ def _day_firsts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def _day_visits(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     if df.isStreaming:
         from ..streaming.state import day_visits
-        return day_visits(df, [key])
+        return day_visits(df, [key], order)
     return state.day_visits(df, key, order)
 
 
@@ -57,24 +57,24 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
     of a busy visitor or session. uj_ct is our addition; on a stream it is written by
     bounces() and is 0 here.
 
-    On a stream the first views come from de-duplication that remembers a visitor's
-    day for a day and a session for its TTL. All flows come from one source, so the
-    query is to run with the watermark of the most advanced one (Run.one_source);
-    otherwise windows close only after the longest of these spans.
+    On a stream the first views come from keyed state, which remembers a visitor's last
+    day, and a session for its TTL. All flows have the same lateness, so their windows
+    close together.
     """
     rows = pages.select(
         "et", *ORDER, F.col("common.mid").alias("mid"), F.col("common.sid").alias("sid"),
         *[F.col(f"common.{k}").alias(k) for k in TRAFFIC_KEYS],
         F.col("page.during_time").alias("dur_sum"))
-    views = with_lateness(rows).select(
+    rows = with_lateness(rows)
+    views = rows.select(
         "et", *TRAFFIC_KEYS, _zero("uv_ct"), _zero("sv_ct"), _one("pv_ct"), "dur_sum",
         _zero("uj_ct"))
     by_day = rows.select("et", *ORDER, "mid", *TRAFFIC_KEYS, F.to_date("et").alias("day"))
     narrow = rows.select("et", *ORDER, "sid", *TRAFFIC_KEYS)
     if pages.isStreaming:
-        from ..streaming.state import first_within
-        visitors = first_within(by_day, ["mid", "day"], "1 day")
-        sessions = first_within(narrow, ["sid"], session_ttl).withColumn(
+        from ..streaming.state import first_of_day, first_of_session
+        visitors = first_of_day(by_day, ["mid"], ORDER)
+        sessions = first_of_session(narrow, "sid", session_ttl, ORDER).withColumn(
             "uj_ct", F.lit(0).cast("long"))
     else:
         visitors = state.first_rows(by_day, ["mid", "day"], ORDER)
@@ -143,7 +143,7 @@ def user_login(pages: DataFrame, size: str = WINDOW,
 def user_register(registrations: DataFrame, size: str = WINDOW) -> DataFrame:
     """Registrations by their creation time in epoch milliseconds."""
     rows = with_lateness(registrations.select(
-        S.event_time_millis(F.col("create_time").cast("long")).alias("et")))
+        S.event_time_millis(F.expr("try_cast(create_time AS bigint)")).alias("et")))
     return tumble(rows, size, [], [F.count(F.lit(1)).alias("register_ct")], day_from="end")
 
 
@@ -180,8 +180,11 @@ def province_order(details: DataFrame, provinces: DataFrame, size: str = WINDOW)
     rows = _timed(details).select(
         "et", "ts", "id", "sku_id", "order_id", "province_id",
         S.amount(F.col("split_total_amount")).alias("order_amount"))
-    once = (rows.dropDuplicates(["id"]) if rows.isStreaming
-            else state.first_rows(rows, ["id"], DETAIL_ORDER))
+    if rows.isStreaming:
+        from ..streaming.state import first_of_session
+        once = first_of_session(rows, "id", None, DETAIL_ORDER)
+    else:
+        once = state.first_rows(rows, ["id"], DETAIL_ORDER)
     table = tumble_distinct(once, size, ["province_id"], "order_id", "order_count",
                             ["order_amount"])
     return joins.enrich(table, provinces, "province_id", {"province_name": "name"})

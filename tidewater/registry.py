@@ -402,7 +402,7 @@ def join_composite(spark, sf):
 @query
 def join_interval(spark, sf):
     pi = dwd.payments(_changes(spark, sf, "payment_info"), B.DATABASE)
-    od = dwd._timed(_facts(spark, sf), "od_et").select(
+    od = dwd.timed(_facts(spark, sf), "od_et").select(
         "id", "order_id", "sku_id", "split_total_amount", "od_et")
     rows = joins.interval(pi, od, F.col("paid_order") == F.col("order_id"), "pi_et", "od_et",
                           *PAY_INTERVAL)

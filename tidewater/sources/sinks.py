@@ -3,6 +3,7 @@ writes under its batch number, so a batch that is run again replaces itself."""
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -26,8 +27,9 @@ def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
     return root.rstrip("/")
 
 
+# Queries start one after the other, so that none takes the settings meant for another.
+STARTING = threading.Lock()
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
-WATERMARK_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
 
 
 @dataclass(frozen=True)
@@ -37,15 +39,11 @@ class Run:
     ttl_state marks a query whose keyed state expires by processing time. Such a query
     asks for another batch as long as it lives, so a run through what is there has to
     do without batches that bring no data; its last windows close in the next run.
-
-    one_source says that all branches of the query read the same source, so that the
-    most advanced of their watermarks may lead. With several sources the slowest must.
     """
 
     checkpoint: str
     available_now: bool = False
     ttl_state: bool = False
-    one_source: bool = False
     trigger: str = TRIGGER
 
     def start(self, spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
@@ -57,16 +55,15 @@ class Run:
         settings = {}
         if self.available_now and self.ttl_state:
             settings[NO_DATA_BATCHES] = "false"
-        if self.one_source:
-            settings[WATERMARK_POLICY] = "max"
-        before = {key: spark.conf.get(key) for key in settings}
-        for key, value in settings.items():  # a query takes its settings when it starts
-            spark.conf.set(key, value)
-        try:
-            return writer.start()
-        finally:
-            for key, value in before.items():
+        with STARTING:  # a query takes its session's settings when it starts
+            before = {key: spark.conf.get(key) for key in settings}
+            for key, value in settings.items():
                 spark.conf.set(key, value)
+            try:
+                return writer.start()
+            finally:
+                for key, value in before.items():
+                    spark.conf.set(key, value)
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -143,18 +140,69 @@ def split_logs(log: DataFrame, path: str, run: Run) -> StreamingQuery:
     return _foreach(log, write, run)
 
 
+def live_table(df: DataFrame, path: str, build: Callable[[DataFrame], DataFrame],
+               run: Run) -> StreamingQuery:
+    """What build makes of each micro-batch. A dimension or configuration that build
+    reads is read anew for every batch, so changes count from the next batch on."""
+    return _foreach(df, lambda batch, number: _put(build(batch), path, number), run)
+
+
+# Batches after which an upsert table is folded into a new base.
+FOLD = 20
+
+
 def upsert_table(df: DataFrame, path: str, keys: list[str], order: list[str],
-                 run: Run) -> StreamingQuery:
-    """Keyed rows: each batch adds the last row of each of its keys, and read_upserts
-    takes the last over the batches. No batch rewrites the table."""
+                 run: Run, fold: int = FOLD) -> StreamingQuery:
+    """Keyed rows. Each batch adds the last row of each of its keys to the changes; every
+    fold batches base and changes become a new base, the last row of every key. A marker
+    written after the base makes it count, so a batch or a fold that is run again does
+    no harm. Changes older than the base before are deleted."""
+    spark = df.sparkSession
+    _mark(spark, path, -1, "ignore")
+
     def write(batch: DataFrame, number: int) -> None:
-        _put(last_rows(batch, keys, order), path, number)
+        _put(last_rows(batch, keys, order), f"{path}/changes", number)
+        if number % fold != fold - 1:
+            return
+        before = _folded(spark, path, number)
+        rows = _since(spark, path, before).where(F.col("batch") <= number)
+        (last_rows(rows, keys, [*order, "batch"]).drop("batch")
+         .write.mode("overwrite").parquet(f"{path}/base/{number}"))
+        _mark(spark, path, number, "overwrite")
+        for old in range(max(0, before - fold + 1), before + 1):
+            _delete(spark, f"{path}/changes/batch={old}")
     return _foreach(df, write, run)
 
 
+def _mark(spark: SparkSession, path: str, number: int, mode: str) -> None:
+    spark.range(1).write.mode(mode).parquet(f"{path}/folded/through={number}")
+
+
+def _folded(spark: SparkSession, path: str, below: int | None = None) -> int:
+    """The newest batch that a base holds, or -1."""
+    marks = spark.read.parquet(f"{path}/folded")
+    marks = marks if below is None else marks.where(F.col("through") < below)
+    return marks.agg(F.max("through")).first()[0]
+
+
+def _since(spark: SparkSession, path: str, through: int) -> DataFrame:
+    """A base and the changes after it."""
+    rows = spark.read.parquet(f"{path}/changes").where(F.col("batch") > through)
+    if through < 0:
+        return rows
+    base = spark.read.parquet(f"{path}/base/{through}")
+    return rows.unionByName(base.withColumn("batch", F.lit(through)))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def read_upserts(spark: SparkSession, path: str, keys: list[str], order: list[str],
                  deleted: str | None = None) -> DataFrame:
-    rows = spark.read.parquet(path)
+    """The last row of each key: the newest base and the few batches after it."""
+    rows = _since(spark, path, _folded(spark, path))
     return changelog.upsert_latest(rows, keys, [*order, "batch"], deleted).drop("batch")
 
 
@@ -162,7 +210,7 @@ def tombstones(df: DataFrame, keys: list[str], deleted: str) -> DataFrame:
     """Keyed JSON records of an upsert topic; a deleted key has a null value."""
     value = F.to_json(F.struct(*df.columns))
     return df.select(F.to_json(F.struct(*keys)).alias("key"),
-                     F.when(~F.expr(deleted), value).alias("value"))
+                     F.when(~F.coalesce(F.expr(deleted), F.lit(False)), value).alias("value"))
 
 
 ROUTED = T.StructType([

@@ -1,9 +1,10 @@
 """Keyed state in streaming form.
 
-The flags work in arrival order, like any keyed stream; on input in event-time order
-they give what the batch forms give. A day flag keeps one day per key. In front of it,
-rows of the same key and day are dropped within the watermark, so that of a busy key
-only a few rows get as far as the custom state.
+Micro-batches are taken as they come; inside one, a key's rows are taken in event-time
+order and not as a shuffle happened to deliver them. So on input whose micro-batches
+follow each other in event time the results are those of the batch forms, however many
+files and tasks a micro-batch has. Where only a first row counts, the rows stream through
+and the smallest is kept; a day flag keeps one row per new day.
 """
 
 from __future__ import annotations
@@ -24,10 +25,9 @@ def millis(ttl: str) -> int:
     return int(count) * per * 1000
 
 
-def first_within(df: DataFrame, keys: list[str], span: str, time: str = "et") -> DataFrame:
-    """First row of each key, a key being forgotten a span after its first row. The
-    frame must not have a watermark yet."""
-    return df.withWatermark(time, span).dropDuplicatesWithinWatermark(keys)
+def _rank(row: Row, order: list[str]) -> tuple:
+    """What rows are ordered by; nulls come first."""
+    return tuple((row[c] is not None, row[c]) for c in order)
 
 
 class _DayFlag(StatefulProcessor):
@@ -36,8 +36,8 @@ class _DayFlag(StatefulProcessor):
     A row behind the watermark is left out here, as it would be by a window.
     """
 
-    def __init__(self, columns: list[str]):
-        self.columns = columns
+    def __init__(self, columns: list[str], order: list[str]):
+        self.columns, self.order = columns, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last_day", "day date")
@@ -46,14 +46,14 @@ class _DayFlag(StatefulProcessor):
         named = Row(*self.columns, "_prev_day")
         stored = self.last.get()[0] if self.last.exists() else None
         watermark = timerValues.getCurrentWatermarkInMs()
-        days = {}  # of this batch only, one row each
+        days = {}  # of this batch only, the first row of each
         for row in rows:
-            day = row["_day"]
-            if row["_ms"] > watermark and day != stored and day not in days:
-                days[day] = named(*[row[c] for c in self.columns], None).asDict(True)
+            day, rank = row["_day"], _rank(row, self.order)
+            if row["_ms"] > watermark and day != stored and (day not in days or rank < days[day][0]):
+                days[day] = rank, row
         newest = stored
         for day in sorted(days):
-            yield Row(**{**days[day], "_prev_day": newest})
+            yield named(*[days[day][1][c] for c in self.columns], newest)
             newest = day if newest is None else max(newest, day)
         if newest != stored:
             self.last.update((newest,))
@@ -62,22 +62,23 @@ class _DayFlag(StatefulProcessor):
         pass
 
 
-def day_visits(df: DataFrame, keys: list[str], time: str = "et") -> DataFrame:
+def day_visits(df: DataFrame, keys: list[str], order: list[str] = [],
+               time: str = "et") -> DataFrame:
     """First row of each key and day, with the key's previous day, null for none."""
     daily = df.withColumn("_day", F.to_date(time))
-    daily = daily.dropDuplicatesWithinWatermark([*keys, "_day"])
     schema = T.StructType([*daily.schema.fields, T.StructField("_prev_day", T.DateType())])
     return daily.withColumn("_ms", F.unix_millis(time)).groupBy(*keys).transformWithState(
-        _DayFlag(daily.columns), schema, "append", "eventTime", eventTimeColumnName=time)
+        _DayFlag(daily.columns, ["_ms", *order]), schema, "append", "eventTime", eventTimeColumnName=time)
 
 
-def first_of_day(df: DataFrame, keys: list[str], time: str = "et") -> DataFrame:
+def first_of_day(df: DataFrame, keys: list[str], order: list[str] = [],
+                 time: str = "et") -> DataFrame:
     """First row of each key and day."""
-    return day_visits(df, keys, time).drop("_day", "_prev_day")
+    return day_visits(df, keys, order, time).drop("_day", "_prev_day")
 
 
 class _Expiring(StatefulProcessor):
-    """One value per key that is forgotten a TTL after it was written.
+    """One value per key that is forgotten a TTL after it was written, or never.
 
     By the event clock the value goes when the watermark has passed its time plus the
     TTL. That can be replayed, and windows can follow in the same query. By the
@@ -85,7 +86,7 @@ class _Expiring(StatefulProcessor):
     then have to be a query of their own, since no watermark passes such an operator.
     """
 
-    def __init__(self, name: str, schema: str, ttl_ms: int, clock: str):
+    def __init__(self, name: str, schema: str, ttl_ms: int | None, clock: str):
         self.name, self.schema, self.ttl_ms, self.clock = name, schema, ttl_ms, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -103,11 +104,11 @@ class _Expiring(StatefulProcessor):
         return tuple(self.value.get()) if self.value.exists() else None
 
     def expired(self, value: tuple, now_ms: int) -> bool:
-        return self.clock == "event" and now_ms > value[-2] + self.ttl_ms
+        return self.clock == "event" and self.ttl_ms is not None and now_ms > value[-2] + self.ttl_ms
 
     def store(self, old: tuple | None, new: tuple, ms: int, watermark: int) -> None:
         timer = None
-        if self.clock == "event":
+        if self.clock == "event" and self.ttl_ms is not None:
             timer = max(ms + self.ttl_ms, watermark + 1)
             if old is not None and old[-1] != timer:
                 self.handle.deleteTimer(old[-1])
@@ -135,33 +136,40 @@ def _by_clock(df: DataFrame, key: str, processor: _Expiring, out: T.StructType,
 class _FirstSeen(_Expiring):
     """Passes a key's first row, and again the first after it was forgotten."""
 
-    def __init__(self, columns: list[str], ttl_ms: int, clock: str):
+    def __init__(self, columns: list[str], order: list[str], ttl_ms: int | None, clock: str):
         super().__init__("first", "seen boolean", ttl_ms, clock)
-        self.columns = columns
+        self.columns, self.order = columns, order
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = Row(*self.columns)
         old = value = self.load()
         watermark = self.watermark(timerValues)
-        for row in rows:
-            if row["_ms"] > watermark and (value is None or self.expired(value, row["_ms"])):
+        fresh = (row for row in rows if row["_ms"] > watermark
+                 and (old is None or self.expired(old, row["_ms"])))
+        if self.ttl_ms is None:  # nothing comes after the first: one row is held
+            first = min(fresh, key=lambda row: _rank(row, self.order), default=None)
+            fresh = [] if first is None else [first]
+        for row in sorted(fresh, key=lambda row: _rank(row, self.order)):
+            if value is None or self.expired(value, row["_ms"]):
                 value = (True, row["_ms"], None)
                 yield named(*[row[c] for c in self.columns])
         if value is not None and value is not old:
             self.store(old, value[:-2], value[-2], watermark)
 
 
-def first_of_session(df: DataFrame, key: str, ttl: str, time: str = "et",
-                     clock: str = "event") -> DataFrame:
-    """First row of each session id, a session being forgotten a TTL after it began."""
-    return _by_clock(df, key, _FirstSeen(df.columns, millis(ttl), clock), df.schema, time)
+def first_of_session(df: DataFrame, key: str, ttl: str | None, order: list[str] = [],
+                     time: str = "et", clock: str = "event") -> DataFrame:
+    """First row of each session id, a session being forgotten a TTL after it began, or
+    never."""
+    processor = _FirstSeen(df.columns, ["_ms", *order], millis(ttl) if ttl else None, clock)
+    return _by_clock(df, key, processor, df.schema, time)
 
 
 class _VisitorRepair(StatefulProcessor):
     """Adds the visitor's stored first day to each record."""
 
-    def __init__(self, columns: list[str]):
-        self.columns = columns
+    def __init__(self, columns: list[str], order: list[str]):
+        self.columns, self.order = columns, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first_day", "day date")
@@ -169,44 +177,45 @@ class _VisitorRepair(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = Row(*self.columns, "_stored")
         stored = self.first.get()[0] if self.first.exists() else None
+        if stored is None:  # only in a visitor's first batch are its rows held
+            rows = list(rows)
+            first = min(rows, key=lambda row: _rank(row, self.order))
+            today: date = first["_today"]
+            stored = today if first["common"]["is_new"] == "1" else today - timedelta(days=1)
+            self.first.update((stored,))
         for row in rows:
-            if stored is None:
-                today: date = row["_today"]
-                claims_new = row["common"]["is_new"] == "1"
-                stored = today if claims_new else today - timedelta(days=1)
-                self.first.update((stored,))
             yield named(*[row[c] for c in self.columns], stored)
 
     def close(self) -> None:
         pass
 
 
-def repair_new_visitor(log: DataFrame) -> DataFrame:
-    """common.is_new corrected by the visitor's first day, records in arrival order.
-    A visitor's records stream through; only the first day is kept."""
+def repair_new_visitor(log: DataFrame, order: list[str] = ["ts", "seq"]) -> DataFrame:
+    """common.is_new corrected by the visitor's first day. A known visitor's records
+    stream through; only the first day is kept."""
     from ..operators.state import repaired_common
     keyed = (log.withColumn("_mid", F.col("common.mid"))
              .withColumn("_today", F.to_date(F.timestamp_millis("ts"))))
     schema = T.StructType([*log.schema.fields, T.StructField("_stored", T.DateType())])
     repaired = keyed.groupBy("_mid").transformWithState(
-        _VisitorRepair(log.columns), schema, "append", "none")
+        _VisitorRepair(log.columns, order), schema, "append", "none")
     return repaired.withColumn("common", repaired_common()).drop("_stored")
 
 
 class _Delta(_Expiring):
     """Turns repeated rows of a key into corrections on the row before."""
 
-    def __init__(self, amounts: list[str], carry: list[str], schema: str, ttl_ms: int,
-                 clock: str):
+    def __init__(self, amounts: list[str], carry: list[str], order: list[str], schema: str,
+                 ttl_ms: int, clock: str):
         super().__init__("last", schema, ttl_ms, clock)
-        self.amounts, self.carry = amounts, carry
+        self.amounts, self.carry, self.order = amounts, carry, order
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         named = Row(*self.amounts, *self.carry)
         watermark = self.watermark(timerValues)
         old = prev = self.load()
         n, width = len(self.amounts), len(self.amounts) + len(self.carry)
-        for row in rows:
+        for row in sorted(rows, key=lambda row: _rank(row, self.order)):
             current = (*[row[a] for a in self.amounts], *[row[c] for c in self.carry],
                        row["_ms"], None)
             # A row goes to the window of the carried time. Behind the watermark that
@@ -232,4 +241,5 @@ def delta_correct(df: DataFrame, key: str, amounts: list[str], ttl: str, time: s
     out = T.StructType([*[T.StructField(a, wide[a]) for a in amounts],
                         *[fields[c] for c in carry]])
     state = ", ".join(f"{c} {fields[c].dataType.simpleString()}" for c in (*amounts, *carry))
-    return _by_clock(df, key, _Delta(amounts, carry, state, millis(ttl), clock), out, time)
+    processor = _Delta(amounts, carry, [*carry, *amounts], state, millis(ttl), clock)
+    return _by_clock(df, key, processor, out, time)
