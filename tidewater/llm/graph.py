@@ -20,27 +20,26 @@ def components(edges: DataFrame) -> DataFrame:
     the shuffle, so a node with many edges is no burden to one task."""
     edges = C.stored(edges.filter(F.col("a") != F.col("b"))
                      .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.join(low, "a").filter(F.col("b") > F.col("a"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")))
-        large = large.filter(F.col("a") != F.col("b")).distinct()
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.unionByName(low.withColumnRenamed("m", "b"))
-        edges = C.stored(small.filter(F.col("a") != F.col("b"))
-                         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        edges = C.stored(small.filter(F.col("a") != F.col("b")).unionByName(low.withColumnRenamed("m", "b")).distinct())
     # Every edge now leads from a node to its root.
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node that hangs on another hangs on one alone, which is a root."""
+    hung = edges.groupBy("a").agg(F.count("*").alias("n"))
+    roots = edges.select(F.col("b").alias("root")).distinct()
+    return hung.join(roots, hung["a"] == roots["root"], "left").filter((F.col("n") > 1) | F.col("root").isNotNull()).isEmpty()
+
+
 def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     """A bit set of fixed size that holds the hashes of all ids; others may pass as well."""
     rows = ids.select(place_in_filter(column).alias("p")).select(

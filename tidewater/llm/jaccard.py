@@ -290,10 +290,14 @@ def _by_key(df: DataFrame, key: str, work, schema: str) -> DataFrame:
 EDGES = "a bigint, b bigint"
 
 
-def _edges(node: np.ndarray, edges):
-    if edges:
-        a, b = np.array(edges).T
-        yield from C.to_batches({"a": node[a], "b": node[b]})
+def _edges(node: np.ndarray, region: Region):
+    """Links of a region as stars: every linked document with the smallest one connected."""
+    if region.edges:
+        linked = sorted({i for e in region.edges for i in e})
+        root, least = [region.root(i) for i in linked], {}
+        for i, r in zip(linked, root):
+            least[r] = min(least.get(r, node[i]), node[i])
+        yield from C.to_batches({"a": node[linked], "b": np.array([least[r] for r in root], np.int64)})
 
 
 def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -339,7 +343,7 @@ def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
     def join_small(table):
         region = Region(_sets_of(table))
         region.join(np.arange(table.num_rows))
-        yield from _edges(table.column("node").to_numpy(), region.edges)
+        yield from _edges(table.column("node").to_numpy(), region)
 
     found = _by_key(rows.filter(F.col("count") == 0).select("pivot", "node", "set"), "pivot", join_small, EDGES)
     hot = rows.filter(F.col("count") > 0)
@@ -365,7 +369,7 @@ def _large(rows: DataFrame) -> DataFrame:
         node = table.column("node").to_numpy()
         region = Region(_sets_of(table))
         region.leaf(np.arange(node.size), np.zeros((0, node.size)), int(head.sum()))
-        yield from _edges(node, region.edges)
+        yield from _edges(node, region)
 
     every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
     open_rows = rows
