@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, jaccard, langid, packing, pii, quality, recompress, rules, suffixes, warc
+from . import decontaminate, jaccard, langid, packing, pii, quality, recompress, rules, sql, suffixes, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +84,4 @@ QUERIES = {
     "op10_recompression": op10_recompression,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(sql.STATEMENTS)
