@@ -361,3 +361,15 @@ def test_hot_visitor_is_split_at_run_time(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     first_day = sum(1 for i in range(60_000) if i % 10 < 9 and i * 10_000 < DAY)
     assert len(kept) == n == first_day + 6_000
+
+
+@pytest.mark.parametrize("name, value", [("ads_channel_uv", "uv_ct"), ("ads_channel_sv", "sv_ct")])
+def test_reports_come_in_order(spark, name, value):
+    found = [(-r[value], r.ch) for r in registry.QUERIES[name](spark, SF).collect()]
+    assert len(found) > 1 and found == sorted(found)
+
+
+def test_report_order_has_a_rule_for_ties(spark):
+    traffic = spark.createDataFrame([("c", 20240101, 2), ("a", 20240101, 2), ("b", 20240101, 3)],
+                                    "ch string, cur_date int, uv_ct long")
+    assert [r.ch for r in ads.channel_uv(traffic).collect()] == ["b", "a", "c"]

@@ -217,38 +217,57 @@ def _traffic(size: str) -> str:
                THEN 1 ELSE 0 END AS uv,
           CASE WHEN row_number() OVER (PARTITION BY sid ORDER BY ts, seq) = 1 THEN 1 ELSE 0 END AS sv,
           CASE WHEN count(*) OVER (PARTITION BY sid) = 1 THEN 1 ELSE 0 END AS uj
-        FROM pl)
+        FROM log)
   GROUP BY ws, vc, ch, ar, is_new"""
 
 
-_cte("traffic", _traffic("1 day"), "pl")
-_cte("traffic_hour", _traffic("1 hour"), "pl")
+_cte("traffic", _traffic("1 day"), "log")
+_cte("traffic_hour", _traffic("1 hour"), "log")
 
-_cte("hd_first", """
+
+def _hd_first(source: str) -> str:
+    return f"""
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mid, page_id, CAST(et AS DATE)
                                               ORDER BY ts, seq) AS rn
-                 FROM pl WHERE page_id IN ('home', 'good_detail')) WHERE rn = 1""", "pl")
+                 FROM {source} WHERE page_id IN ('home', 'good_detail')) WHERE rn = 1"""
+
+
+_cte("hd_first", _hd_first("pl"), "pl")
+_cte("hd_first_log", _hd_first("log"), "log")
 
 _cte("home_detail", f"""
   SELECT {_bounds('1 day')}, CAST(count(*) FILTER (page_id = 'home') AS BIGINT) AS home_uv_ct,
          CAST(count(*) FILTER (page_id = 'good_detail') AS BIGINT) AS good_detail_uv_ct
-  FROM (SELECT *, {_win('et', '1 day')} AS ws FROM hd_first) GROUP BY ws""", "hd_first")
+  FROM (SELECT *, {_win('et', '1 day')} AS ws FROM hd_first_log) GROUP BY ws""", "hd_first_log")
 
 _SEARCH = "last_page_id IN ('search', 'home') AND item_type = 'keyword' AND item IS NOT NULL"
-_cte("kw", rf"""
+
+
+def _kw(source: str) -> str:
+    return rf"""
   SELECT * FROM (SELECT seq, et, unnest(list_distinct(
              regexp_split_to_array(lower(item), '[^\p{{L}}\p{{N}}]+'))) AS keyword
-                 FROM pl WHERE {_SEARCH}) WHERE keyword <> ''""", "pl")
+                 FROM {source} WHERE {_SEARCH}) WHERE keyword <> ''"""
+
+
+_cte("kw", _kw("pl"), "pl")
+_cte("kw_log", _kw("log"), "log")
 
 _cte("keyword", f"""
   SELECT {_bounds('1 day')}, keyword, count(*) AS keyword_count, 'SEARCH' AS source
-  FROM (SELECT *, {_win('et', '1 day')} AS ws FROM kw) GROUP BY ws, keyword""", "kw")
+  FROM (SELECT *, {_win('et', '1 day')} AS ws FROM kw_log) GROUP BY ws, keyword""", "kw_log")
+
 
-_cte("login_days", """
+def _login_days(source: str) -> str:
+    return f"""
   SELECT *, lag(CAST(et AS DATE)) OVER (PARTITION BY uid ORDER BY et) AS prev
   FROM (SELECT *, row_number() OVER (PARTITION BY uid, CAST(et AS DATE) ORDER BY ts, seq) AS rn
-        FROM pl WHERE uid IS NOT NULL AND (last_page_id IS NULL OR last_page_id = 'login'))
-  WHERE rn = 1""", "pl")
+        FROM {source} WHERE uid IS NOT NULL AND (last_page_id IS NULL OR last_page_id = 'login'))
+  WHERE rn = 1"""
+
+
+_cte("login_days", _login_days("pl"), "pl")
+_cte("login_days_log", _login_days("log"), "log")
 
 
 def _back(days: int) -> str:
@@ -258,7 +277,7 @@ def _back(days: int) -> str:
 
 _cte("login", f"""
   SELECT {_bounds('1 day')}, CAST(sum({_back(7)}) AS BIGINT) AS back_ct, count(*) AS uu_ct
-  FROM (SELECT *, {_win('et', '1 day')} AS ws FROM login_days) GROUP BY ws""", "login_days")
+  FROM (SELECT *, {_win('et', '1 day')} AS ws FROM login_days_log) GROUP BY ws""", "login_days_log")
 
 _cte("register", f"""
   SELECT {_bounds('1 hour', 'we')}, count(*) AS register_ct

@@ -616,24 +616,29 @@ def dwd_refund_pay_suc(spark, sf):
 
 # --- windowed tables ------------------------------------------------------------------
 
+def _pages(spark, sf):
+    """Page facts as the layers make them: raw text, parsed, the visitor flag repaired."""
+    return dwd.page(dwd.base_log(decode.behaviour_log(B.raw_behaviour(spark, sf))))
+
+
 @query
 def dws_traffic(spark, sf):
-    return dws.traffic(B.page_log(spark, sf), PAGE_WINDOW)
+    return dws.traffic(_pages(spark, sf), PAGE_WINDOW)
 
 
 @query
 def dws_home_detail(spark, sf):
-    return dws.home_detail(B.page_log(spark, sf), PAGE_WINDOW)
+    return dws.home_detail(_pages(spark, sf), PAGE_WINDOW)
 
 
 @query
 def dws_keyword(spark, sf):
-    return dws.keyword(B.page_log(spark, sf), PAGE_WINDOW)
+    return dws.keyword(_pages(spark, sf), PAGE_WINDOW)
 
 
 @query
 def dws_user_login(spark, sf):
-    return dws.user_login(B.page_log(spark, sf), PAGE_WINDOW)
+    return dws.user_login(_pages(spark, sf), PAGE_WINDOW)
 
 
 @query
@@ -681,7 +686,7 @@ def _report(name: str, build, *tables) -> None:
 
 
 def _traffic_by_hour(spark, sf):
-    return dws.traffic(B.page_log(spark, sf), HOUR_WINDOW)
+    return dws.traffic(_pages(spark, sf), HOUR_WINDOW)
 
 
 _report("ads_activity", ads.activity, dws_sku_order)
