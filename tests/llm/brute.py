@@ -82,7 +82,7 @@ def jaccard(rows):
             if sets[a] and 100 * both >= 75 * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    return sorted((k, len(sets[k]), find(k)) for k in keys)
+    return sorted(((k, len(sets[k]), find(k)) for k in keys), key=repr)
 
 
 def contamination(rows, items, window=13):

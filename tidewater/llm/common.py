@@ -98,6 +98,14 @@ def to_batches(arrays: dict, schema: pa.Schema | None = None):
     return out.combine_chunks().to_batches(max_chunksize=1 << 16)
 
 
+def shielded(docs: DataFrame, work, *names: str) -> DataFrame:
+    """The rows that work(docs) keeps, with the columns of docs, also where those have the
+    names of columns that work adds."""
+    own = {c: f"_own_{c}" for c in docs.columns if c in names}
+    kept = work(docs.withColumnsRenamed(own))
+    return kept.drop(*names).withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

@@ -222,4 +222,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The documents whose score reaches the threshold, with their columns. The model learns
     from the labels outside the held-out fold."""
     model = fit(docs, labels.filter(~held_out()))
-    return scored(docs, model).filter(F.col("score") >= threshold).select(*docs.columns)
+    return C.shielded(docs, lambda d: scored(d, model).filter(F.col("score") >= threshold), "score")
