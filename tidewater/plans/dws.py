@@ -57,8 +57,8 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
     of a busy visitor or session. uj_ct is our addition; on a stream it is written by
     bounces() and is 0 here.
 
-    On a stream the first views come from keyed state, which remembers a visitor's last
-    day, and a session for its TTL. All flows have the same lateness, so their windows
+    On a stream the first views come from keyed state, which remembers a visitor's day for
+    a day and a session for its TTL. All flows have the same lateness, so their windows
     close together.
     """
     rows = pages.select(
@@ -72,9 +72,9 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
     by_day = rows.select("et", *ORDER, "mid", *TRAFFIC_KEYS, F.to_date("et").alias("day"))
     narrow = rows.select("et", *ORDER, "sid", *TRAFFIC_KEYS)
     if pages.isStreaming:
-        from ..streaming.state import first_of_day, first_of_session
-        visitors = first_of_day(by_day, ["mid"], ORDER)
-        sessions = first_of_session(narrow, "sid", session_ttl, ORDER).withColumn(
+        from ..streaming.state import first_of_keys
+        visitors = first_of_keys(by_day, ["mid", "day"], "1 day", ORDER)
+        sessions = first_of_keys(narrow, ["sid"], session_ttl, ORDER).withColumn(
             "uj_ct", F.lit(0).cast("long"))
     else:
         visitors = state.first_rows(by_day, ["mid", "day"], ORDER)

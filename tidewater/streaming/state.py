@@ -165,6 +165,50 @@ def first_of_session(df: DataFrame, key: str, ttl: str | None, order: list[str]
     return _by_clock(df, key, processor, df.schema, time)
 
 
+class _FirstSeenOfMany(StatefulProcessor):
+    """Like _FirstSeen by the event clock, for all keys of a bucket at once: their times
+    are one value, which is read and written once for each micro-batch and loses what the
+    watermark has left a TTL behind."""
+
+    def __init__(self, columns: list[str], order: list[str], ttl_ms: int):
+        self.columns, self.order, self.ttl_ms = columns, order, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "keys array<string>, times array<bigint>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        named = Row(*self.columns)
+        watermark = timerValues.getCurrentWatermarkInMs()
+        stored = self.seen.get() if self.seen.exists() else ([], [])
+        seen = {k: ms for k, ms in zip(*stored) if ms + self.ttl_ms >= watermark}
+        rows = [row for row in rows if row["_ms"] > watermark]
+        for row in sorted(rows, key=lambda row: _rank(row, self.order)):
+            last = seen.get(row["_key"])
+            if last is None or row["_ms"] > last + self.ttl_ms:
+                seen[row["_key"]] = row["_ms"]
+                yield named(*[row[c] for c in self.columns])
+        self.seen.update((list(seen), list(seen.values())))
+
+    def close(self) -> None:
+        pass
+
+
+# Groups that the keys of first_of_keys are dealt over, each a value in the state.
+BUCKETS = 512
+
+
+def first_of_keys(df: DataFrame, keys: list[str], ttl: str, order: list[str],
+                  time: str = "et", buckets: int = BUCKETS) -> DataFrame:
+    """First row of each key, a key being forgotten a TTL after it. For short-lived keys in
+    large numbers, where a state access for each would cost more than all else."""
+    key = F.to_json(F.struct(*keys))
+    keyed = (df.withColumn("_key", key).withColumn("_ms", F.unix_millis(time))
+             .withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))))
+    return keyed.groupBy("_bucket").transformWithState(
+        _FirstSeenOfMany(df.columns, ["_ms", *order], millis(ttl)), df.schema, "append",
+        "eventTime", eventTimeColumnName=time)
+
+
 class _VisitorRepair(StatefulProcessor):
     """Adds the visitor's stored first day to each record."""
 
