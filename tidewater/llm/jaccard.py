@@ -169,7 +169,7 @@ def described(docs: DataFrame) -> DataFrame:
 
 def memberships(sets: DataFrame) -> DataFrame:
     """(pivot, node): the first-level regions. sets: one row for each distinct set."""
-    posting = sets.select(F.col("set_name").alias("node"), F.explode("prefix").alias("s"))
+    posting = sets.select("node", F.explode("prefix").alias("s"))
     block = (posting.groupBy("s").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
              .filter(F.col("pivot") != F.col("last")).select("s", "pivot"))
     return C.stored(posting.join(block, "s").select("pivot", "node").distinct())
@@ -301,8 +301,8 @@ def _edges(node: np.ndarray, region: Region):
 
 
 def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between different sets, (a, b) by set name, enough of them to connect all that
-    are connected. sets: set_name, n, sketch, prefix and doc_id, one row for each set."""
+    """Links between different sets, (a, b) by node, enough of them to connect all that are
+    connected. sets: node, set_name, n, sketch, prefix and doc_id, one row for each set."""
     spark = docs.sparkSession
     member = memberships(sets)
     sizes = member.groupBy("pivot").count().filter(F.col("count") > REGION)
@@ -314,13 +314,13 @@ def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
         if keep.any():
             yield from rows.select(["pivot", "node"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
-    described_small = small.join(sets.select(F.col("set_name").alias("node"), "n", "sketch"), "node")
+    described_small = small.join(sets.select("node", "n", "sketch"), "node")
     kept = _by_key(described_small.select("pivot", "node", "n", "sketch"), "pivot", may_link, "pivot bigint, node bigint")
     kept = C.stored(kept.withColumn("count", F.lit(0).cast("bigint"))
                     .unionByName(large.select("pivot", "node", "count")))
 
     # The whole sets of those documents only, made anew from their texts.
-    wanted = kept.select(F.col("node").alias("set_name")).distinct().join(sets.select("set_name", "doc_id"), "set_name")
+    wanted = kept.select("node").distinct().join(sets.select("node", "set_name", "doc_id"), "node")
     sent = spark.sparkContext.broadcast(G.id_filter(wanted, "doc_id"))
 
     def whole(batches):
@@ -330,14 +330,13 @@ def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(G.passes(bits, batch.column("place").to_numpy())))
         for rows, texts in C.slices(chosen()):
             made = shingle_sets(texts)
-            yield from C.to_batches({"node": pa.array([set_name(x) for x in made], pa.int64()),
+            yield from C.to_batches({"set_name": pa.array([set_name(x) for x in made], pa.int64()),
                                      "doc_id": rows.column("doc_id"),
                                      "set": pa.array([x.tobytes() for x in made], pa.binary())})
 
     placed = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", G.place_in_filter("doc_id").alias("place"))
-    made = C.map_batches(placed, whole, "node bigint, doc_id bigint, set binary")
-    made = (made.join(wanted.withColumnRenamed("set_name", "node"), ["node", "doc_id"]).drop("doc_id")
-            .dropDuplicates(["node"]))
+    made = C.map_batches(placed, whole, "set_name bigint, doc_id bigint, set binary")
+    made = made.join(wanted, ["set_name", "doc_id"]).select("node", "set").dropDuplicates(["node"])
     rows = C.stored(kept.join(made, "node"))
 
     def join_small(table):
@@ -414,12 +413,14 @@ def components(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     every = described(docs)
     lead = every.filter(F.col("n") > 0).groupBy("set_name").agg(F.min("doc_id").alias("lead"))
-    # One row for each set: that of its smallest id.
-    sets = (every.join(lead.select(F.col("set_name"), F.col("lead").alias("doc_id")), ["set_name", "doc_id"])
-            .dropDuplicates(["set_name"]))
-    roots = G.components(near_edges(docs, C.stored(sets)))
-    least = (roots.join(lead, roots["node"] == lead["set_name"]).groupBy("root").agg(F.min("lead").alias("least"))
-             .join(roots, "root").select(F.col("node").alias("set_name"), "least"))
+    # One row for each set: that of its smallest id. Nodes are numbered, since small numbers
+    # take less room in a shuffle than names do.
+    sets = C.stored(every.join(lead.select("set_name", F.col("lead").alias("doc_id")), ["set_name", "doc_id"])
+                    .dropDuplicates(["set_name"]).withColumn("node", F.monotonically_increasing_id()))
+    roots = G.components(near_edges(docs, sets))
+    named = roots.join(sets.select("node", "set_name", "doc_id"), "node")
+    least = (named.groupBy("root").agg(F.min("doc_id").alias("least")).join(named.select("root", "set_name"), "root")
+             .select("set_name", "least"))
     lead = C.stored(lead.join(least, "set_name", "left").select("set_name", F.coalesce("least", "lead").alias("least")))
     return (every.select("doc_id", F.col("n").alias("n_shingles"), "set_name").join(lead, "set_name", "left")
             .select("doc_id", "n_shingles",
