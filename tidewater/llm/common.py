@@ -24,7 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Rows of an Arrow batch. Texts may be long, so a batch is kept small.
 BATCH_ROWS = 512
 #: Bytes of text that a task works on at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 U = np.uint64
 GOLD, MIX_A, MIX_B = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93), U(0xC2B2AE3D27D4EB4F)

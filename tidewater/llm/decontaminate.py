@@ -36,7 +36,7 @@ WINDOW = 13
 #: Words of benchmark text in a broadcast block.
 BLOCK_WORDS = 200_000
 #: Bytes of training text in one suffix array.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 
 VERDICT = ("n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
            "contaminated boolean")

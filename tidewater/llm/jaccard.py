@@ -49,6 +49,8 @@ PERCENT, MARGIN = 75, 0.25
 #: Shingles counted as frequent: how many at most, and from how many occurrences on. They come
 #: last in the order of the prefix, which changes the work but not the result.
 FREQUENT, FREQUENT_FROM = 1 << 17, 64
+#: Shingles that a task counts at a time.
+COUNTED = 1 << 19
 #: Documents of a region that one task joins.
 REGION = 512
 PIVOTS, LEAF, STAR_ROUNDS = 4, 24, 2
@@ -100,7 +102,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
     the rarest ones when its table is full, and hands over those that it met twice."""
 
     def work(batches):
-        held, counts, fresh, size, limit = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 1 << 21
+        held, counts, fresh, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
         def merged():
             every = np.concatenate([held, *fresh])
@@ -116,10 +118,10 @@ def frequent(docs: DataFrame) -> np.ndarray:
         for _, texts in C.slices(batches):
             fresh += shingle_sets(texts)
             size += sum(map(len, texts))
-            if size > 10 * limit:
+            if size > 4 * C.SLICE_BYTES:
                 held, counts = merged()
                 fresh, size = [], 0
-                while held.size > limit:
+                while held.size > COUNTED:
                     keep = counts > counts.min()
                     held, counts = held[keep], counts[keep]
         held, counts = merged()

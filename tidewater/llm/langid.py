@@ -40,7 +40,7 @@ ORDER = 5
 MODEL_GRAMS, TOTAL_GRAMS = 200_000, 2_000_000
 CALIBRATE, REJECT_BEYOND = 16, 0.995
 #: Distinct words that a task counts or remembers before it hands over or forgets them.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 UNKNOWN = "und"
 FOUND = "lang_best string, score double, cross_entropy double, rejected boolean"
 
