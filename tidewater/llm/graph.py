@@ -40,9 +40,11 @@ def _stars(edges: DataFrame) -> bool:
     return hung.join(roots, hung["a"] == roots["root"], "left").filter((F.col("n") > 1) | F.col("root").isNotNull()).isEmpty()
 
 
-def id_filter(ids: DataFrame, column: str) -> np.ndarray:
-    """A bit set of fixed size that holds the hashes of all ids; others may pass as well."""
-    rows = ids.select(place_in_filter(column).alias("p")).select(
+def id_filter(ids: DataFrame, column: str, hashed: bool = False) -> np.ndarray:
+    """A bit set of fixed size that holds the hashes of all ids; others may pass as well.
+    Ids that are hashes already are their own."""
+    place = F.col(column).bitwiseAND(FILTER_BITS - 1) if hashed else place_in_filter(column)
+    rows = ids.select(place.alias("p")).select(
         F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, int(p & 63))").alias("b"))
     found = rows.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     out = np.zeros(FILTER_BITS >> 6, np.int64)

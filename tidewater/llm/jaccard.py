@@ -31,6 +31,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -172,8 +173,22 @@ def described(docs: DataFrame) -> DataFrame:
 def memberships(sets: DataFrame) -> DataFrame:
     """(pivot, node): the first-level regions. sets: one row for each distinct set."""
     posting = sets.select("node", F.explode("prefix").alias("s"))
-    block = (posting.groupBy("s").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-             .filter(F.col("pivot") != F.col("last")).select("s", "pivot"))
+    block = (posting.groupBy("s").agg(F.min("node").alias("pivot"), F.count("*").alias("nodes"))
+             .filter(F.col("nodes") > 1).select("s", "pivot"))
+    block = C.stored(block)
+    # Most shingles are in one prefix only; a bounded filter keeps them out of the join.
+    sent = sets.sparkSession.sparkContext.broadcast(G.id_filter(block, "s", hashed=True))
+
+    def shared(batches):
+        bits = sent.value
+        for batch in batches:
+            lists = batch.column("prefix")
+            s = lists.flatten().to_numpy()
+            node = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(lists).to_numpy())
+            keep = G.passes(bits, s & (G.FILTER_BITS - 1))
+            yield from C.to_batches({"node": node[keep], "s": s[keep]})
+
+    posting = C.map_batches(sets.select("node", "prefix"), shared, "node bigint, s bigint")
     return C.stored(posting.join(block, "s").select("pivot", "node").distinct())
 
 

@@ -28,6 +28,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -264,7 +265,7 @@ def _models(counts: DataFrame) -> dict[str, Model]:
     top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep).drop("rank").toArrow()
     out = {}
     for lang in langs:
-        part = top.filter(pa.compute.equal(top.column("lang"), lang))
+        part = top.filter(pc.equal(top.column("lang"), lang))
         gram = np.array(part.column("gram").to_pylist(), f"<U{ORDER}")
         # Trailing boundary signs are no padding here; they are blanks.
         rows = gram.view("<u4").reshape(-1, ORDER).astype(np.uint64)
