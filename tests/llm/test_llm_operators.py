@@ -4,6 +4,7 @@ repeated rows, empty tables and columns with clashing names."""
 import os
 import random
 import sys
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -79,6 +80,32 @@ def test_language_without_labels(spark, odd, empty):
     assert got(langid.identified(empty, nothing, ["doc_id"])) == []
 
 
+def test_language_models_keep_every_gram(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SHARD_GRAMS", 100_000, raising=False)
+    rng = random.Random(8)
+    vocabulary = {lang: ["".join(rng.choices(signs, k=8)) for _ in range(n)]
+                  for lang, signs, n in (("x", "abcdefghijklmnopqrstuvwxyz", 60_000), ("y", "abcdeé𐐨", 3_000))}
+    rows = [(i, lang, " ".join(words[k:k + 200])) for lang, words in vocabulary.items()
+            for i, k in enumerate(range(0, len(words), 200))]
+    learned = langid.learn(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    # Plain models: all n-grams of all texts, in one piece.
+    entropy, texts = {}, [" ".join(vocabulary["x"][-300:]), " ".join(vocabulary["y"][:300]), "new words", "ß"]
+    for lang, words in vocabulary.items():
+        count = Counter(w[i:i + 5] for w in (f"    {w} " for w in words) for i in range(len(w) - 4))
+        model = langid.Model(np.array([[ord(c) for c in g] for g in count], np.uint64), np.array(list(count.values())))
+        for text in texts:
+            strip = langid.Strip(text.split(), langid.letters())
+            logs = model.log_probabilities(strip, {n: strip.gram(n) for n in range(1, 6)}, {n: strip.context(n) for n in range(1, 5)})
+            entropy.setdefault(text, {})[lang] = -logs.mean()
+    found = {r.text: r for r in langid.identified(spark.createDataFrame([(0, t) for t in [*texts, ""]], DOCS), learned, ["text"]).collect()}
+    for text in texts:
+        lang = min(entropy[text], key=entropy[text].get)
+        odds = sum(np.exp(-min(50, len(text.replace(" ", ""))) * (e - entropy[text][lang])) for e in entropy[text].values())
+        assert found[text].lang_best == lang and found[text].cross_entropy == pytest.approx(entropy[text][lang], rel=1e-9)
+        assert found[text].score == pytest.approx(1 / odds)
+    assert found[""].lang_best == "und"
+
+
 # --- repeated substrings ----------------------------------------------------------------
 
 @pytest.mark.parametrize("hot", [1, 1000])
