@@ -191,6 +191,28 @@ def test_personal_disguises(text, kind, part):
     assert [(pii.KINDS[k], text[a:b]) for a, k, b in every if (a, k, b) not in base] == [(kind, part or text)]
 
 
+@pytest.mark.parametrize("text, kind, part", [
+    ("call +1 2 0 2 5 5 5 zero 1 four 7", "phone", "+1 2 0 2 5 5 5 zero 1 four 7"),
+    ("«+1 202 555 01 4seven» or +1 202 555 01 four7 or «+1 202 555 01 4 seven»", "phone", "+1 202 555 01 4 seven"),
+    ("card 4539 1488 0343 six four six seven", "card", "4539 1488 0343 six four six seven"),
+    ("in 2012, four five three nine 1488 0343 6467", "card", "four five three nine 1488 0343 6467"),
+    ("at １９２．１６８．１．２００ one two", "ip", "１９２．１６８．１．２００"),
+    ("ask jane at mail dot example dot museum today", "email", "jane at mail dot example dot museum"),
+    ("jane arobase exemple point paris", "email", "jane arobase exemple point paris"),
+])
+def test_personal_partly_disguised(text, kind, part):
+    finder = pii.Finder()
+    for other in ("", " (at) "):  # unrelated text changes nothing
+        base, every = finder.spans(text + other)
+        assert [(pii.KINDS[k], text[a:b]) for a, k, b in every if (a, k, b) not in base] == [(kind, part)]
+
+
+def test_personal_leaves_prose_alone():
+    finder = pii.Finder()
+    for text in ("She was at this point tired.", "Look at some dot above, at the dot near it.", "un point de vue, 7 ou 8"):
+        assert finder.spans(text) == ([], [])
+
+
 def test_personal_leaves_clean_texts_alone():
     finder = pii.Finder()
     for text in ("", "We met at the dot of noon.", "one two three", "un deux trois quatre", "Αθήνα и Москва", "a@b", "1.2.3", "v1.2"):

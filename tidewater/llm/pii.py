@@ -14,7 +14,9 @@ text with the source span of every character into another such text: look-alike
 full-width forms and other scripts' digits become ASCII and invisible characters vanish; runs
 of spelled digits become digits; "(at)", "[dot]" and "name at host dot com" become signs.
 Spans found in the result lead back to spans of the source, and are added to the base spans
-unless they lie inside one.
+unless they lie inside one. A number beside a run may belong to it or not: the text is read
+with it, without it, and with the run left as it stands, and of spans of one kind those inside
+another are left out.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans. Rows are
 treated one by one, so repeated rows and equal ids are results of their own.
@@ -139,19 +141,31 @@ SPELLED = {word: str(i) for names in (
     "zéro un deux trois quatre cinq six sept huit neuf",
     "cero uno dos tres cuatro cinco seis siete ocho nueve")
     for i, word in enumerate(names.split())} | {"oh": "0", "zwo": "2"}
-# Ends of host names that are taken in worded form, and names of the signs.
+# Ends of host names that are taken in any worded form, words that are no end of
+# one behind a worded sign, and names of the signs.
 TOP = "com|org|net|edu|gov|mil|int|info|biz|io|co|dev|app|ai|me|eu|uk|us|de|at|ch|fr|es|it|nl|be|br|mx|ca|au|jp|cn|in|ru|pl"
+PROSE = ("of|on|and|or|but|the|an|to|as|is|was|were|are|had|has|he|she|they|we|you|this|that|there|then|than|when|where|"
+         "which|who|with|from|for|by|so|if|not|und|oder|der|die|das|et|ou|le|la|les|des|du|en|el|los|las")
 AT, DOT = "at|arobase|arroba|klammeraffe|@", r"dot|punkt|point|punto|\."
 
 _NAME = "|".join(sorted(SPELLED, key=len, reverse=True))
-#: At least seven digits, spelled ones among them, with blanks, hyphens, commas or dots between.
-RUN = re.compile(rf"(?<![^\W_])(?:plus[\s-]+)?(?:{_NAME}|[0-9])(?:(?:[\s,.-]+|\s+(?:{DOT})\s+)(?:{_NAME}|[0-9]+)){{6,}}(?![^\W_])", re.I)
+_MORE = rf"(?:(?:[\s,.-]+|\s+(?:{DOT})\s+)(?:{_NAME}|[0-9]++))+(?![^\W_])"
+#: Digits and digits' names with blanks, hyphens, commas or dots between; RUNS: from any digits
+#: on, or from a single digit or a name on. Those with LEAST_DIGITS and a name are taken.
+RUNS = [re.compile(rf"(?<![^\W_])(?:plus[\s-]+)?(?:{_NAME}|{first}){_MORE}", re.I) for first in ("[0-9]++", "[0-9]")]
+LEAST_DIGITS = 7
+NAMED = re.compile(rf"(?<![^\W_])(?:{_NAME})(?![^\W_])", re.I)
 RUN_PART = re.compile(rf"plus|{_NAME}|[0-9]+|(?:{DOT})", re.I)
-#: Characters that may stand beside a spelled digit.
-BESIDE = str.maketrans(",.-;:()", "       ")
+NO_WORD = re.compile(r"[\W_]+")
 BRACKETED = re.compile(rf"[(\[{{<]\s*(?:(?P<at>{AT})|(?P<dot>{DOT}))\s*[)\]}}>]", re.I)
-WORDED = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?P<at>\s+(?:{AT})\s+|@)[A-Za-z0-9-]+"
-                    rf"(?:(?:\s+(?:{DOT})\s+|\.)[A-Za-z0-9-]+)*?\s+(?:dot|punkt|point|punto)\s+(?:{TOP})(?![A-Za-z0-9-])", re.I)
+_LABELS = rf"[A-Za-z0-9-]+(?:(?:\s+(?:{DOT})\s+|\.)[A-Za-z0-9-]+)"
+#: Any letters end a host, but behind "at" not after "point" nor where an article is its first
+#: label, as in prose; else the ends of TOP do.
+WORDED = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:"
+    rf"(?:(?P<prose>\s+at\s+)|\s+(?:{AT})\s+|@)(?!(?:the|an?|this|that|each|every|any|some|which)\s){_LABELS}*"
+    rf"\s+(?:dot|punkt|punto|(?(prose)dot|point))\s+(?!(?:{PROSE})(?![A-Za-z0-9-]))[A-Za-z]{{2,}}(?![A-Za-z0-9-])|"
+    rf"(?:\s+(?:{AT})\s+|@){_LABELS}*?\s+(?:dot|punkt|point|punto)\s+(?:{TOP})(?![A-Za-z0-9-]))", re.I)
 WORDED_SIGN = re.compile(rf"\s+(?P<at>{AT})\s+|\s+(?P<dot>{DOT})\s+", re.I)
 WORDED_HINT = re.compile(r"\s(?:dot|punkt|point|punto)\s", re.I)
 
@@ -170,6 +184,8 @@ class Tape:
     def rewritten(self, changes: list[tuple[int, int, str]]) -> Tape:
         """Places [a, b) replaced by other text, each new character standing for all of the
         place; places are in order and do not overlap."""
+        if not changes:
+            return self
         text, start, end, at = [], [], [], 0
         for a, b, new in changes:
             text += [self.text[at:a], new]
@@ -212,15 +228,18 @@ def characters(tape: Tape, disguised: frozenset[str]) -> Tape:
 
 
 def spells_digits(text: str) -> bool:
-    """Whether a text has as many words for digits as a run needs at least."""
-    return sum(map(SPELLED.__contains__, text.lower().translate(BESIDE).split())) >= 3
+    """Whether a text has a word for a digit, which a run needs."""
+    return not SPELLED.keys().isdisjoint(NO_WORD.split(text.lower()))
 
 
-def spelled(tape: Tape) -> Tape:
+def spelled(tape: Tape, runs: re.Pattern) -> Tape:
     """Runs of digits, some of them spelled, become digits; "plus" and "dot" inside too."""
     changes = []
-    for run in RUN.finditer(tape.text):
-        if not re.search(rf"(?<![^\W_])(?:{_NAME})(?![^\W_])", run.group(), re.I):
+    for run in runs.finditer(tape.text):
+        if not NAMED.search(run.group()):
+            continue
+        parts = RUN_PART.findall(run.group())
+        if sum(len(p) if p[0].isdigit() else p.lower() in SPELLED for p in parts) < LEAST_DIGITS:
             continue
         at = run.start()
         for part in RUN_PART.finditer(tape.text, run.start(), run.end()):
@@ -272,16 +291,21 @@ class Finder:
         tape = Tape.of(text)
         if odd:
             tape = characters(tape, self.disguised)
-        found = []
-        for step in (spelled, signs):
-            tape = step(tape)
+        found, readings = set(), {tape.text: tape}
+        for runs in RUNS:
+            read = spelled(tape, runs)
+            readings.setdefault(read.text, read)
+        for tape in map(signs, readings.values()):
+            if tape.text != text:
+                found.update((*tape.source(a, b), kind) for a, kind, b in base_spans(tape.text))
         starts, reach = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
-        for a, kind, b in base_spans(tape.text):
-            start, end = tape.source(a, b)
+        added, last = [], [0] * len(KINDS)
+        for start, end, kind in sorted(found, key=lambda s: (s[0], -s[1])):
             before = bisect_right(starts, start)
-            if not before or reach[before - 1] < end:
-                found.append((start, kind, end))
-        return base, sorted(base + found)
+            if end > last[kind] and (not before or reach[before - 1] < end):
+                added.append((start, kind, end))
+                last[kind] = end
+        return base, sorted(base + added)
 
 
 def listed(spans: list[Span]) -> str:
