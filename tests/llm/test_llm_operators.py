@@ -273,6 +273,13 @@ def test_one_document_of_each_component(spark, empty):
     assert got(jaccard.components(empty)) == [] and got(jaccard.distinct(empty)) == []
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    a, b, c = ("a b c d e f g h i j k l m n o p q r s t", "other words of a clean text", "yet another clean text here")
+    rows = [(3, a + " u"), (7, a), (7, b), (7, b), (7, b.upper() + " "), (3, c), (8, c), (7, None), (7, None), (None, a)]
+    found = got(jaccard.distinct(spark.createDataFrame(rows, DOCS)).withColumn("text", F.lower(F.trim("text"))))
+    assert found == sorted([(3, a + " u"), (7, b), (3, c), (7, None), (None, a)], key=repr)
+
+
 def test_region_recursion_is_exact():
     rng = np.random.default_rng(0)
     base = [np.unique(rng.integers(0, 1 << 60, 60, dtype=np.uint64)) for _ in range(12)]

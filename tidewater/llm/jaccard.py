@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import common as C
 from . import graph as G
@@ -427,6 +428,16 @@ def _large(rows: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
+    every, lead = _leads(docs, F.min("doc_id").alias("least"))
+    lead = C.stored(lead.select("set_name", F.coalesce("least", "lead").alias("least")))
+    return (every.select("doc_id", F.col("n").alias("n_shingles"), "set_name").join(lead, "set_name", "left")
+            .select("doc_id", "n_shingles",
+                    F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def _leads(docs: DataFrame, least: Column) -> tuple[DataFrame, DataFrame]:
+    """The described documents, and for each set its smallest id as lead and the aggregate
+    `least` over the sets of its component, null where it links with none."""
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     every = described(docs)
     lead = every.filter(F.col("n") > 0).groupBy("set_name").agg(F.min("doc_id").alias("lead"))
@@ -436,35 +447,47 @@ def components(docs: DataFrame) -> DataFrame:
                     .dropDuplicates(["set_name"]).withColumn("node", F.monotonically_increasing_id()))
     roots = G.components(near_edges(docs, sets))
     named = roots.join(sets.select("node", "set_name", "doc_id"), "node")
-    least = (named.groupBy("root").agg(F.min("doc_id").alias("least")).join(named.select("root", "set_name"), "root")
-             .select("set_name", "least"))
-    lead = C.stored(lead.join(least, "set_name", "left").select("set_name", F.coalesce("least", "lead").alias("least")))
-    return (every.select("doc_id", F.col("n").alias("n_shingles"), "set_name").join(lead, "set_name", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+    found = (named.groupBy("root").agg(least).join(named.select("root", "set_name"), "root").select("set_name", "least"))
+    return every, lead.join(found, "set_name", "left")
 
 
 def distinct(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest id, with its columns; of rows
-    that repeat an id one stays. Rows with a null id stay.
+    """One document of each component, that with the smallest id, with its columns; of several
+    sets with this id in a component, that with the smallest name. Rows are told apart by id
+    and set: rows of one id that do not link are results of their own, and of rows of one id
+    and set one stays. Rows with a null id stay.
 
     Most documents are alone: a bounded filter on the ids that are not lets them pass
-    without a shuffle of their texts; those that it finds are joined with the exact ids."""
-    found = C.stored(components(docs).filter(F.col("doc_id").isNotNull()))
-    fate = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("least"))
-    fate = C.stored(fate.filter((F.col("rows") > 1) | (F.col("least") != F.col("doc_id"))))
+    without a shuffle of their texts; those that it finds are joined with the exact ids and
+    sets."""
+    # A repeated id can lead two components, so the set that stays is named as well.
+    every, lead = _leads(docs, F.min(F.struct("doc_id", "set_name")).alias("least"))
+    lead = C.stored(lead.select("set_name", F.coalesce("least.doc_id", "lead").alias("least"),
+                                F.coalesce("least.set_name", "set_name").alias("kept")))
+    stays = (F.col("n") == 0) | ((F.col("doc_id") == F.col("least")) & (F.col("set_name") == F.col("kept")))
+    found = C.stored(every.filter(F.col("doc_id").isNotNull()).select("doc_id", "n", "set_name").join(lead, "set_name", "left")
+                     .select("doc_id", "set_name", stays.alias("stays")))
+    fate = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_and("stays").alias("stays"))
+    fate = C.stored(fate.filter((F.col("rows") > 1) | ~F.col("stays")).select("doc_id"))
     sent = docs.sparkSession.sparkContext.broadcast(G.id_filter(fate, "doc_id"))
     placed = docs.withColumn("_place", F.when(F.col("doc_id").isNotNull(), G.place_in_filter("doc_id")))
 
-    def chosen(inside):
-        def work(batches):
-            bits = sent.value
-            for batch in batches:
-                place = batch.column("_place").fill_null(0).to_numpy()
-                hit = G.passes(bits, place) & batch.column("_place").is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(hit == inside))
-        return C.map_batches(placed, work, placed.schema).drop("_place")
-
-    lost = fate.filter(F.col("least") != F.col("doc_id")).select("doc_id")
-    again = chosen(True).dropDuplicates(["doc_id"]).join(lost, "doc_id", "left_anti").select(*docs.columns)
-    return chosen(False).unionByName(again)
+    def chosen(batches, inside):
+        bits = sent.value
+        for batch in batches:
+            place = batch.column("_place").fill_null(0).to_numpy()
+            hit = G.passes(bits, place) & batch.column("_place").is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == inside))
+
+    def alone(batches):
+        return chosen(batches, False)
+
+    def others(batches):
+        for rows, texts in C.slices(chosen(batches, True)):
+            names = pa.array([set_name(x) for x in shingle_sets(texts)], pa.int64())
+            yield from rows.append_column("_set", names).to_batches()
+
+    lost = found.filter(~F.col("stays")).select("doc_id", F.col("set_name").alias("_set"))
+    named = C.map_batches(placed, others, StructType([*placed.schema.fields, StructField("_set", LongType())]))
+    again = named.dropDuplicates(["doc_id", "_set"]).join(lost, ["doc_id", "_set"], "left_anti").select(*docs.columns)
+    return C.map_batches(placed, alone, placed.schema).drop("_place").unionByName(again)
