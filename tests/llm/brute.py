@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 LAST = 1 << 63
@@ -158,3 +159,92 @@ def archive(rows, least=0):
         out.append((page, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
                     "revisit" if again else "response", to if again else None))
     return sorted(out, key=repr)
+
+
+def runs(w, least=12):
+    """(start, length, period) of the periodic runs of a list."""
+    out = []
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            x = w[i:j + q]
+            if len(x) >= max(least, 2 * q) and all(x[d:] != x[:-d] for d in range(1, q)):
+                out.append((i, len(x), q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def woven(key, w):
+    h = zlib.crc32(str(key).encode())
+    if key is None or h % 10 or not w:
+        return w
+    g = h // 10
+    a = g % len(w)
+    p = 1 + (len(w) - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+
+
+def periodic(rows, weave=True):
+    out = []
+    for key, text in rows:
+        w = woven(key, words(text)) if weave else words(text)
+        found = runs(w)
+        gone = set()
+        for s, n, q in found:
+            gone.update(range(s + q, s + n))
+        top = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else (None,) * 3
+        out.append((key, len(found), *top, 1000 * top[1] // top[2] if found else None,
+                    sha("".join(f"{s},{n},{q}\n" for s, n, q in found).encode()),
+                    sha(b" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return sorted(out, key=repr)
+
+
+def nearest(rows, asks, k=20):
+    """rows: (id, vector), distinct ids."""
+    from math import isfinite
+    use = [(i, v) for i, v in rows if i is not None and v and all(x is not None and isfinite(x) for x in v) and any(v)]
+    out = {}
+    for i, v in use:
+        if asks(i):
+            score = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in use if j != i)
+            out[i] = [(j, -s) for s, j in score[:k]]
+    return out
+
+
+def conversations(rows):
+    """Lists of (role, text) by conversation, with shared first turns."""
+    turns = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(t)] for c, t in turns.items()}
+    out = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(c - c % 5, [])[:h] + own[c][h:]
+    return out
+
+
+def trie(convs):
+    """The nodes, as the query returns them."""
+    members, ends, kids = {}, {}, {}
+    for c, s in sorted(convs.items()):
+        for d in range(len(s) + 1):
+            members.setdefault(tuple(s[:d]), []).append(c)
+            if d:
+                kids.setdefault(tuple(s[:d - 1]), set()).add(tuple(s[:d]))
+        ends.setdefault(tuple(s), []).append(c)
+    leaves, saved, out = {}, {}, []
+    for n in sorted(members, key=len, reverse=True):
+        below = kids.get(n, ())
+        leaves[n] = sum(leaves[k] for k in below) or 1
+        saved[n] = sum(saved[k] for k in below) + ((len(members[n]) - 1) * len(n[-1][1].encode()) if n else 0)
+        out.append((members[n][0], len(n), members[n[:-1]][0] if n else None, len(members[n]), len(below), leaves[n],
+                    saved[n], sha(",".join(map(str, ends.get(n, ()))).encode())))
+    return sorted(out, key=repr)

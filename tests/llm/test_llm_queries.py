@@ -27,7 +27,7 @@ def con():
 
 def test_registered():
     found = entry_point.queries()
-    assert {n.split("_")[0] for n in found if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in found if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in found and set(sql.STATEMENTS) <= set(entry_point.oracle_sql())
 
 

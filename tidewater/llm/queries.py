@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import decontaminate, jaccard, langid, packing, pii, quality, recompress, rules, sql, suffixes, warc
+from . import (decontaminate, jaccard, langid, neighbours, packing, periodic, pii, quality, recompress, rules, sql, suffixes,
+               trie, warc)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,19 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.removed(_documents(spark, sf_dir))
 
 
+def op11_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = C.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(_documents(spark, sf_dir), weave=True)
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.rebuilt(trie.sequences(C.table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_suffixes": op2_suffixes,
@@ -82,6 +96,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_recompression": op10_recompression,
+    "op11_crosspolytope": op11_crosspolytope,
+    "op12_periodic": op12_periodic,
+    "op13_trie": op13_trie,
 }
 
 SQL: dict[str, str] = dict(sql.STATEMENTS)
