@@ -16,8 +16,8 @@ FILES = 8
 class Feed:
     """A folder that a stream reads; what is put there at a time is a micro-batch."""
 
-    def __init__(self, spark, folder):
-        self.spark, self.folder, self.n = spark, str(folder), 0
+    def __init__(self, spark, folder, files=FILES):
+        self.spark, self.folder, self.n, self.files = spark, str(folder), 0, files
 
     def put(self, df, order=(), batches=1):
         """One micro-batch, or several that follow each other in the order given."""
@@ -29,9 +29,9 @@ class Feed:
                 self.put(cut.where(f"_part = {i}").drop("_part"))
             return self
         # Kept, or every file would deal the rows anew.
-        rows = df.withColumn("_file", F.row_number().over(Window.orderBy(F.rand(7))) % FILES).persist()
+        rows = df.withColumn("_file", F.row_number().over(Window.orderBy(F.rand(7))) % self.files).persist()
         rows.count()
-        for i in range(FILES):  # as many files each time, some of them empty
+        for i in range(self.files):  # as many files each time, some of them empty
             (rows.where(f"_file = {i}").drop("_file").coalesce(1)
              .write.parquet(f"{self.folder}/f{self.n:03d}{i}"))
         self.n += 1
@@ -39,7 +39,7 @@ class Feed:
         return self
 
     def stream(self):
-        return (self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", FILES)
+        return (self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", self.files)
                 .parquet(f"{self.folder}/f*"))
 
 

@@ -283,7 +283,11 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+#: Aggregates that a user writes in Python.
+USER = {"agg_user_count", "agg_user_spread"}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - USER))
 def test_plan_has_no_cross_join_and_no_python(spark, name):
     text = plan(registry.QUERIES[name](spark, SF))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
@@ -306,6 +310,64 @@ def test_pushdown(spark):
     assert "html" not in text and "lineitem" not in text
 
 
+@pytest.mark.parametrize("name", sorted(USER))
+def test_users_aggregates_are_partial_before_the_shuffle(spark, name):
+    """One exchange of accumulators, each task's rows being added up below it."""
+    text = plan(registry.QUERIES[name](spark, SF))
+    above, below = text.split("Exchange hashpartitioning")
+    assert "MapInPandas" in above and "MapInPandas" in below
+
+
+def test_traffic_reads_and_parses_once(spark):
+    """One scan of the events and one parse, with the check of bad records the second from_json,
+    shuffled once for both sides of the visitor join."""
+    df = registry.QUERIES["dws_traffic"](spark, SF)
+    df.collect()
+    text = plan(df).split("+- == Initial Plan ==")[0]
+    assert text.count("events.parquet") == 1 and text.count("from_json(") == 2
+    assert "ReusedExchange" in text or "ReusedQueryStage" in text or text.count("FileScan") <= 2
+
+
+@pytest.mark.parametrize("name, folders", [("log_order_detail", 4), ("log_refund_pay_suc", 3)])
+def test_split_log_is_read_by_folder(spark, name, folders):
+    text = plan(registry.QUERIES[name](spark, SF)).replace("\n", " ")
+    assert text.count("PartitionFilters: [isnotnull(table") == folders and "from_json" not in text
+
+
+@pytest.mark.parametrize("name", ["ads_channel_uv_day", "ads_category_day"])
+def test_day_reports_read_a_day(spark, name):
+    text = plan(registry.QUERIES[name](spark, SF))
+    assert "PartitionFilters: [isnotnull(cur_date" in text and "events" not in text and "lineitem" not in text
+
+
+def test_a_day_replaces_itself(spark, tmp_path):
+    from tidewater.sources import layers
+    one = spark.createDataFrame([("20240101", 1), ("20240102", 2)], "cur_date string, n int")
+    layers.put_days(one, f"{tmp_path}/t")
+    layers.put_days(one.where("n = 2").withColumn("n", F.lit(5)), f"{tmp_path}/t")
+    table = layers.days(spark, f"{tmp_path}/t", one.schema)
+    assert sorted(map(tuple, table.select("cur_date", "n").collect())) == [("20240101", 1), ("20240102", 5)]
+    today = spark.sql("SELECT date_format(current_date(), 'yyyyMMdd') AS cur_date, 7 AS n")
+    layers.put_days(today, f"{tmp_path}/t")
+    assert [r.n for r in ads.of_day(table.sparkSession.read.schema(one.schema).parquet(f"{tmp_path}/t"), ads.TODAY).collect()] == [7]
+
+
+def test_users_aggregates(spark, monkeypatch):
+    """Null keys, no values, hot keys, and tasks that hand over before they are done."""
+    from tidewater.operators import aggregates
+    monkeypatch.setattr(aggregates, "HELD", 2)
+    data = [(k, float(i % 13) if i % 5 else None) for i, k in enumerate(["hot"] * 500 + ["a", "b", None] * 7)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    got = {r.k: (r.n, r.mean, r.variance) for r in aggregates.aggregate(df, ["k"], ["v"], aggregates.Spread()).collect()}
+    want = {r.k: r for r in df.groupBy("k").agg(F.count("v").alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("s")).collect()}
+    assert set(got) == set(want)
+    for k, (n, mean, variance) in got.items():
+        assert n == want[k].n and mean == pytest.approx(want[k].m) and variance == pytest.approx(want[k].s)
+    none = spark.createDataFrame([("a", None)], "k string, v double")
+    assert [tuple(r) for r in aggregates.aggregate(none, ["k"], ["v"], aggregates.Spread()).collect()] == [("a", 0, None, None)]
+    assert aggregates.aggregate(none.limit(0), ["k"], ["v"], aggregates.Count()).collect() == []
+
+
 def test_plans_are_built_without_jobs(spark):
     """No join looks at its sides before it runs."""
     dictionary = B.dictionary(spark, SF)

@@ -1,7 +1,9 @@
 """Facts, sinks and the life of a stream: restart, late rows, expiry."""
 
 import json
+import os
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +13,9 @@ from tidewater import bindings as B
 from tidewater import registry, schemas
 from tidewater.operators import changelog, joins, windows
 from tidewater.plans import ads, dim, dwd, dws
-from tidewater.sources import decode, readers, sinks
+from tidewater.sources import decode, layers, readers, sinks
 from tidewater.streaming import state as streaming_state
+from tidewater.streaming.monitor import LateRows
 
 SF = "/root/testdata/sf0.001"
 T0 = 1_704_074_400
@@ -292,21 +295,83 @@ def test_checkpoint_root(spark):
         assert sinks.checkpoint_root(spark, "/tmp/x/") == "/tmp/x"
 
 
+def _files(folder):
+    return sum(f.endswith(".parquet") for _, _, names in os.walk(folder) for f in names)
+
+
 def test_upserts_are_folded(spark, tmp_path):
-    """After many batches a read takes one base and the batches behind it; a batch that
-    is written again changes nothing."""
+    """After many batches a read takes one version of each bucket and the batches behind it;
+    a batch that is written again changes nothing."""
     keys, order, path = ["k"], ["ts"], f"{tmp_path}/out"
     feed = Feed(spark, tmp_path / "in")
     for i in range(7):
         feed.put(_ticks(spark, [(f"k{i % 3}", i * 1000), (f"only{i}", i * 1000)]))
     stream = feed.stream().withColumn("ts", F.unix_millis("et"))
     sinks.upsert_table(stream, path, keys, order, sinks.Run(f"{tmp_path}/cp", True),
-                       fold=2).awaitTermination()
-    assert sinks._folded(spark, path) == 5
-    kept = sorted(r.batch for r in spark.read.parquet(f"{path}/changes").select("batch").distinct().collect())
-    assert kept == [4, 5, 6]  # those of the newest base and behind it
-    out = {r.k: r.ts % 60_000 for r in sinks.read_upserts(spark, path, keys, order).collect()}
-    assert out == {"k0": 6000, "k1": 4000, "k2": 5000, **{f"only{i}": i * 1000 for i in range(7)}}
+                       fold=2, buckets=3).awaitTermination()
+    want = {"k0": 6000, "k1": 4000, "k2": 5000, **{f"only{i}": i * 1000 for i in range(7)}}
+    def out():
+        return {r.k: r.ts % 60_000 for r in sinks.read_upserts(spark, path, keys, order).collect()}
+    assert out() == want
+    with pytest.raises(ValueError):
+        sinks.upsert_table(stream, path, keys, order, sinks.Run(f"{tmp_path}/other", True), fold=2, buckets=3)
+    table = sinks._upserts(path, keys, order, fold=2, buckets=3)
+    old = _ticks(spark, [("k0", 59_000)]).select("k", "et", F.unix_millis("et").alias("ts"),
+                                                 F.lit(3).cast("bigint").alias("_batch"))
+    table.put(old, 3)
+    assert out() == want
+
+
+ROUTED = "sink_table string, row_key string, op_type string, data map<string,string>, ts bigint, seq bigint"
+
+
+@pytest.mark.parametrize("fold", [1, 3])
+def test_dimension_table_over_many_batches(spark, tmp_path, fold):
+    """Nulls keep the old value, deletions hold against older changes, files stay as many as
+    places, and what a read opens is one version of a bucket and fewer than `fold` batches."""
+    path = f"{tmp_path}/dims"
+    table = sinks._cells(path, fold=fold, buckets=4).create(spark, changelog.CELLS, "here")
+    every, seen = [], []
+    for n in range(26):
+        rows = [(f"r{n % 5}", "update", {"a": f"a{n}", "b": None if n % 2 else f"b{n}"}, n)]
+        if n % 7 == 3:
+            rows.append((f"r{(n + 1) % 5}", "delete", {"a": "x"}, n))
+        batch = [("t", k, op, data, ts, 10 * n + i) for i, (k, op, data, ts) in enumerate(rows)]
+        every += batch
+        table.put(changelog.cells(spark.createDataFrame(batch, ROUTED)), n)
+        seen.append(_files(path))
+        if n in (0, 1, 7, 25):
+            want = changelog.dim_rows(spark.createDataFrame(every, ROUTED))
+            assert counted(_flat(sinks.read_dims(spark, path))) == counted(_flat(want))
+    assert max(seen[18:]) <= 4 * 3 + 4 * 2 * fold + 9 and seen[25] <= max(seen[12:18]) + 2
+    table.put(changelog.cells(spark.createDataFrame(every[:1], ROUTED)), 25)  # run again: no effect
+    assert counted(_flat(sinks.read_dims(spark, path))) == counted(_flat(want))
+    opened = [f.split("/dims/")[1] for f in sinks._cells(path).read(spark).inputFiles()]
+    versions = [f.split("/")[2] for f in opened if f.startswith("base/")]
+    assert len(versions) == len(set(versions))
+    assert fold > 1 or len(opened) == len(versions)
+
+
+def _flat(rows):
+    return rows.select("sink_table", "row_key", F.col("fields")["a"].alias("a"), F.col("fields")["b"].alias("b"))
+
+
+def test_interrupted_batch_is_written_again(spark, tmp_path, monkeypatch):
+    """A batch that fails before its manifest leaves readers with the state before."""
+    path = f"{tmp_path}/dims"
+    table = sinks._cells(path, fold=1, buckets=2).create(spark, changelog.CELLS, "here")
+    def cells(n):
+        return changelog.cells(spark.createDataFrame([("t", "r", "update", {"a": str(n)}, n, n)], ROUTED))
+    def value():
+        return [r.fields["a"] for r in sinks.read_dims(spark, path).collect()]
+    table.put(cells(0), 0)
+    with monkeypatch.context() as m:
+        m.setattr(type(table), "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            table.put(cells(1), 1)
+    assert value() == ["0"]
+    table.put(cells(1), 1)
+    assert value() == ["1"]
 
 
 def test_dimensions_and_configuration_are_live(spark, tmp_path):
@@ -336,3 +401,88 @@ def test_dimensions_and_configuration_are_live(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [("a", "A", "first"), ("b", None, "second")]
     rows = spark.read.parquet(f"{tmp_path}/out").where("batch > 0").select("k", "name", "sink_table").collect()
     assert sorted(map(tuple, rows), key=repr) == [("b", "B", "second"), ("c", None, "third")]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    """What windows drop, and what keyed state leaves out."""
+    seen = LateRows(spark)
+    def counted_rows(stream, folder):
+        query = sinks.fact_table(stream, f"{folder}/out", sinks.Run(f"{folder}/cp", True))
+        query.awaitTermination()
+        time.sleep(1)  # progress comes by another thread
+        return seen.of(query)
+    try:
+        feed = Feed(spark, tmp_path / "in")
+        for rows in ([("a", 1000)], [("a", 60_000)], [("a", 61_000)], [("late", 2000), ("late", 3000), ("a", 62_000)],
+                     [("a", 200_000)], [("a", 300_000)]):
+            feed.put(_ticks(spark, rows))
+        stream = windows.with_lateness(feed.stream())
+        plain = counted_rows(windows.tumble(stream, "5 seconds", [], [F.count("*").alias("n")]), tmp_path / "w")
+        assert sum(plain.values()) == 2
+        flagged = streaming_state.first_of_day(stream, ["k"])
+        assert sum(counted_rows(flagged, tmp_path / "d").values()) == 2
+        # The correction of a row whose window is closed.
+        feed = Feed(spark, tmp_path / "deltas")
+        def detail_rows(*rows):
+            return spark.createDataFrame(rows, "id string, ms bigint, sku_id string, a decimal(18,4)").select(
+                "id", F.timestamp_millis(F.col("ms") + T0 * 1000).alias("et"), "sku_id", "a")
+        for rows in ([("x", 1000, "s", Decimal(1))], [("y", 60_000, "s", Decimal(1))], [("y", 61_000, "s", Decimal(2))],
+                     [("x", 62_000, "s", Decimal(3))], [("z", 100_000, "s", Decimal(1))]):
+            feed.put(detail_rows(*rows))
+        deltas = streaming_state.delta_correct(windows.with_lateness(feed.stream()), "id", ["a"], "1 hour")
+        assert counted_rows(deltas, tmp_path / "c") == {"late_last_of_id": 1}
+    finally:
+        spark.streams.removeListener(seen)
+
+
+def test_an_idle_source_holds_nothing_back(spark, tmp_path):
+    """Two sources, one of them silent for a while: windows close, and its rows count when it
+    wakes."""
+    busy, idle = Feed(spark, tmp_path / "busy"), Feed(spark, tmp_path / "idle")
+    idle.put(_ticks(spark, [("i", 0)]))
+    busy.put(_ticks(spark, [("b", 0)]))
+    both = windows.merged(busy.stream(), idle.stream())
+    table = windows.tumble(both, "5 seconds", ["k"], [F.count("*").alias("n")])
+    query = sinks.fact_table(table, f"{tmp_path}/out", sinks.Run(f"{tmp_path}/cp", trigger="0 seconds"))
+    def rows():
+        query.processAllAvailable()
+        return counted(spark.read.schema(table.schema).parquet(f"{tmp_path}/out"), ["stt", "k", "n"])
+    try:
+        for ms in (20_000, 40_000):
+            busy.put(_ticks(spark, [("b", ms)]))
+            query.processAllAvailable()
+        first = ("2024-01-01 02:00:00", "i", 1)
+        assert first in rows()
+        idle.put(_ticks(spark, [("i", 41_000)]))
+        query.processAllAvailable()
+        for ms in (80_000, 100_000):
+            busy.put(_ticks(spark, [("b", ms)]))
+            query.processAllAvailable()
+        got = rows()
+        assert got[("2024-01-01 02:00:40", "i", 1)] == 1 and got[("2024-01-01 02:00:40", "b", 1)] == 1
+    finally:
+        query.stop()
+
+
+def test_split_change_log_stream(spark, tmp_path, log):
+    """The log, split once on a stream, is what the fact plans read from folders."""
+    layers.split_stream(log_stream(spark, tmp_path / "in", LOG), f"{tmp_path}/out",
+                        sinks.Run(f"{tmp_path}/cp", True)).awaitTermination()
+    stored = layers.changes(spark, f"{tmp_path}/out")
+    same(dwd.order_detail(stored, DB), dwd.order_detail(log, DB))
+    again = dwd.cart_add(layers.changes_stream(spark, f"{tmp_path}/out"), DB)
+    assert again.isStreaming
+
+
+def test_first_rows_are_forgotten(spark, tmp_path):
+    """Keys that the watermark has left a TTL behind go from the state, and only the keys of a
+    micro-batch are written."""
+    feed = Feed(spark, tmp_path / "in")
+    for n in range(6):
+        feed.put(_ticks(spark, [(f"k{n}", n * 20_000), ("again", n * 20_000)]))
+    stream = windows.with_lateness(feed.stream())
+    out = run(streaming_state.first_of_keys(stream, ["k"], "30 seconds", [], buckets=2), tmp_path)
+    assert counted(out, ["k"]) == {**{(f"k{n}",): 1 for n in range(6)}, ("again",): 3}
+    held = readers.state(spark, f"{tmp_path}/cp", "seen")
+    names = {json.loads(r.user_map_key.key)["k"] for r in held.collect()}
+    assert {"k5", "again"} <= names and "k0" not in names

@@ -332,6 +332,12 @@ def order_changes(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     return out
 
 
+def raw_order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of all these tables as one log of text records."""
+    log = order_changes(spark, sf_dir)
+    return log.select(F.to_json(F.struct(*log.columns)).alias("value"))
+
+
 def order_detail_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order-detail fact table as its readers find it, without promotions."""
     parts = load(spark, sf_dir, "part").select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import etl
 from .state import last_rows
@@ -26,10 +27,20 @@ def created_targets(config: DataFrame) -> DataFrame:
     return config.where("op <> 'd'").select("sink_table", "sink_family").distinct()
 
 
-def route_dim(log: DataFrame, config: DataFrame) -> DataFrame:
+def _with_rules(log: DataFrame, config: DataFrame, on: dict[str, str],
+                preload: DataFrame | None) -> DataFrame:
+    """Log rows with their configuration row. `on`: the log's column for each key column."""
+    if config.isStreaming:
+        from ..streaming.live import configured
+        return configured(log, config, on, preload)
+    same = [log[column] == config[key] for key, column in on.items()]
+    return log.join(config, same, "inner")
+
+
+def route_dim(log: DataFrame, config: DataFrame, preload: DataFrame | None = None) -> DataFrame:
     """Changes of configured tables, payload cut to the configured columns, with the
     change type added as op_type and the row key of the target."""
-    joined = log.join(config, log["table"] == config["source_table"], "inner")
+    joined = _with_rules(log, config, {"source_table": "table"}, preload)
     payload = F.map_concat(
         F.map_filter("data", lambda k, _: k != "op_type"),
         F.create_map(F.lit("op_type"), F.col("type")))
@@ -41,10 +52,9 @@ def route_dim(log: DataFrame, config: DataFrame) -> DataFrame:
         "ts", "seq")
 
 
-def route_facts(log: DataFrame, config: DataFrame) -> DataFrame:
+def route_facts(log: DataFrame, config: DataFrame, preload: DataFrame | None = None) -> DataFrame:
     """Changes configured by table and type, payload cut to the configured columns."""
-    joined = log.join(config, (log["table"] == config["source_table"])
-                      & (log["type"] == config["source_type"]), "inner")
+    joined = _with_rules(log, config, {"source_table": "table", "source_type": "type"}, preload)
     return joined.select(
         "sink_table", etl.keep_listed(F.col("data"), F.col("sink_columns")).alias("data"),
         "ts", "seq")
@@ -54,26 +64,40 @@ def route_facts(log: DataFrame, config: DataFrame) -> DataFrame:
 ROW = ""
 
 
-def dim_rows(routed: DataFrame, order: list[str] = ["ts", "seq"]) -> DataFrame:
-    """Dimension rows after all changes: sink_table, row_key, fields, a map.
+# A cell of a dimension table: the value of a column, and when it was written. The column ROW
+# says when the row was deleted.
+CELLS = T.StructType([
+    T.StructField("sink_table", T.StringType()), T.StructField("row_key", T.StringType()),
+    T.StructField("column", T.StringType()), T.StructField("ts", T.LongType()),
+    T.StructField("seq", T.LongType()), T.StructField("value", T.StringType()),
+])
 
-    A deletion removes the row, any other change writes its non-null columns. So per
-    column only the newest value matters and per row only the newest deletion. Both
-    are one pre-aggregated maximum per column, not a replay of the row's changes;
-    what then meets per row is at most one entry per configured column.
-    """
-    at = F.struct(*order)
+
+def cells(routed: DataFrame) -> DataFrame:
+    """What dimension changes write: a deletion its row, any other change its non-null
+    columns."""
     written = F.map_filter("data", lambda k, v: (k != "op_type") & v.isNotNull())
     gone = F.create_map(F.lit(ROW), F.lit(None).cast("string"))
-    newest = (routed.select(
-        "sink_table", "row_key", at.alias("at"),
-        F.explode(F.when(F.col("op_type") == "delete", gone).otherwise(written))
-        .alias("column", "value"))
-        .groupBy("sink_table", "row_key", "column")
-        .agg(F.max(F.struct("at", "value")).alias("newest")))
+    return routed.select(
+        "sink_table", "row_key",
+        F.explode(F.when(F.col("op_type") == "delete", gone).otherwise(written)).alias("column", "value"),
+        F.col("ts").cast("bigint").alias("ts"), F.col("seq").cast("bigint").alias("seq")).select(*CELLS.names)
+
+
+def newest_cells(cells: DataFrame) -> DataFrame:
+    """One cell for each row and column, the newest."""
+    newest = (cells.groupBy("sink_table", "row_key", "column")
+              .agg(F.max(F.struct("ts", "seq", "value")).alias("newest")))
+    return newest.select("sink_table", "row_key", "column", "newest.*")
+
+
+def rows_of_cells(newest: DataFrame) -> DataFrame:
+    """sink_table, row_key and fields, a map, from the newest cells. What a row's newest deletion
+    is not older than is gone."""
+    at = F.struct("ts", "seq")
     rows = newest.groupBy("sink_table", "row_key").agg(
-        F.collect_list(F.struct("column", "newest.value", "newest.at")).alias("cells"),
-        F.max(F.when(F.col("column") == ROW, F.col("newest.at"))).alias("gone"))
+        F.collect_list(F.struct("column", "value", at.alias("at"))).alias("cells"),
+        F.max(F.when(F.col("column") == ROW, at)).alias("gone"))
     alive = F.filter("cells", lambda c: (c["column"] != ROW) & (
         F.col("gone").isNull() | (c["at"] > F.col("gone"))))
     return (rows.withColumn("cells", alive).where(F.size("cells") > 0)
@@ -81,6 +105,17 @@ def dim_rows(routed: DataFrame, order: list[str] = ["ts", "seq"]) -> DataFrame:
                 "cells", lambda c: F.struct(c["column"], c["value"]))).alias("fields")))
 
 
+def dim_rows(routed: DataFrame) -> DataFrame:
+    """Dimension rows after all changes: sink_table, row_key, fields, a map.
+
+    A deletion removes the row, any other change writes its non-null columns. So per
+    column only the newest value matters and per row only the newest deletion. Both
+    are one pre-aggregated maximum per column, not a replay of the row's changes;
+    what then meets per row is at most one entry per configured column.
+    """
+    return rows_of_cells(newest_cells(cells(routed)))
+
+
 def dim_table(rows: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """One dimension table with its columns side by side."""
     return rows.where(F.col("sink_table") == table).select(

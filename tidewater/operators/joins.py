@@ -19,7 +19,11 @@ def lookup(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFr
 
 def enrich(df: DataFrame, dim: DataFrame, key: str, add: dict[str, str],
            dim_key: str = "id") -> DataFrame:
-    """Add dimension columns by key. A missing row leaves them null."""
+    """Add dimension columns by key. A missing row leaves them null. A streaming dimension is
+    its changes: rows get what they have come to so far."""
+    if dim.isStreaming:
+        from ..streaming.live import lookup
+        return lookup(df, dim, key, add, shares=1)
     side = dim.select(F.col(dim_key).alias("_k"),
                       *[F.col(src).alias(out) for out, src in add.items()])
     return df.join(side, F.col(key) == F.col("_k"), "left").drop("_k")
@@ -36,6 +40,22 @@ def flatten_sku(dims: dict[str, DataFrame]) -> DataFrame:
     return flatten_category(flat, dims)
 
 
+SKU_NAMES = {"sku_name": "sku_name", "spu_id": "spu_id", "trademark_id": "tm_id",
+             "category3_id": "category3_id"}
+
+
+def enrich_sku(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Add a sku's product, brand and categories."""
+    if not dims["sku"].isStreaming:
+        flat = flatten_sku(dims)
+        names = [c for c in flat.columns if c != "sku_id"]
+        return enrich(df, flat, "sku_id", {n: n for n in names}, dim_key="sku_id")
+    df = enrich(df, dims["sku"], "sku_id", SKU_NAMES)
+    df = enrich(df, dims["spu"], "spu_id", {"spu_name": "spu_name"})
+    df = enrich(df, dims["trademark"], "trademark_id", {"trademark_name": "tm_name"})
+    return flatten_category(df, dims)
+
+
 def flatten_category(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Add names and parents above category3_id, each hop's key from the one before."""
     df = enrich(df, dims["category3"], "category3_id",

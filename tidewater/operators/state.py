@@ -8,7 +8,7 @@ row per key and day, and the delta correction cuts a key into day slices.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -57,21 +57,27 @@ def repair_new_visitor(log: DataFrame, order: list[str] = ["ts", "seq"]) -> Data
                       F.col("common.is_new").alias("_new"), *order)
     day = F.to_date(F.timestamp_millis("ts"))
     stored = (first_rows(seen.where("_mid is not null"), ["_mid"], order)
-              .select("_mid", F.when(F.col("_new") == "1", day)
-                      .otherwise(F.date_sub(day, 1)).alias("_stored")))
+              .select("_mid", first_day(F.col("_new"), day).alias("_stored")))
     stored = stored.withColumn("_hash", F.xxhash64("_mid"))
     joined = log.join(stored, (F.col("common.mid") == F.col("_mid"))
                       & (F.xxhash64("common.mid") == F.col("_hash")), "left")
     return joined.withColumn("common", repaired_common()).drop("_mid", "_stored", "_hash")
 
 
-def repaired_common():
-    """common with is_new set to '0' where a claimed new visitor was seen on another day."""
-    is_new = F.col("common.is_new")
+def first_day(is_new: Column, day: Column) -> Column:
+    """The day that a visitor's first record stores."""
+    return F.when(is_new == "1", day).otherwise(F.date_sub(day, 1))
+
+
+def repaired_flag(is_new: Column, day: Column, stored: Column) -> Column:
+    """'0' where a claimed new visitor was seen on another day."""
+    return F.when((is_new == "1") & (day != stored), F.lit("0")).otherwise(is_new)
+
+
+def repaired_common() -> Column:
+    """common with the flag repaired."""
     today = F.to_date(F.timestamp_millis("ts"))
-    return F.col("common").withField(
-        "is_new",
-        F.when((is_new == "1") & (today != F.col("_stored")), F.lit("0")).otherwise(is_new))
+    return F.col("common").withField("is_new", repaired_flag(F.col("common.is_new"), today, F.col("_stored")))
 
 
 def day_visits(df: DataFrame, key: str, order: list[str], time: str = "et") -> DataFrame:

@@ -16,6 +16,16 @@ def with_lateness(df: DataFrame, column: str = "et", lateness: str = LATENESS) -
     return df.withWatermark(column, lateness) if df.isStreaming else df
 
 
+def merged(*streams: DataFrame, column: str = "et", lateness: str = LATENESS) -> DataFrame:
+    """Rows of several sources under one watermark, which follows the newest row of any of them.
+    A source that is idle holds nothing back. With a watermark for each source Spark takes
+    the least by default, and a silent source would keep all windows open."""
+    out = streams[0]
+    for stream in streams[1:]:
+        out = out.unionByName(stream)
+    return with_lateness(out, column, lateness)
+
+
 def tumble(df: DataFrame, size: str, keys: list[str], aggs: list[Column],
            time: str = "et", day_from: str = "start",
            day_format: str = S.PARTITION_DATE) -> DataFrame:
@@ -26,13 +36,16 @@ def tumble(df: DataFrame, size: str, keys: list[str], aggs: list[Column],
     read all rows.
     """
     assert day_from in ("start", "end")
-    grouped = df.groupBy(F.window(time, size), *keys).agg(*aggs)
-    measures = [c for c in grouped.columns if c not in ("window", *keys)]
+    return stamped(df.groupBy(F.window(time, size), *keys).agg(*aggs), day_from, day_format)
+
+
+def stamped(grouped: DataFrame, day_from: str = "start", day_format: str = S.PARTITION_DATE) -> DataFrame:
+    """The bounds and the day of a column window, in front of the other columns."""
     return grouped.select(
         F.date_format("window.start", S.DATETIME).alias("stt"),
         F.date_format("window.end", S.DATETIME).alias("edt"),
         F.date_format(f"window.{day_from}", day_format).alias("cur_date"),
-        *keys, *measures)
+        *[c for c in grouped.columns if c != "window"])
 
 
 def tumble_distinct(df: DataFrame, size: str, keys: list[str], distinct: str, count: str,

@@ -426,7 +426,44 @@ def _pivot_row(name: str) -> str:
 _cte("types", _TYPES, "traffic")
 
 
+def _of_newest_day(sql: str, needs: tuple[str, ...], tables: tuple[str, ...]) -> str:
+    """A report over one day: its tables are cut to the newest day of the last of them."""
+    head = _with("", *needs)
+    assert sql.startswith(head)
+    out = _with(sql[len(head):], tables[-1], *needs)
+    day = f"(SELECT replace(max(cur_date), '-', '') FROM {tables[-1]}_all)"
+    for t in tables:
+        whole = f"{t} AS ({CTE[t][1]})"
+        assert whole in out
+        out = out.replace(whole, f"{t}_all AS ({CTE[t][1]}),\n{t} AS (SELECT * FROM {t}_all "
+                                 f"WHERE replace(cur_date, '-', '') = {day})")
+    return out
+
+
+#: Reports that are also registered for one day: subqueries they need, tables cut to the day.
+_DAY_REPORTS = {
+    "ads_channel_uv": (("traffic",), ("traffic",)),
+    "ads_visitor_type": (("types",), ("traffic",)),
+    "ads_visitor_per_hour": (("traffic_hour",), ("traffic_hour",)),
+    "ads_keywords": (("keyword",), ("keyword",)),
+    "ads_province_amount": (("province",), ("province",)),
+    "ads_trademark": (("sku_order", "refund"), ("sku_order", "refund")),
+    "ads_category": (("sku_order", "refund"), ("sku_order", "refund")),
+    "ads_trade_stats": (("province", "order_users", "refund"), ("province", "order_users", "refund")),
+}
+#: Tables made from the mixed log, through stored layers, as from their own branches.
+_FROM_LOG = {"log_order_detail": "dwd_trade_order_detail", "log_refund": "dwd_trade_refund",
+             "log_refund_pay_suc": "dwd_refund_pay_suc", "log_pay_suc": "dwd_trade_pay_suc",
+             "log_province_order": "dws_province_order"}
+
+
 def statements() -> dict[str, str]:
+    found = _statements()
+    found |= {name: found[same] for name, same in _FROM_LOG.items()}
+    return found | {f"{name}_day": _of_newest_day(found[name], *how) for name, how in _DAY_REPORTS.items()}
+
+
+def _statements() -> dict[str, str]:
     at = f"strftime(et, {DT})"
     return {
         # sources
@@ -668,6 +705,15 @@ SELECT p.id, p.user_id, p.order_id, p.sku_id, p.province_id, p.pri AS payment_ty
 FROM rr p JOIN rr r ON r.order_id = p.order_id AND r.sku_id = p.sku_id AND r.ls = 'F'
 JOIN dic ON dic.code = p.pri WHERE p.ls = 'F' AND p.st = 'F'""", "rr", "dic"),
 
+        # aggregates of the user
+        "agg_user_count": _with(f"""
+SELECT strftime({_win('et', '1 hour')}, {DT}) AS hour, count(*) AS register_ct
+FROM ev WHERE event_type = 'signup' GROUP BY {_win('et', '1 hour')}""", "ev"),
+        "agg_user_spread": _with("""
+SELECT event_type, k % 10 AS last, count(value) AS n, round(avg(value), 6) AS mean,
+       round(var_pop(value), 6) AS variance
+FROM ev GROUP BY event_type, k % 10""", "ev"),
+
         # windowed tables
         "dws_traffic": _with("SELECT * FROM traffic", "traffic"),
         "dws_home_detail": _with("SELECT * FROM home_detail", "home_detail"),

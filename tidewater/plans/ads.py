@@ -1,5 +1,6 @@
-"""Reports over the windowed tables. A date (yyyyMMdd) selects one day partition;
-without one the report covers all days of the table given."""
+"""Reports over the windowed tables. A date (yyyyMMdd) selects one day partition, TODAY that
+of the day on which the report is asked for; without one the report covers all days of the
+table given."""
 
 from __future__ import annotations
 
@@ -9,16 +10,26 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 
+#: Stands for the current day, in the time zone of the session.
+TODAY = "today"
+
+
+def _asked(table: DataFrame, date: str | int) -> str:
+    if date != TODAY:
+        return str(date)
+    return table.sparkSession.sql("SELECT date_format(current_date(), 'yyyyMMdd')").first()[0]
+
+
 def of_day(table: DataFrame, date: str | int | None) -> DataFrame:
     """One day of a table. On a partitioned table this reads that partition only."""
-    return table if date is None else table.where(F.col("cur_date") == str(date))
+    return table if date is None else table.where(F.col("cur_date") == _asked(table, date))
 
 
 def of_iso_day(table: DataFrame, date: str | int | None) -> DataFrame:
     """One day of a table whose day is kept as yyyy-MM-dd."""
     if date is None:
         return table
-    d = str(date)
+    d = _asked(table, date)
     return table.where(F.col("cur_date") == f"{d[:4]}-{d[4:6]}-{d[6:]}")
 
 

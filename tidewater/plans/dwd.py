@@ -103,8 +103,8 @@ def cart_add(log: DataFrame, database: str) -> DataFrame:
         "ts")
 
 
-def order_detail(log: DataFrame, database: str) -> DataFrame:
-    """Order details with their order, and activity and coupon where there is one."""
+def _detail_parts(log: DataFrame, database: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Order details with their order, and the activities and coupons of details."""
     od = _table(log, database, "order_detail", "insert", None, "od_", "id", "order_id",
                 "sku_id", "sku_name", "create_time", "sku_num", "order_price",
                 "split_total_amount", "split_activity_amount", "split_coupon_amount")
@@ -114,18 +114,42 @@ def order_detail(log: DataFrame, database: str) -> DataFrame:
                  "activity_id", "activity_rule_id", act_detail="order_detail_id")
     cou = _table(log, database, "order_detail_coupon", "insert", None, "cou_",
                  "coupon_id", cou_detail="order_detail_id")
-    rows = od.join(oi, _near(od, F.col("order_id") == F.col("oi_id"), "od_et", "oi_et"))
-    rows = rows.join(act, _near(od, F.col("id") == F.col("act_detail"), "od_et", "act_et"),
-                     "left")
-    rows = rows.join(cou, _near(od, F.col("id") == F.col("cou_detail"), "od_et", "cou_et"),
-                     "left")
+    return od.join(oi, _near(od, F.col("order_id") == F.col("oi_id"), "od_et", "oi_et")), act, cou
+
+
+def _detail_facts(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
         "activity_rule_id", "coupon_id", S.date_id(F.col("create_time")).alias("date_id"),
         "create_time", "sku_num",
         S.line_amount(F.col("sku_num"), F.col("order_price")).alias("split_original_amount"),
         "split_activity_amount", "split_coupon_amount", "split_total_amount",
-        F.col("od_ts").alias("ts"))
+        F.col("od_ts").alias("ts"), *more)
+
+
+def order_detail(log: DataFrame, database: str) -> DataFrame:
+    """Order details with their order, and activity and coupon where there is one."""
+    rows, act, cou = _detail_parts(log, database)
+    rows = rows.join(act, _near(rows, F.col("id") == F.col("act_detail"), "od_et", "act_et"),
+                     "left")
+    rows = rows.join(cou, _near(rows, F.col("id") == F.col("cou_detail"), "od_et", "cou_et"),
+                     "left")
+    return _detail_facts(rows)
+
+
+def order_detail_early(log: DataFrame, database: str, ttl: str | None = "5 seconds") -> DataFrame:
+    """The same on a stream without waiting: a detail comes with its order at once, and again
+    when its activity or coupon arrives. Kept by id, the last in the order of ts and _version
+    (DETAIL_KEYS, DETAIL_ORDER), the rows become the table that order_detail gives."""
+    from ..streaming.live import early_left
+    rows, act, cou = _detail_parts(log, database)
+    found = early_left(rows.drop("oi_id", "oi_ts", "oi_et"), "id", [
+        (act.select("act_detail", "activity_id", "activity_rule_id"), "act_detail"),
+        (cou.select("cou_detail", "coupon_id"), "cou_detail")], ttl)
+    return _detail_facts(found, "_version")
+
+
+DETAIL_KEYS, DETAIL_ORDER = ["id"], ["ts", "_version"]
 
 
 def timed(facts: DataFrame, name: str) -> DataFrame:
@@ -215,6 +239,8 @@ def refund_payment(log: DataFrame, dictionary: DataFrame, database: str) -> Data
         F.col("total_amount").alias("refund_amount"), F.col("rp_ts").alias("ts"))
 
 
-def routed_facts(log: DataFrame, config: DataFrame, database: str) -> DataFrame:
-    """Simple facts whose target and columns a configuration table gives."""
-    return changelog.route_facts(etl.changes(log, database, etl.FACT_CHANGE_TYPES), config)
+def routed_facts(log: DataFrame, config: DataFrame, database: str,
+                 preload: DataFrame | None = None) -> DataFrame:
+    """Simple facts whose target and columns a configuration table gives. A streaming
+    configuration is its changes, which overrule what was preloaded."""
+    return changelog.route_facts(etl.changes(log, database, etl.FACT_CHANGE_TYPES), config, preload)

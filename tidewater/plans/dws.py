@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import etl, joins, state
-from ..operators.windows import WINDOW, sums, tumble, tumble_distinct, with_lateness
+from ..operators.windows import WINDOW, stamped, sums, tumble, tumble_distinct, with_lateness
+from . import dwd
 
 ORDER = ["ts", "seq"]
 TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
@@ -51,13 +52,13 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
     """Visitors, sessions, views, time and one-page sessions by version, channel,
     area and new-visitor flag.
 
-    The measures come from three flows of narrow rows that are added up in one
-    window: every view, each visitor's first view of a day, each session's first
-    view. The flows are cut down before they are shuffled, so no task gets all rows
-    of a busy visitor or session. uj_ct is our addition; on a stream it is written by
-    bounces() and is 0 here.
+    A batch is read once: each view counts for its window, for the visitor's day and for the
+    session, and these three are aggregated, before and after one shuffle, to what the
+    window gets from them. No task gets all rows of a busy visitor or session. uj_ct is our
+    addition; on a stream it is written by bounces() and is 0 here.
 
-    On a stream the first views come from keyed state, which remembers a visitor's day for
+    On a stream the measures come from three flows of narrow rows that are added up in one
+    window. The first views come from keyed state, which remembers a visitor's day for
     a day and a session for its TTL. All flows have the same lateness, so their windows
     close together.
     """
@@ -65,29 +66,89 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
         "et", *ORDER, F.col("common.mid").alias("mid"), F.col("common.sid").alias("sid"),
         *[F.col(f"common.{k}").alias(k) for k in TRAFFIC_KEYS],
         F.col("page.during_time").alias("dur_sum"))
+    if not rows.isStreaming:
+        first = F.struct(*ORDER)
+        return _traffic(rows.select(
+            F.window("et", size).alias("window"), F.to_date("et").alias("day"), "mid", "sid", *TRAFFIC_KEYS,
+            first.alias("first"), _one("pv_ct"), "dur_sum"))
+    from ..streaming.state import first_of_keys
     rows = with_lateness(rows)
     views = rows.select(
         "et", *TRAFFIC_KEYS, _zero("uv_ct"), _zero("sv_ct"), _one("pv_ct"), "dur_sum",
         _zero("uj_ct"))
     by_day = rows.select("et", *ORDER, "mid", *TRAFFIC_KEYS, F.to_date("et").alias("day"))
     narrow = rows.select("et", *ORDER, "sid", *TRAFFIC_KEYS)
-    if pages.isStreaming:
-        from ..streaming.state import first_of_keys
-        visitors = first_of_keys(by_day, ["mid", "day"], "1 day", ORDER)
-        sessions = first_of_keys(narrow, ["sid"], session_ttl, ORDER).withColumn(
-            "uj_ct", F.lit(0).cast("long"))
-    else:
-        visitors = state.first_rows(by_day, ["mid", "day"], ORDER)
-        first = F.struct(*ORDER, "et", *TRAFFIC_KEYS)
-        sessions = (narrow.groupBy("sid")
-                    .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
-                    .select("first.*", (F.col("n") == 1).cast("long").alias("uj_ct")))
+    visitors = first_of_keys(by_day, ["mid", "day"], "1 day", ORDER)
+    sessions = first_of_keys(narrow, ["sid"], session_ttl, ORDER)
     visitors = visitors.select("et", *TRAFFIC_KEYS, _one("uv_ct"), _zero("sv_ct"),
                                _zero("pv_ct"), _zero("dur_sum"), _zero("uj_ct"))
     sessions = sessions.select("et", *TRAFFIC_KEYS, _zero("uv_ct"), _one("sv_ct"),
-                               _zero("pv_ct"), _zero("dur_sum"), "uj_ct")
+                               _zero("pv_ct"), _zero("dur_sum"), _zero("uj_ct"))
     flows = views.unionByName(visitors).unionByName(sessions)
-    return tumble(flows, size, TRAFFIC_KEYS, sums("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"))
+    return tumble(flows, size, TRAFFIC_KEYS, sums(*TRAFFIC_MEASURES))
+
+
+TRAFFIC_MEASURES = ["uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"]
+VIEW, VISITOR, SESSION = 0, 1, 2
+
+
+def _traffic(views: DataFrame) -> DataFrame:
+    """The traffic table from views, or from groups of views with the same window, day,
+    visitor, session and keys; `first` orders them."""
+    at = F.struct("first", "window", *TRAFFIC_KEYS)
+    none = F.lit(None)
+    def flow(kind, who=none, day=none, window=none, keys=none, at=none, pv=none, dur=none):
+        return F.struct(
+            F.lit(kind).alias("kind"), who.cast("string").alias("who"), day.cast("date").alias("day"),
+            window.cast(views.schema["window"].dataType).alias("window"),
+            *[(none if keys is none else F.col(k)).cast("string").alias(k) for k in TRAFFIC_KEYS],
+            at.cast(at_type).alias("at"), pv.cast("long").alias("pv_ct"), dur.cast("long").alias("dur_sum"))
+    at_type = views.select(at.alias("at")).schema["at"].dataType
+    # A view without a visitor or session is one of the visitor or session null.
+    flows = views.select(F.inline(F.array(
+        flow(VIEW, window=F.col("window"), keys=True, pv=F.col("pv_ct"), dur=F.col("dur_sum")),
+        flow(VISITOR, F.col("mid"), F.col("day"), at=at),
+        flow(SESSION, F.col("sid"), at=at, pv=F.col("pv_ct")))))
+    met = (flows.groupBy("kind", "who", "day", "window", *TRAFFIC_KEYS)
+           .agg(F.min("at").alias("at"), *sums("pv_ct", "dur_sum")))
+    of = {name: F.col("kind") == kind for name, kind in (("view", VIEW), ("visitor", VISITOR), ("session", SESSION))}
+    def measure(flag, value=F.lit(1)):
+        return F.when(flag, value).otherwise(0).cast("long")
+    rows = met.select(
+        F.coalesce("window", "at.window").alias("window"),
+        *[F.when(of["view"], F.col(k)).otherwise(F.col(f"at.{k}")).alias(k) for k in TRAFFIC_KEYS],
+        measure(of["visitor"]).alias("uv_ct"), measure(of["session"]).alias("sv_ct"),
+        measure(of["view"], F.col("pv_ct")).alias("pv_ct"),
+        F.when(of["view"], F.col("dur_sum")).otherwise(0).cast("long").alias("dur_sum"),
+        measure(of["session"] & (F.col("pv_ct") == 1)).alias("uj_ct"))
+    return stamped(rows.groupBy("window", *TRAFFIC_KEYS).agg(*sums(*TRAFFIC_MEASURES)))
+
+
+def traffic_of_log(log: DataFrame, size: str = WINDOW) -> DataFrame:
+    """The traffic table from the behaviour log, the visitor flag repaired on the way.
+
+    A batch parses and shuffles the log once: records of one visitor, session, window and keys
+    become one row. The first days of visitors come from these rows, through the same shuffle,
+    and are joined to them."""
+    if log.isStreaming:
+        return traffic(dwd.page(dwd.base_log(log)), size)
+    records = log.select(
+        F.window("et", size).alias("window"), F.to_date("et").alias("day"), F.col("common.mid").alias("mid"),
+        F.col("common.sid").alias("sid"), *[F.col(f"common.{k}").alias(k) for k in TRAFFIC_KEYS],
+        F.col("page").isNotNull().alias("viewed"), F.struct(*ORDER).alias("first"),
+        F.col("page.during_time").alias("dur_sum"))
+    keys = ["window", "day", "mid", "sid", *TRAFFIC_KEYS, "viewed"]
+    groups = records.groupBy(*keys).agg(
+        F.min("first").alias("first"), F.count(F.lit(1)).alias("pv_ct"), *sums("dur_sum"))
+    # All columns take part in the minimum, behind those that decide it: with another choice of
+    # columns Spark would not see that both sides of the join start from the same shuffle.
+    rest = [c for c in groups.columns if c not in ("first", "is_new", "day", "mid")]
+    opened = groups.groupBy(F.col("mid").alias("_mid")).agg(F.min(F.struct("first", "is_new", "day", *rest)).alias("m"))
+    stored = opened.select("_mid", state.first_day(F.col("m.is_new"), F.col("m.day")).alias("_stored"))
+    joined = groups.join(stored, F.col("mid").eqNullSafe(F.col("_mid")), "left").where("viewed")
+    is_new = F.when(F.col("mid").isNull(), F.col("is_new")).otherwise(
+        state.repaired_flag(F.col("is_new"), F.col("day"), F.col("_stored")))
+    return _traffic(joined.withColumn("is_new", is_new).drop("viewed", "_mid", "_stored"))
 
 
 def bounces(pages: DataFrame, size: str = WINDOW, gap: str = "1 hour") -> DataFrame:
@@ -176,7 +237,8 @@ DETAIL_ORDER = ["ts", "sku_id", "province_id", "order_id", "order_amount"]
 
 
 def province_order(details: DataFrame, provinces: DataFrame, size: str = WINDOW) -> DataFrame:
-    """Orders and amount by province, each order detail counted once."""
+    """Orders and amount by province, each order detail counted once. Streaming provinces
+    are the changes of the dimension."""
     rows = _timed(details).select(
         "et", "ts", "id", "sku_id", "order_id", "province_id",
         S.amount(F.col("split_total_amount")).alias("order_amount"))
@@ -190,15 +252,29 @@ def province_order(details: DataFrame, provinces: DataFrame, size: str = WINDOW)
     return joins.enrich(table, provinces, "province_id", {"province_name": "name"})
 
 
-def refund(refunds: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW) -> DataFrame:
+def refund(refunds: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW,
+           wait: str | None = None) -> DataFrame:
     """Refunded orders by brand, category and user. Brand and category are group
-    keys, so the product comes in before the window and the names after it."""
+    keys, so the product comes in before the window and the names after it.
+
+    Streaming dims are the dimensions' changes (plans.dim.changes): a refund gets the product as it
+    is when it comes. With `wait` one whose product is not there yet waits for it; if its
+    window is closed by then, it makes a further row of that window."""
     rows = _timed(refunds).select("et", "order_id", "sku_id", "user_id")
-    rows = joins.enrich(rows, dims["sku"], "sku_id",
-                        {"trademark_id": "tm_id", "category3_id": "category3_id"})
+    product = {"trademark_id": "tm_id", "category3_id": "category3_id"}
     keys = ["trademark_id", "category3_id", "user_id"]
-    table = tumble_distinct(rows, size, keys, "order_id", "refund_count", [],
+    own = []
+    if dims["sku"].isStreaming:
+        from ..streaming import live
+        rows = live.lookup(rows, dims["sku"], "sku_id", product, "et", wait)
+        if wait is not None:
+            rows, own = live.own_window(rows, size), ["_start"]
+    else:
+        rows = joins.enrich(rows, dims["sku"], "sku_id", product)
+    table = tumble_distinct(rows, size, [*keys, *own], "order_id", "refund_count", [],
                             day_format=S.DATE)
+    if own:
+        table = live.stamped(table, size, S.DATE)
     table = joins.enrich(table, dims["trademark"], "trademark_id", {"trademark_name": "tm_name"})
     return joins.flatten_category(table, dims)
 
@@ -226,13 +302,12 @@ def sku_deltas(details: DataFrame) -> DataFrame:
 def sku_order(details: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW,
               delta_ttl: str = "60 seconds") -> DataFrame:
     """Amounts by sku, repeated details corrected, with the product's names. The names
-    come in after the window, so they are looked up per result row."""
+    come in after the window, so they are looked up per result row; streaming dims are the
+    dimensions' changes, and a row gets the names as they are when its window closes."""
     if details.isStreaming:
         from ..streaming.state import delta_correct
         rows = delta_correct(sku_facts(details), "id", SKU_AMOUNTS, ttl=delta_ttl)
     else:
         rows = state.delta_sums(sku_deltas(details), SKU_AMOUNTS, SKU_CARRY)
     table = tumble(rows, size, ["sku_id"], sums(*SKU_AMOUNTS), day_from="end")
-    flat = joins.flatten_sku(dims)
-    names = [c for c in flat.columns if c != "sku_id"]
-    return joins.enrich(table, flat, "sku_id", {n: n for n in names}, dim_key="sku_id")
+    return joins.enrich_sku(table, dims)

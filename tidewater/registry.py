@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from . import bindings as B
 from . import schemas
 from .functions import scalars as S
-from .operators import changelog, etl, joins, state, windows
+from .operators import aggregates, changelog, etl, joins, state, windows
 from .plans import ads, dim, dwd, dws
-from .sources import decode
+from .sources import decode, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -471,6 +471,21 @@ def agg_window_distinct(spark, sf):
                                    "order_count", [])
 
 
+@query
+def agg_user_count(spark, sf):
+    """Registrations by hour, counted by a user's aggregate."""
+    rows = B.registrations(spark, sf).select(
+        F.window(S.event_time_millis(F.expr("try_cast(create_time AS bigint)")), HOUR_WINDOW).alias("w"))
+    hours = rows.select(F.col("w.start").alias("hour"), F.lit(1).alias("one"))
+    return aggregates.aggregate(hours, ["hour"], ["one"], aggregates.Count()).withColumnRenamed("n", "register_ct")
+
+
+@query
+def agg_user_spread(spark, sf):
+    rows = B.events(spark, sf).select("event_type", (F.col("k") % 10).alias("last"), "value")
+    return aggregates.aggregate(rows, ["event_type", "last"], ["value"], aggregates.Spread())
+
+
 @query
 def win_tumble(spark, sf):
     rows = B.page_log(spark, sf).select("et", F.col("page.page_id").alias("page_id"))
@@ -614,6 +629,50 @@ def dwd_refund_pay_suc(spark, sf):
     return dwd.refund_payment(log, B.dictionary(spark, sf), B.DATABASE)
 
 
+# --- from the mixed log, through stored layers ------------------------------------------
+
+def _split_log(spark, sf):
+    """The raw log of all order tables, parsed once and stored by source table and type."""
+    path = layers.folder(spark, "changes")
+    layers.split_changes(decode.change_log(B.raw_order_changes(spark, sf)), path)
+    return layers.changes(spark, path)
+
+
+def _stored(spark, facts, name):
+    """A fact table as its readers find it."""
+    path = layers.folder(spark, name)
+    facts.write.parquet(path)
+    return spark.read.schema(facts.schema).parquet(path)
+
+
+@query
+def log_order_detail(spark, sf):
+    return dwd.order_detail(_split_log(spark, sf), B.DATABASE)
+
+
+@query
+def log_refund(spark, sf):
+    return dwd.order_refund(_split_log(spark, sf), B.dictionary(spark, sf), B.DATABASE)
+
+
+@query
+def log_refund_pay_suc(spark, sf):
+    return dwd.refund_payment(_split_log(spark, sf), B.dictionary(spark, sf), B.DATABASE)
+
+
+@query
+def log_pay_suc(spark, sf):
+    log = _split_log(spark, sf)
+    details = _stored(spark, dwd.order_detail(log, B.DATABASE), "details")
+    return dwd.order_payment(log, details, B.dictionary(spark, sf), B.DATABASE, *PAY_INTERVAL)
+
+
+@query
+def log_province_order(spark, sf):
+    details = _stored(spark, dwd.order_detail(_split_log(spark, sf), B.DATABASE), "details")
+    return dws.province_order(details, B.provinces(spark, sf), TRADE_WINDOW)
+
+
 # --- windowed tables ------------------------------------------------------------------
 
 def _pages(spark, sf):
@@ -623,7 +682,7 @@ def _pages(spark, sf):
 
 @query
 def dws_traffic(spark, sf):
-    return dws.traffic(_pages(spark, sf), PAGE_WINDOW)
+    return dws.traffic_of_log(decode.behaviour_log(B.raw_behaviour(spark, sf)), PAGE_WINDOW)
 
 
 @query
@@ -686,7 +745,7 @@ def _report(name: str, build, *tables) -> None:
 
 
 def _traffic_by_hour(spark, sf):
-    return dws.traffic(_pages(spark, sf), HOUR_WINDOW)
+    return dws.traffic_of_log(decode.behaviour_log(B.raw_behaviour(spark, sf)), HOUR_WINDOW)
 
 
 _report("ads_activity", ads.activity, dws_sku_order)
@@ -711,3 +770,33 @@ _report("ads_visitor_type_pivot", ads.visitor_type_table, dws_traffic)
 _report("ads_user_change", ads.user_change, dws_user_login, dws_user_register)
 _report("ads_uv_by_page", ads.uv_by_page, dws_home_detail, dws_cart_uu, dws_order, dws_payment)
 _report("ads_trade_users", ads.trade_users, dws_order, dws_payment)
+
+
+# --- reports of one day, over stored days -------------------------------------------------
+
+def _days(spark, sf, build):
+    """A windowed table, stored by day."""
+    table = build(spark, sf)
+    path = layers.folder(spark, build.__name__.strip("_"))
+    layers.put_days(table, path)
+    return layers.days(spark, path, table.schema)
+
+
+def _day_report(name: str, build, *tables) -> None:
+    """The report of the newest day of its last table, given as yyyyMMdd."""
+    def run(spark, sf):
+        stored = [_days(spark, sf, t) for t in tables]
+        newest = stored[-1].agg(F.max("cur_date")).first()[0]
+        return build(*stored, date=(newest or "19700101").replace("-", ""))
+    run.__name__ = name
+    query(run)
+
+
+_day_report("ads_channel_uv_day", ads.channel_uv, dws_traffic)
+_day_report("ads_visitor_type_day", ads.visitor_types, dws_traffic)
+_day_report("ads_visitor_per_hour_day", ads.visitors_per_hour, _traffic_by_hour)
+_day_report("ads_keywords_day", ads.keywords, dws_keyword)
+_day_report("ads_province_amount_day", ads.province_amount, dws_province_order)
+_day_report("ads_trademark_day", ads.trademark, dws_sku_order, dws_refund)
+_day_report("ads_category_day", ads.category, dws_sku_order, dws_refund)
+_day_report("ads_trade_stats_day", ads.trade_stats, dws_province_order, dws_order, dws_refund)

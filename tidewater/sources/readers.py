@@ -49,3 +49,10 @@ def config_snapshot(spark: SparkSession, url: str, table: str, **options: str) -
     names stay as the table has them."""
     return (spark.read.format("jdbc").option("url", url).option("dbtable", table)
             .options(**options).load())
+
+
+def state(spark: SparkSession, checkpoint: str, variable: str, operator: int = 0) -> DataFrame:
+    """What a stopped query holds in a state variable of one of its keyed operators, which are
+    numbered from the end of the plan."""
+    return (spark.read.format("statestore").option("operatorId", operator)
+            .option("stateVarName", variable).load(checkpoint))

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..operators import changelog
 from ..operators.state import last_rows
 from ..plans import dwd
+from .current import BUCKETS, FOLD, Current
 
 TRIGGER = "5 seconds"
 
@@ -147,63 +148,28 @@ def live_table(df: DataFrame, path: str, build: Callable[[DataFrame], DataFrame]
     return _foreach(df, lambda batch, number: _put(build(batch), path, number), run)
 
 
-# Batches after which an upsert table is folded into a new base.
-FOLD = 20
+def _upserts(path: str, keys: list[str], order: list[str], **how) -> Current:
+    """Keyed rows; of a key's rows the last in order stays, of equal ones that of the later batch."""
+    return Current(path, tuple(keys), lambda rows: last_rows(rows, keys, [*order, "_batch"]), **how)
 
 
 def upsert_table(df: DataFrame, path: str, keys: list[str], order: list[str],
-                 run: Run, fold: int = FOLD) -> StreamingQuery:
-    """Keyed rows. Each batch adds the last row of each of its keys to the changes; every
-    fold batches base and changes become a new base, the last row of every key. A marker
-    written after the base makes it count, so a batch or a fold that is run again does
-    no harm. Changes older than the base before are deleted."""
-    spark = df.sparkSession
-    _mark(spark, path, -1, "ignore")
-
-    def write(batch: DataFrame, number: int) -> None:
-        _put(last_rows(batch, keys, order), f"{path}/changes", number)
-        if number % fold != fold - 1:
-            return
-        before = _folded(spark, path, number)
-        rows = _since(spark, path, before).where(F.col("batch") <= number)
-        (last_rows(rows, keys, [*order, "batch"]).drop("batch")
-         .write.mode("overwrite").parquet(f"{path}/base/{number}"))
-        _mark(spark, path, number, "overwrite")
-        for old in range(max(0, before - fold + 1), before + 1):
-            _delete(spark, f"{path}/changes/batch={old}")
-    return _foreach(df, write, run)
-
-
-def _mark(spark: SparkSession, path: str, number: int, mode: str) -> None:
-    spark.range(1).write.mode(mode).parquet(f"{path}/folded/through={number}")
-
-
-def _folded(spark: SparkSession, path: str, below: int | None = None) -> int:
-    """The newest batch that a base holds, or -1."""
-    marks = spark.read.parquet(f"{path}/folded")
-    marks = marks if below is None else marks.where(F.col("through") < below)
-    return marks.agg(F.max("through")).first()[0]
-
-
-def _since(spark: SparkSession, path: str, through: int) -> DataFrame:
-    """A base and the changes after it."""
-    rows = spark.read.parquet(f"{path}/changes").where(F.col("batch") > through)
-    if through < 0:
-        return rows
-    base = spark.read.parquet(f"{path}/base/{through}")
-    return rows.unionByName(base.withColumn("batch", F.lit(through)))
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+                 run: Run, fold: int = FOLD, buckets: int = BUCKETS) -> StreamingQuery:
+    """The last row of every key. A batch writes its own rows and one in `fold` buckets of
+    the table; see sources.current."""
+    def numbered(batch: DataFrame, number: int) -> DataFrame:
+        return batch.withColumn("_batch", F.lit(number).cast("bigint"))
+    table = _upserts(path, keys, order, fold=fold, buckets=buckets)
+    table.create(df.sparkSession, T.StructType([*df.schema.fields, T.StructField("_batch", T.LongType())]),
+                 run.checkpoint)
+    return _foreach(df, lambda batch, number: table.put(numbered(batch, number), number), run)
 
 
 def read_upserts(spark: SparkSession, path: str, keys: list[str], order: list[str],
                  deleted: str | None = None) -> DataFrame:
-    """The last row of each key: the newest base and the few batches after it."""
-    rows = _since(spark, path, _folded(spark, path))
-    return changelog.upsert_latest(rows, keys, [*order, "batch"], deleted).drop("batch")
+    """The last row of each key, without the keys whose last row is a deletion."""
+    rows = _upserts(path, keys, order).read(spark).drop("_batch")
+    return rows if deleted is None else rows.where(~F.coalesce(F.expr(deleted), F.lit(False)))
 
 
 def tombstones(df: DataFrame, keys: list[str], deleted: str) -> DataFrame:
@@ -213,22 +179,20 @@ def tombstones(df: DataFrame, keys: list[str], deleted: str) -> DataFrame:
                      F.when(~F.coalesce(F.expr(deleted), F.lit(False)), value).alias("value"))
 
 
-ROUTED = T.StructType([
-    T.StructField("sink_table", T.StringType()), T.StructField("sink_family", T.StringType()),
-    T.StructField("row_key", T.StringType()), T.StructField("op_type", T.StringType()),
-    T.StructField("data", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
-])
+def _cells(path: str, **how) -> Current:
+    return Current(path, ("sink_table", "row_key"), changelog.newest_cells, **how)
 
 
-def dim_tables(routed: DataFrame, path: str, run: Run) -> StreamingQuery:
-    """Dimension changes, partitioned by target; read_dims makes rows of them."""
-    def write(batch: DataFrame, number: int) -> None:
-        (batch.write.mode("overwrite").partitionBy("sink_table")
-         .parquet(f"{path}/batch={number}"))
-    return _foreach(routed, write, run)
+def dim_tables(routed: DataFrame, path: str, run: Run, fold: int = 1,
+               buckets: int = BUCKETS) -> StreamingQuery:
+    """Dimension tables as of now, cell by cell: the newest value of each row and column, and the
+    newest deletion of each row. A column that a change leaves null keeps its value. Dimensions
+    change seldom, so every batch rewrites the buckets it touches unless told otherwise."""
+    table = _cells(path, fold=fold, buckets=buckets)
+    table.create(routed.sparkSession, changelog.CELLS, run.checkpoint)
+    return _foreach(routed, lambda batch, number: table.put(changelog.cells(batch), number), run)
 
 
 def read_dims(spark: SparkSession, path: str) -> DataFrame:
     """Dimension rows after all changes so far; a fresh read sees the newest ones."""
-    return changelog.dim_rows(spark.read.option("mergeSchema", "true").parquet(path))
+    return changelog.rows_of_cells(_cells(path).read(spark))

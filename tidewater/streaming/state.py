@@ -5,6 +5,9 @@ order and not as a shuffle happened to deliver them. So on input whose micro-bat
 follow each other in event time the results are those of the batch forms, however many
 files and tasks a micro-batch has. Where only a first row counts, the rows stream through
 and the smallest is kept; a day flag keeps one row per new day.
+
+A row that is left out because the watermark has passed it comes out marked and is counted
+before it goes (streaming.monitor reads the counts).
 """
 
 from __future__ import annotations
@@ -30,30 +33,51 @@ def _rank(row: Row, order: list[str]) -> tuple:
     return tuple((row[c] is not None, row[c]) for c in order)
 
 
+LATE = "_late"
+
+
+def _with_late(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(LATE, T.BooleanType())])
+
+
+def _late(named: Row, values: list, at: int, ms: int, watermark: int, *more) -> Row:
+    """A row that is too late, at a time that may still come out, marked."""
+    values[at] = values[at] + timedelta(milliseconds=watermark + 1 - ms)
+    return named(*values, *more, True)
+
+
+def without_late(df: DataFrame, name: str) -> DataFrame:
+    """The rows that are not late, the others counted under the name."""
+    counted = df.observe(name, F.count_if(LATE).alias("late"))
+    return counted.where(~F.col(LATE)).drop(LATE)
+
+
 class _DayFlag(StatefulProcessor):
     """Passes the first row of each new day of a key, with the day before it.
 
     A row behind the watermark is left out here, as it would be by a window.
     """
 
-    def __init__(self, columns: list[str], order: list[str]):
-        self.columns, self.order = columns, order
+    def __init__(self, columns: list[str], order: list[str], time: str):
+        self.columns, self.order, self.time = columns, order, columns.index(time)
+        self.named = Row(*columns, "_prev_day", LATE)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last_day", "day date")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        named = Row(*self.columns, "_prev_day")
         stored = self.last.get()[0] if self.last.exists() else None
         watermark = timerValues.getCurrentWatermarkInMs()
         days = {}  # of this batch only, the first row of each
         for row in rows:
             day, rank = row["_day"], _rank(row, self.order)
-            if row["_ms"] > watermark and day != stored and (day not in days or rank < days[day][0]):
+            if row["_ms"] <= watermark:
+                yield _late(self.named, [row[c] for c in self.columns], self.time, row["_ms"], watermark, None)
+            elif day != stored and (day not in days or rank < days[day][0]):
                 days[day] = rank, row
         newest = stored
         for day in sorted(days):
-            yield named(*[days[day][1][c] for c in self.columns], newest)
+            yield self.named(*[days[day][1][c] for c in self.columns], newest, False)
             newest = day if newest is None else max(newest, day)
         if newest != stored:
             self.last.update((newest,))
@@ -66,9 +90,10 @@ def day_visits(df: DataFrame, keys: list[str], order: list[str] = [],
                time: str = "et") -> DataFrame:
     """First row of each key and day, with the key's previous day, null for none."""
     daily = df.withColumn("_day", F.to_date(time))
-    schema = T.StructType([*daily.schema.fields, T.StructField("_prev_day", T.DateType())])
-    return daily.withColumn("_ms", F.unix_millis(time)).groupBy(*keys).transformWithState(
-        _DayFlag(daily.columns, ["_ms", *order]), schema, "append", "eventTime", eventTimeColumnName=time)
+    schema = _with_late(T.StructType([*daily.schema.fields, T.StructField("_prev_day", T.DateType())]))
+    flagged = daily.withColumn("_ms", F.unix_millis(time)).groupBy(*keys).transformWithState(
+        _DayFlag(daily.columns, ["_ms", *order], time), schema, "append", "eventTime", eventTimeColumnName=time)
+    return without_late(flagged, f"late_day_of_{'_'.join(keys)}")
 
 
 def first_of_day(df: DataFrame, keys: list[str], order: list[str] = [],
@@ -128,31 +153,35 @@ def _by_clock(df: DataFrame, key: str, processor: _Expiring, out: T.StructType,
     """Run a processor by its clock. The result keeps its watermark by the event clock."""
     by_event = processor.clock == "event"
     assert by_event or processor.clock == "processing"
-    return df.withColumn("_ms", F.unix_millis(time)).groupBy(key).transformWithState(
-        processor, out, "append", "eventTime" if by_event else "processingTime",
+    rows = df.withColumn("_ms", F.unix_millis(time)).groupBy(key).transformWithState(
+        processor, _with_late(out), "append", "eventTime" if by_event else "processingTime",
         eventTimeColumnName=time if by_event else "")
+    return without_late(rows, f"late_{processor.name}_of_{key}")
 
 
 class _FirstSeen(_Expiring):
     """Passes a key's first row, and again the first after it was forgotten."""
 
-    def __init__(self, columns: list[str], order: list[str], ttl_ms: int | None, clock: str):
+    def __init__(self, columns: list[str], order: list[str], ttl_ms: int | None, clock: str, time: str):
         super().__init__("first", "seen boolean", ttl_ms, clock)
-        self.columns, self.order = columns, order
+        self.columns, self.order, self.time = columns, order, columns.index(time)
+        self.named = Row(*columns, LATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        named = Row(*self.columns)
         old = value = self.load()
         watermark = self.watermark(timerValues)
-        fresh = (row for row in rows if row["_ms"] > watermark
-                 and (old is None or self.expired(old, row["_ms"])))
-        if self.ttl_ms is None:  # nothing comes after the first: one row is held
-            first = min(fresh, key=lambda row: _rank(row, self.order), default=None)
-            fresh = [] if first is None else [first]
+        fresh = []
+        for row in rows:
+            if row["_ms"] <= watermark:
+                yield _late(self.named, [row[c] for c in self.columns], self.time, row["_ms"], watermark)
+            elif old is None or self.expired(old, row["_ms"]):
+                fresh.append(row)
+                if self.ttl_ms is None:  # nothing comes after the first: one row is held
+                    fresh = [min(fresh, key=lambda row: _rank(row, self.order))]
         for row in sorted(fresh, key=lambda row: _rank(row, self.order)):
             if value is None or self.expired(value, row["_ms"]):
                 value = (True, row["_ms"], None)
-                yield named(*[row[c] for c in self.columns])
+                yield self.named(*[row[c] for c in self.columns], False)
         if value is not None and value is not old:
             self.store(old, value[:-2], value[-2], watermark)
 
@@ -161,52 +190,80 @@ def first_of_session(df: DataFrame, key: str, ttl: str | None, order: list[str]
                      time: str = "et", clock: str = "event") -> DataFrame:
     """First row of each session id, a session being forgotten a TTL after it began, or
     never."""
-    processor = _FirstSeen(df.columns, ["_ms", *order], millis(ttl) if ttl else None, clock)
+    processor = _FirstSeen(df.columns, ["_ms", *order], millis(ttl) if ttl else None, clock, time)
     return _by_clock(df, key, processor, df.schema, time)
 
 
 class _FirstSeenOfMany(StatefulProcessor):
-    """Like _FirstSeen by the event clock, for all keys of a bucket at once: their times
-    are one value, which is read and written once for each micro-batch and loses what the
-    watermark has left a TTL behind."""
+    """Like _FirstSeen by the event clock, for all keys of a bucket: the times of the keys are a
+    map, of which a micro-batch reads and writes the keys it has. New keys are also appended to
+    a queue; a timer, one for each TTL's length of event time, goes through the queue and
+    removes what the watermark has left a TTL behind."""
 
-    def __init__(self, columns: list[str], order: list[str], ttl_ms: int):
-        self.columns, self.order, self.ttl_ms = columns, order, ttl_ms
+    def __init__(self, columns: list[str], order: list[str], ttl_ms: int, time: str):
+        self.columns, self.order, self.ttl_ms, self.time = columns, order, ttl_ms, columns.index(time)
+        self.named = Row(*columns, LATE)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "keys array<string>, times array<bigint>")
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "key string", "ms bigint")
+        self.queue = handle.getListState("queue", "key string, ms bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        named = Row(*self.columns)
         watermark = timerValues.getCurrentWatermarkInMs()
-        stored = self.seen.get() if self.seen.exists() else ([], [])
-        seen = {k: ms for k, ms in zip(*stored) if ms + self.ttl_ms >= watermark}
-        rows = [row for row in rows if row["_ms"] > watermark]
-        for row in sorted(rows, key=lambda row: _rank(row, self.order)):
-            last = seen.get(row["_key"])
-            if last is None or row["_ms"] > last + self.ttl_ms:
-                seen[row["_key"]] = row["_ms"]
-                yield named(*[row[c] for c in self.columns])
-        self.seen.update((list(seen), list(seen.values())))
+        by_key: dict[str, list] = {}
+        for row in rows:
+            if row["_ms"] > watermark:
+                by_key.setdefault(row["_key"], []).append(row)
+            else:
+                yield _late(self.named, [row[c] for c in self.columns], self.time, row["_ms"], watermark)
+        known, fresh = self.seen.exists(), []
+        for name, mine in by_key.items():
+            stored = self.seen.getValue((name,)) if known else None
+            last = first = None if stored is None else stored[0]
+            for row in sorted(mine, key=lambda row: _rank(row, self.order)) if len(mine) > 1 else mine:
+                if last is None or row["_ms"] > last + self.ttl_ms:
+                    last = row["_ms"]
+                    yield self.named(*[row[c] for c in self.columns], False)
+            if last != first:
+                self.seen.updateValue((name,), (last,))
+                fresh.append((name, last))
+        if fresh:
+            self.queue.appendList(fresh)
+            for due in {(ms // self.ttl_ms + 2) * self.ttl_ms for _, ms in fresh}:
+                self.handle.registerTimer(max(due, watermark + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark, stay = timerValues.getCurrentWatermarkInMs(), []
+        for name, ms in self.queue.get() if self.queue.exists() else ():
+            if ms + self.ttl_ms >= watermark:
+                stay.append((name, ms))
+            else:
+                held = self.seen.getValue((name,))
+                if held is not None and held[0] == ms:  # not seen again since
+                    self.seen.removeKey((name,))
+        self.queue.put(stay) if stay else self.queue.clear()
+        yield from ()
 
     def close(self) -> None:
         pass
 
 
-# Groups that the keys of first_of_keys are dealt over, each a value in the state.
+# Groups that the keys of first_of_keys are dealt over.
 BUCKETS = 512
 
 
 def first_of_keys(df: DataFrame, keys: list[str], ttl: str, order: list[str],
                   time: str = "et", buckets: int = BUCKETS) -> DataFrame:
     """First row of each key, a key being forgotten a TTL after it. For short-lived keys in
-    large numbers, where a state access for each would cost more than all else."""
+    large numbers, where a group for each would cost more than all else."""
     key = F.to_json(F.struct(*keys))
     keyed = (df.withColumn("_key", key).withColumn("_ms", F.unix_millis(time))
              .withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))))
-    return keyed.groupBy("_bucket").transformWithState(
-        _FirstSeenOfMany(df.columns, ["_ms", *order], millis(ttl)), df.schema, "append",
+    found = keyed.groupBy("_bucket").transformWithState(
+        _FirstSeenOfMany(df.columns, ["_ms", *order], millis(ttl), time), _with_late(df.schema), "append",
         "eventTime", eventTimeColumnName=time)
+    return without_late(found, f"late_first_of_{'_'.join(keys)}")
 
 
 class _VisitorRepair(StatefulProcessor):
@@ -255,9 +312,10 @@ class _Delta(_Expiring):
         self.amounts, self.carry, self.order = amounts, carry, order
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        named = Row(*self.amounts, *self.carry)
+        named = Row(*self.amounts, *self.carry, LATE)
         watermark = self.watermark(timerValues)
         old = prev = self.load()
+        at = len(self.amounts)  # the carried time comes first
         n, width = len(self.amounts), len(self.amounts) + len(self.carry)
         for row in sorted(rows, key=lambda row: _rank(row, self.order)):
             current = (*[row[a] for a in self.amounts], *[row[c] for c in self.carry],
@@ -265,10 +323,10 @@ class _Delta(_Expiring):
             # A row goes to the window of the carried time. Behind the watermark that
             # window is closed and the row is dropped; the state moves on all the same.
             if prev is None or self.expired(prev, row["_ms"]):
-                if current[-2] > watermark:
-                    yield named(*current[:width])
-            elif prev[-2] > watermark:
-                yield named(*[c - p for c, p in zip(current[:n], prev[:n])], *prev[n:width])
+                out, ms = list(current[:width]), current[-2]
+            else:
+                out, ms = [*[c - p for c, p in zip(current[:n], prev[:n])], *prev[n:width]], prev[-2]
+            yield named(*out, False) if ms > watermark else _late(named, out, at, ms, watermark)
             prev = current
         if prev is not None and prev is not old:
             self.store(old, prev[:width], prev[-2], watermark)
