@@ -89,38 +89,31 @@ def traffic(pages: DataFrame, size: str = WINDOW, session_ttl: str = "1 hour") -
 
 
 TRAFFIC_MEASURES = ["uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"]
-VIEW, VISITOR, SESSION = 0, 1, 2
+# What a view, or a group of views, counts for: its window, its visitor's day, its session. The
+# last two are of the window and keys of their first view, `at`.
+TRAFFIC_FLOWS = """inline(array(
+    named_struct('kind', 'view', 'who', string(null), 'day', date(null), 'window', window,
+                 'vc', vc, 'ch', ch, 'ar', ar, 'is_new', is_new, 'at', if(true, null, {at}), 'pv_ct', pv_ct, 'dur_sum', dur_sum),
+    named_struct('kind', 'visitor', 'who', string(mid), 'day', day, 'window', if(true, null, window),
+                 'vc', string(null), 'ch', string(null), 'ar', string(null), 'is_new', string(null), 'at', {at},
+                 'pv_ct', 0L, 'dur_sum', 0L),
+    named_struct('kind', 'session', 'who', string(sid), 'day', date(null), 'window', if(true, null, window),
+                 'vc', string(null), 'ch', string(null), 'ar', string(null), 'is_new', string(null), 'at', {at},
+                 'pv_ct', pv_ct, 'dur_sum', 0L)))""".format(
+    at="named_struct('first', first, 'window', window, 'vc', vc, 'ch', ch, 'ar', ar, 'is_new', is_new)")
 
 
 def _traffic(views: DataFrame) -> DataFrame:
     """The traffic table from views, or from groups of views with the same window, day,
     visitor, session and keys; `first` orders them."""
-    at = F.struct("first", "window", *TRAFFIC_KEYS)
-    none = F.lit(None)
-    def flow(kind, who=none, day=none, window=none, keys=none, at=none, pv=none, dur=none):
-        return F.struct(
-            F.lit(kind).alias("kind"), who.cast("string").alias("who"), day.cast("date").alias("day"),
-            window.cast(views.schema["window"].dataType).alias("window"),
-            *[(none if keys is none else F.col(k)).cast("string").alias(k) for k in TRAFFIC_KEYS],
-            at.cast(at_type).alias("at"), pv.cast("long").alias("pv_ct"), dur.cast("long").alias("dur_sum"))
-    at_type = views.select(at.alias("at")).schema["at"].dataType
-    # A view without a visitor or session is one of the visitor or session null.
-    flows = views.select(F.inline(F.array(
-        flow(VIEW, window=F.col("window"), keys=True, pv=F.col("pv_ct"), dur=F.col("dur_sum")),
-        flow(VISITOR, F.col("mid"), F.col("day"), at=at),
-        flow(SESSION, F.col("sid"), at=at, pv=F.col("pv_ct")))))
-    met = (flows.groupBy("kind", "who", "day", "window", *TRAFFIC_KEYS)
-           .agg(F.min("at").alias("at"), *sums("pv_ct", "dur_sum")))
-    of = {name: F.col("kind") == kind for name, kind in (("view", VIEW), ("visitor", VISITOR), ("session", SESSION))}
-    def measure(flag, value=F.lit(1)):
-        return F.when(flag, value).otherwise(0).cast("long")
-    rows = met.select(
-        F.coalesce("window", "at.window").alias("window"),
-        *[F.when(of["view"], F.col(k)).otherwise(F.col(f"at.{k}")).alias(k) for k in TRAFFIC_KEYS],
-        measure(of["visitor"]).alias("uv_ct"), measure(of["session"]).alias("sv_ct"),
-        measure(of["view"], F.col("pv_ct")).alias("pv_ct"),
-        F.when(of["view"], F.col("dur_sum")).otherwise(0).cast("long").alias("dur_sum"),
-        measure(of["session"] & (F.col("pv_ct") == 1)).alias("uj_ct"))
+    met = (views.selectExpr(TRAFFIC_FLOWS).groupBy("kind", "who", "day", "window", *TRAFFIC_KEYS)
+           .agg(F.expr("min(at) AS at"), F.expr("sum(pv_ct) AS pv_ct"), F.expr("sum(dur_sum) AS dur_sum")))
+    rows = met.selectExpr(
+        "coalesce(window, at.window) AS window",
+        *[f"if(kind = 'view', {k}, at.{k}) AS {k}" for k in TRAFFIC_KEYS],
+        "bigint(kind = 'visitor') AS uv_ct", "bigint(kind = 'session') AS sv_ct",
+        "if(kind = 'view', pv_ct, 0L) AS pv_ct", "if(kind = 'view', dur_sum, 0L) AS dur_sum",
+        "bigint(kind = 'session' AND pv_ct = 1) AS uj_ct")
     return stamped(rows.groupBy("window", *TRAFFIC_KEYS).agg(*sums(*TRAFFIC_MEASURES)))
 
 
@@ -132,20 +125,20 @@ def traffic_of_log(log: DataFrame, size: str = WINDOW) -> DataFrame:
     and are joined to them."""
     if log.isStreaming:
         return traffic(dwd.page(dwd.base_log(log)), size)
+    viewed = F.col("page").isNotNull().cast("long")
     records = log.select(
         F.window("et", size).alias("window"), F.to_date("et").alias("day"), F.col("common.mid").alias("mid"),
         F.col("common.sid").alias("sid"), *[F.col(f"common.{k}").alias(k) for k in TRAFFIC_KEYS],
-        F.col("page").isNotNull().alias("viewed"), F.struct(*ORDER).alias("first"),
-        F.col("page.during_time").alias("dur_sum"))
-    keys = ["window", "day", "mid", "sid", *TRAFFIC_KEYS, "viewed"]
-    groups = records.groupBy(*keys).agg(
-        F.min("first").alias("first"), F.count(F.lit(1)).alias("pv_ct"), *sums("dur_sum"))
-    # All columns take part in the minimum, behind those that decide it: with another choice of
-    # columns Spark would not see that both sides of the join start from the same shuffle.
+        viewed.alias("viewed"), F.struct(*ORDER).alias("first"), F.col("page.during_time").alias("dur_sum"))
+    groups = records.groupBy("window", "day", "mid", "sid", *TRAFFIC_KEYS, "viewed").agg(
+        F.min("first").alias("first"), F.sum("viewed").alias("pv_ct"), *sums("dur_sum"))
+    # All columns take part in the minimum, behind those that decide it, and views are chosen by
+    # their number: with another choice of columns or rows below, Spark would not see that both
+    # sides of the join start from the same shuffle.
     rest = [c for c in groups.columns if c not in ("first", "is_new", "day", "mid")]
     opened = groups.groupBy(F.col("mid").alias("_mid")).agg(F.min(F.struct("first", "is_new", "day", *rest)).alias("m"))
     stored = opened.select("_mid", state.first_day(F.col("m.is_new"), F.col("m.day")).alias("_stored"))
-    joined = groups.join(stored, F.col("mid").eqNullSafe(F.col("_mid")), "left").where("viewed")
+    joined = groups.join(stored, F.col("mid").eqNullSafe(F.col("_mid")), "left").where("pv_ct > 0")
     is_new = F.when(F.col("mid").isNull(), F.col("is_new")).otherwise(
         state.repaired_flag(F.col("is_new"), F.col("day"), F.col("_stored")))
     return _traffic(joined.withColumn("is_new", is_new).drop("viewed", "_mid", "_stored"))

@@ -483,7 +483,8 @@ def agg_user_count(spark, sf):
 @query
 def agg_user_spread(spark, sf):
     rows = B.events(spark, sf).select("event_type", (F.col("k") % 10).alias("last"), "value")
-    return aggregates.aggregate(rows, ["event_type", "last"], ["value"], aggregates.Spread())
+    found = aggregates.aggregate(rows, ["event_type", "last"], ["value"], aggregates.Spread())
+    return found.withColumns({c: F.round(c, 2) for c in ("mean", "variance")})
 
 
 @query
