@@ -710,7 +710,7 @@ JOIN dic ON dic.code = p.pri WHERE p.ls = 'F' AND p.st = 'F'""", "rr", "dic"),
 SELECT strftime({_win('et', '1 hour')}, {DT}) AS hour, count(*) AS register_ct
 FROM ev WHERE event_type = 'signup' GROUP BY {_win('et', '1 hour')}""", "ev"),
         "agg_user_spread": _with("""
-SELECT event_type, CAST(k % 10 AS BIGINT) AS last, count(value) AS n, round(avg(value), 2) AS mean,
+SELECT event_type, CAST(k % 10 AS BIGINT) AS last, count(value) AS n, round(avg(value), 6) AS mean,
        round(var_pop(value), 2) AS variance
 FROM ev GROUP BY event_type, k % 10""", "ev"),
 

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 class LateRows(StreamingQueryListener):
     """Counts late rows of all queries of a session: those that windows, joins and other
-    operators of Spark drop, and those that the keyed state of this library leaves out."""
+    operators of Spark drop, and those that the keyed state of this library leaves out. What
+    reaches a window has been aggregated within its task, so there a group counts as one."""
 
     def __init__(self, spark: SparkSession):
         self.counts: dict[str, Counter] = {}
