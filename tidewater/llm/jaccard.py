@@ -8,7 +8,7 @@ First level: documents that share nothing are all at distance 1, where no pivot
 apart. So the first pivots come from an index: two documents that link share a shingle among
 the first n - ceil(0.75 n) + 1 of either (rare shingles first, prefix filter); the smallest
 document that holds a shingle in this prefix is the pivot of all that do, and a document is
-copied to the region of each of its pivots. Parity sketches, whose Hamming distance never
+copied to the region of each of its pivots, unless the region lies in another one. Parity sketches, whose Hamming distance never
 exceeds the symmetric difference, drop the copies that can have no partner in a region.
 
 Next levels, inside a region: several pivots, distances to them, Voronoi regions by the
@@ -190,7 +190,16 @@ def memberships(sets: DataFrame) -> DataFrame:
             yield from C.to_batches({"node": node[keep], "s": s[keep]})
 
     posting = C.map_batches(sets.select("node", "prefix"), shared, "node bigint, s bigint")
-    return C.stored(posting.join(block, "s").select("pivot", "node").distinct())
+    return C.stored(_needed(C.stored(posting.join(block, "s").select("pivot", "node").distinct())))
+
+
+def _needed(member: DataFrame) -> DataFrame:
+    """The regions without those that lie in another one: where all documents of a region have
+    the same smallest pivot, they all are in the region of that one."""
+    top = member.groupBy("node").agg(F.min("pivot").alias("top"))
+    spans = (member.join(top, "node").groupBy("pivot").agg(F.min("top").alias("low"), F.max("top").alias("high"))
+             .filter((F.col("low") < F.col("high")) | (F.col("low") == F.col("pivot"))))
+    return member.join(spans.select("pivot"), "pivot", "left_semi")
 
 
 def partnered(n: np.ndarray, sketches: list[bytes]) -> np.ndarray:
@@ -444,7 +453,7 @@ def _leads(docs: DataFrame, least: Column) -> tuple[DataFrame, DataFrame]:
     # One row for each set: that of its smallest id. Nodes are numbered, since small numbers
     # take less room in a shuffle than names do.
     sets = C.stored(every.join(lead.select("set_name", F.col("lead").alias("doc_id")), ["set_name", "doc_id"])
-                    .dropDuplicates(["set_name"]).withColumn("node", F.monotonically_increasing_id()))
+                    .dropDuplicates(["set_name", "doc_id"]).withColumn("node", F.monotonically_increasing_id()))
     roots = G.components(near_edges(docs, sets))
     named = roots.join(sets.select("node", "set_name", "doc_id"), "node")
     found = (named.groupBy("root").agg(least).join(named.select("root", "set_name"), "root").select("set_name", "least"))
