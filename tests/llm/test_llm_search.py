@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute  # noqa: E402
-from tidewater.llm import common, neighbours, periodic, queries, trie  # noqa: E402
+from tidewater.llm import common, neighbours, periodic, queries, trie, warc  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 DOCS = "doc_id long, text string"
@@ -211,3 +211,18 @@ def test_rotations_keep_lengths(length):
             levels = [space.scores(x[i:i + 1], t, n)[0] for n in range(2)]
             assert cells[i, t] in space.probes(levels, 0.0)
             assert space.probes(levels, math.inf).size == (2 * space.size) ** 2
+
+
+# --- archives read by several tasks -----------------------------------------------------
+
+def test_archives_roll_and_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    """At the production bound a shard is several files, which as many tasks read as bytes ask for."""
+    rng = random.Random(2)
+    rows = [(i, f"u{i}", "".join(rng.choices("abcdefghijklmnopqrstuvwxyz <>", k=40_000))) for i in range(90)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write(pages, f"file://{tmp_path}/a")
+    files = manifest.collect()
+    assert len(files) > 1 and len({f.shard for f in files}) == 1 and warc.ROLL_BYTES * 4 <= warc.SHARD_BYTES
+    monkeypatch.setattr(warc, "READ_BYTES", 1 << 19)
+    found = warc.read(manifest, f"file://{tmp_path}/a").withColumn("task", F.spark_partition_id())
+    assert found.count() == 90 and found.select("task").distinct().count() > 1

@@ -47,9 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder's name below spark.checkpoint.dir, which all executors share. Where
-    that is unset (a local session, as in tests) a temporary folder takes its place."""
+    that is unset a temporary folder takes its place, in a session of one process, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set")
         root = "file://" + tempfile.gettempdir()
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 

@@ -40,8 +40,9 @@ from . import common as C
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Compressed bytes after which a file is closed, and payload bytes of a shard.
-ROLL_BYTES, SHARD_BYTES = 64 << 20, 8 << 20
+#: Compressed bytes after which a file is closed, payload bytes of a shard, and compressed
+#: bytes that a task reads back.
+ROLL_BYTES, SHARD_BYTES, READ_BYTES = 1 << 20, 8 << 20, 4 << 20
 MAX_SHARDS, SAMPLE = 10_000, 50_000
 DATE = "2024-01-01T00:00:00Z"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -258,8 +259,10 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield from _table(rows)
 
-    files = manifest.select("file").repartition(F.col("file"))
-    return C.map_batches(files, work, RECORDS)
+    # By number, so that Spark does not join the few rows of the manifest to one task again.
+    size = manifest.agg(F.count("*"), F.sum("bytes")).first()
+    tasks = min(size[0], 1 + (size[1] or 0) // READ_BYTES)
+    return C.map_batches(manifest.select("file").repartition(max(1, tasks)), work, RECORDS)
 
 
 def _table(rows):
