@@ -197,8 +197,8 @@ def first_of_session(df: DataFrame, key: str, ttl: str | None, order: list[str]
 class _FirstSeenOfMany(StatefulProcessor):
     """Like _FirstSeen by the event clock, for all keys of a bucket: the times of the keys are a
     map, of which a micro-batch reads and writes the keys it has. New keys are also appended to
-    a queue; a timer, one for each TTL's length of event time, goes through the queue and
-    removes what the watermark has left a TTL behind."""
+    a queue, which a timer goes through, about once in a TTL, to remove what the watermark has
+    left a TTL behind."""
 
     def __init__(self, columns: list[str], order: list[str], ttl_ms: int, time: str):
         self.columns, self.order, self.ttl_ms, self.time = columns, order, ttl_ms, columns.index(time)
@@ -230,8 +230,8 @@ class _FirstSeenOfMany(StatefulProcessor):
                 fresh.append((name, last))
         if fresh:
             self.queue.appendList(fresh)
-            for due in {(ms // self.ttl_ms + 2) * self.ttl_ms for _, ms in fresh}:
-                self.handle.registerTimer(max(due, watermark + 1))
+            if not known:
+                self.due(fresh, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark, stay = timerValues.getCurrentWatermarkInMs(), []
@@ -242,9 +242,19 @@ class _FirstSeenOfMany(StatefulProcessor):
                 held = self.seen.getValue((name,))
                 if held is not None and held[0] == ms:  # not seen again since
                     self.seen.removeKey((name,))
-        self.queue.put(stay) if stay else self.queue.clear()
+        if stay:
+            self.queue.put(stay)
+            self.due(stay, watermark)
+        else:
+            self.queue.clear()
         yield from ()
 
+    def due(self, held: list[tuple], watermark: int) -> None:
+        """A bucket that holds keys has one timer, at the end of the TTL's length of time in
+        which the first of them is to go."""
+        first = min(ms for _, ms in held) + self.ttl_ms
+        self.handle.registerTimer(max((first // self.ttl_ms + 1) * self.ttl_ms, watermark + 1))
+
     def close(self) -> None:
         pass
 
