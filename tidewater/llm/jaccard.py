@@ -8,7 +8,8 @@ First level: documents that share nothing are all at distance 1, where no pivot
 apart. So the first pivots come from an index: two documents that link share a shingle among
 the first n - ceil(0.75 n) + 1 of either (rare shingles first, prefix filter); the smallest
 document that holds a shingle in this prefix is the pivot of all that do, and a document is
-copied to the region of each of its pivots, unless the region lies in another one. Parity sketches, whose Hamming distance never
+copied to the region of each of its pivots, unless the region lies in another one, or sizes rule
+out that the shingle is the first one it shares with another document there. Parity sketches, whose Hamming distance never
 exceeds the symmetric difference, drop the copies that can have no partner in a region.
 
 Next levels, inside a region: several pivots, distances to them, Voronoi regions by the
@@ -90,7 +91,7 @@ def sketch(x: np.ndarray, bits: int) -> np.ndarray:
 
 
 def sketch_bits(n: int) -> int:
-    return max(64, 1 << (2 * n - 1).bit_length())
+    return max(64, 1 << (n - 1).bit_length()) if n else 64
 
 
 def halved(rows: np.ndarray) -> np.ndarray:
@@ -174,23 +175,49 @@ def described(docs: DataFrame) -> DataFrame:
 def memberships(sets: DataFrame) -> DataFrame:
     """(pivot, node): the first-level regions. sets: one row for each distinct set."""
     posting = sets.select("node", F.explode("prefix").alias("s"))
-    block = (posting.groupBy("s").agg(F.min("node").alias("pivot"), F.count("*").alias("nodes"))
-             .filter(F.col("nodes") > 1).select("s", "pivot"))
-    block = C.stored(block)
-    # Most shingles are in one prefix only; a bounded filter keeps them out of the join.
-    sent = sets.sparkSession.sparkContext.broadcast(G.id_filter(block, "s", hashed=True))
+    repeated = posting.groupBy("s").count().filter(F.col("count") > 1)
+    # Most shingles are in one prefix only; a bounded filter keeps them out of what follows.
+    sent = sets.sparkSession.sparkContext.broadcast(G.id_filter(repeated, "s", hashed=True))
 
     def shared(batches):
         bits = sent.value
         for batch in batches:
             lists = batch.column("prefix")
             s = lists.flatten().to_numpy()
-            node = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(lists).to_numpy())
+            size = pc.list_value_length(lists).to_numpy()
+            row = np.repeat(np.arange(size.size), size)
+            place = np.arange(s.size) - np.repeat(np.cumsum(size) - size, size)
             keep = G.passes(bits, s & (G.FILTER_BITS - 1))
-            yield from C.to_batches({"node": node[keep], "s": s[keep]})
+            row, n = row[keep], batch.column("n").to_numpy()[row[keep]]
+            yield from C.to_batches({"node": batch.column("node").to_numpy()[row], "s": s[keep],
+                                     "n": n, "most": largest_partner(n, place[keep])})
 
-    posting = C.map_batches(sets.select("node", "prefix"), shared, "node bigint, s bigint")
-    return C.stored(_needed(C.stored(posting.join(block, "s").select("pivot", "node").distinct())))
+    posting = C.stored(C.map_batches(sets.select("node", "n", "prefix"), shared,
+                                     "node bigint, s bigint, n bigint, most bigint"))
+    return C.stored(_needed(C.stored(_blocks(posting))))
+
+
+def largest_partner(n, place):
+    """How many shingles a set may have that links with one of n, if the first shingle they
+    share is at this place of the one: n - place of them can be common, and three sevenths of
+    both sizes must be."""
+    return (4 * n - 7 * place) // 3
+
+
+def _blocks(posting: DataFrame) -> DataFrame:
+    """(pivot, node) of the postings of a shingle that may be the first shared one of a link,
+    as far as the sizes of all sets there tell. Of two sets alone both must admit the other."""
+    may_link = F.expr("""if(sets = 2,
+            4 * small >= 3 * large and if(small = large, least_most >= large, most_of_small >= large and most_of_large >= small),
+            most >= small)""")
+
+    block = (posting.groupBy("s").agg(F.count("*").alias("sets"), F.min("n").alias("small"), F.max("n").alias("large"),
+                                      F.min("most").alias("least_most"), F.min_by("most", "n").alias("most_of_small"),
+                                      F.max_by("most", "n").alias("most_of_large"))
+             .filter(F.col("sets") > 1))
+    open_rows = posting.join(block, "s").filter(may_link).select("s", "node")
+    pivot = open_rows.groupBy("s").agg(F.min("node").alias("pivot"), F.count("*").alias("sets")).filter(F.col("sets") > 1)
+    return open_rows.join(pivot, "s").select("pivot", "node").distinct()
 
 
 def _needed(member: DataFrame) -> DataFrame:
@@ -345,9 +372,11 @@ def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
     kept = _by_key(described_small.select("pivot", "node", "n", "sketch"), "pivot", may_link, "pivot bigint, node bigint")
     kept = C.stored(kept.withColumn("count", F.lit(0).cast("bigint"))
                     .unionByName(large.select("pivot", "node", "count")))
+    # Without the documents that have no partner, more regions lie in others.
+    kept = C.stored(_needed(kept).join(sets.select("node", "set_name", "doc_id"), "node"))
 
     # The whole sets of those documents only, made anew from their texts.
-    wanted = kept.select("node").distinct().join(sets.select("node", "set_name", "doc_id"), "node")
+    wanted = kept.select("doc_id").distinct()
     sent = spark.sparkContext.broadcast(G.id_filter(wanted, "doc_id"))
 
     def whole(batches):
@@ -363,8 +392,8 @@ def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
     placed = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", G.place_in_filter("doc_id").alias("place"))
     made = C.map_batches(placed, whole, "set_name bigint, doc_id bigint, set binary")
-    made = made.join(wanted, ["set_name", "doc_id"]).select("node", "set").dropDuplicates(["node"])
-    rows = C.stored(kept.join(made, "node"))
+    made = made.dropDuplicates(["set_name", "doc_id"])
+    rows = C.stored(kept.join(made, ["set_name", "doc_id"]).select("pivot", "node", "set", "count"))
 
     def join_small(table):
         region = Region(_sets_of(table))
