@@ -273,6 +273,14 @@ def test_one_document_of_each_component(spark, empty):
     assert got(jaccard.components(empty)) == [] and got(jaccard.distinct(empty)) == []
 
 
+def test_one_document_of_each_component_with_clashing_columns(spark):
+    rows = [(3, "a b c d e f", 7, "p", 1), (1, "A b c d e f", 8, "q", 2), (1, "A b c d e f", 8, "q", 2), (2, "other words", 9, "r", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _set long, _place string, _own_set long")
+    found = jaccard.distinct(docs)
+    assert found.columns == docs.columns
+    assert got(found) == [(1, "A b c d e f", 8, "q", 2), (2, "other words", 9, "r", 3)]
+
+
 def test_rows_of_one_id_are_told_apart(spark):
     a, b, c = ("a b c d e f g h i j k l m n o p q r s t", "other words of a clean text", "yet another clean text here")
     rows = [(3, a + " u"), (7, a), (7, b), (7, b), (7, b.upper() + " "), (3, c), (8, c), (7, None), (7, None), (None, a)]

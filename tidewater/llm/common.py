@@ -104,7 +104,10 @@ def to_batches(arrays: dict, schema: pa.Schema | None = None):
 def shielded(docs: DataFrame, work, *names: str) -> DataFrame:
     """The rows that work(docs) keeps, with the columns of docs, also where those have the
     names of columns that work adds."""
-    own = {c: f"_own_{c}" for c in docs.columns if c in names}
+    prefix = "_own"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    own = {c: f"{prefix}{c}" for c in docs.columns if c.lower() in names}
     kept = work(docs.withColumnsRenamed(own))
     return kept.drop(*names).withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
 

@@ -471,6 +471,10 @@ def distinct(docs: DataFrame) -> DataFrame:
     Most documents are alone: a bounded filter on the ids that are not lets them pass
     without a shuffle of their texts; those that it finds are joined with the exact ids and
     sets."""
+    return C.shielded(docs, _distinct, "_place", "_set")
+
+
+def _distinct(docs: DataFrame) -> DataFrame:
     # A repeated id can lead two components, so the set that stays is named as well.
     every, lead = _leads(docs, F.min(F.struct("doc_id", "set_name")).alias("least"))
     lead = C.stored(lead.select("set_name", F.coalesce("least.doc_id", "lead").alias("least"),
