@@ -334,7 +334,7 @@ def test_rules_verdicts(spark, empty):
     assert np.mean([r.kept for r in good]) >= 0.97
     assert np.mean([r.kept for r in found if r.quality == 0]) <= 0.3
     assert not any(r.kept for r in found if r.base_failed)
-    forest = rules.fit(docs, labels.limit(0))
+    forest = rules.fit(docs.withColumn("_label", F.lit("own")), labels.limit(0))
     assert got(rules.judged(empty, forest)) == []
     odd = {r.doc_id: r for r in rules.judged(spark.createDataFrame([(1, None), (2, ""), (2, "")], DOCS), forest).collect()}
     assert odd[1].base_failed and not odd[1].kept and odd[2].n_words == 0
@@ -396,6 +396,15 @@ def test_contamination(spark, block, monkeypatch, empty):
     assert all(not r.contaminated for r in decontaminate.hits(docs, bench.limit(0)).collect())
 
 
+def test_clean_documents_stay_with_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 20)
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "wxy"]
+    docs = spark.createDataFrame([(1, texts[0], 5), (2, "something else", 6), (3, texts[2], 7)], "doc_id long, text string, _row int")
+    bench = spark.createDataFrame([(8, texts[0]), (9, texts[1])], "item_id long, text string")
+    found = decontaminate.clean(docs, bench)
+    assert found.columns == docs.columns and got(found) == [(2, "something else", 6), (3, texts[2], 7)]
+
+
 def test_clean_documents_stay(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, text, 5), (2, "something else", 6), (3, None, 7)], "doc_id long, text string, n_words int")

@@ -289,4 +289,4 @@ def longest(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, with their columns."""
     return C.shielded(docs, lambda d: hits(d, benchmark, window).filter(~F.col("contaminated")),
-                      *StructType.fromDDL(VERDICT).names)
+                      "_row", *StructType.fromDDL(VERDICT).names)
