@@ -40,3 +40,8 @@ def test_deltas_over_hours(spark):
     data = [("a", t, f"s{t % 3}", Decimal(t % 7)) for t in (0, 10, 3599, 3600, 7200, 7201, 900_000, 900_001)]
     data += [(k, t, "s", Decimal(a)) for k, t, a in (("b", 3600, 1), ("b", 3599, 2), ("c", -1, 3), ("c", 0, 4))]
     assert got_deltas(deltas(spark, data)[1]) == expected_deltas(data)
+
+
+def test_joins_of_lines_move_no_derived_columns(spark, shuffled):
+    above, below = first_plan(B.order_detail_facts(spark, SF)).split("SortMergeJoin", 1)
+    assert "concat_ws" in above and "concat_ws" not in below

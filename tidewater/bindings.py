@@ -200,8 +200,14 @@ def _change(df: DataFrame, table: str, kind: str, data: Column, old: Column | No
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with the detail id and the discount and tax parts as exact text."""
+    return _described(load(spark, sf_dir, "lineitem"))
+
+
+def _described(lines: DataFrame) -> DataFrame:
+    """The same for lines that were joined first. A join that is shuffled then moves what
+    lineitem holds, and not these columns as well."""
     price = _money("l_extendedprice")
-    return load(spark, sf_dir, "lineitem").withColumns({
+    return lines.withColumns({
         "id": F.concat_ws("-", "l_orderkey", "l_linenumber"),
         "activity": F.when(F.col("l_discount") > 0,
                            (price * _money("l_discount")).cast(S.AMOUNT)),
@@ -257,7 +263,7 @@ def _payment_info(spark, sf_dir):
 def _order_detail(spark, sf_dir):
     parts = load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
-    rows = _lines(spark, sf_dir).join(parts, "l_partkey")
+    rows = _described(load(spark, sf_dir, "lineitem").join(parts, "l_partkey"))
     data = _map(id=F.col("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"),
                 sku_name=F.col("p_name"), create_time=_datetime("l_shipdate"),
                 sku_num=_money("l_quantity"), order_price=_money("p_retailprice"),
@@ -282,11 +288,11 @@ def _order_detail_coupon(spark, sf_dir):
 
 
 def _returned(spark, sf_dir, with_order: bool):
-    rows = _lines(spark, sf_dir).where("l_returnflag = 'R'")
+    rows = load(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     if not with_order:
-        return rows
-    return rows.join(load(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"), "l_orderkey")
+        return _described(rows)
+    return _described(rows.join(load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"), "l_orderkey"))
 
 
 def _refund_data(**more) -> Column:
@@ -344,7 +350,7 @@ def order_detail_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
     orders = _orders(spark, sf_dir).select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "c_nationkey")
-    rows = _lines(spark, sf_dir).join(parts, "l_partkey").join(orders, "l_orderkey")
+    rows = _described(load(spark, sf_dir, "lineitem").join(parts, "l_partkey").join(orders, "l_orderkey"))
     none = F.lit(None).cast("string")
     return rows.select(
         "id", _text("l_orderkey").alias("order_id"), _text("o_custkey").alias("user_id"),
