@@ -45,3 +45,9 @@ def test_deltas_over_hours(spark):
 def test_joins_of_lines_move_no_derived_columns(spark, shuffled):
     above, below = first_plan(B.order_detail_facts(spark, SF)).split("SortMergeJoin", 1)
     assert "concat_ws" in above and "concat_ws" not in below
+
+
+def test_names_join_moves_windows_and_not_text(spark, shuffled):
+    table = dws.sku_order(B.order_detail_facts(spark, SF), B.dimensions(spark, SF), "30 days")
+    above, below = first_plan(table).split("SortMergeJoin", 1)
+    assert "date_format(" in above and "date_format(" not in below

@@ -35,17 +35,23 @@ def tumble(df: DataFrame, size: str, keys: list[str], aggs: list[Column],
     before the shuffle, so neither a hot key nor the missing key makes one task
     read all rows.
     """
-    assert day_from in ("start", "end")
-    return stamped(df.groupBy(F.window(time, size), *keys).agg(*aggs), day_from, day_format)
+    return stamped(grouped(df, size, keys, aggs, time), day_from, day_format)
+
 
+def grouped(df: DataFrame, size: str, keys: list[str], aggs: list[Column], time: str = "et") -> DataFrame:
+    """The same with a column window in place of its bounds and day as text, which are three
+    times as wide: a batch that joins further columns shuffles this and stamps what comes out."""
+    return df.groupBy(F.window(time, size), *keys).agg(*aggs)
 
-def stamped(grouped: DataFrame, day_from: str = "start", day_format: str = S.PARTITION_DATE) -> DataFrame:
+
+def stamped(table: DataFrame, day_from: str = "start", day_format: str = S.PARTITION_DATE) -> DataFrame:
     """The bounds and the day of a column window, in front of the other columns."""
-    return grouped.select(
+    assert day_from in ("start", "end")
+    return table.select(
         F.date_format("window.start", S.DATETIME).alias("stt"),
         F.date_format("window.end", S.DATETIME).alias("edt"),
         F.date_format(f"window.{day_from}", day_format).alias("cur_date"),
-        *[c for c in grouped.columns if c != "window"])
+        *[c for c in table.columns if c != "window"])
 
 
 def tumble_distinct(df: DataFrame, size: str, keys: list[str], distinct: str, count: str,

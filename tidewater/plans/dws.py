@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import etl, joins, state
-from ..operators.windows import WINDOW, stamped, sums, tumble, tumble_distinct, with_lateness
+from ..operators.windows import WINDOW, grouped, stamped, sums, tumble, tumble_distinct, with_lateness
 from . import dwd
 
 ORDER = ["ts", "seq"]
@@ -300,7 +300,8 @@ def sku_order(details: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW
     if details.isStreaming:
         from ..streaming.state import delta_correct
         rows = delta_correct(sku_facts(details), "id", SKU_AMOUNTS, ttl=delta_ttl)
-    else:
-        rows = state.delta_sums(sku_deltas(details), SKU_AMOUNTS, SKU_CARRY)
-    table = tumble(rows, size, ["sku_id"], sums(*SKU_AMOUNTS), day_from="end")
-    return joins.enrich_sku(table, dims)
+        table = tumble(rows, size, ["sku_id"], sums(*SKU_AMOUNTS), day_from="end")
+        return joins.enrich_sku(table, dims)
+    rows = state.delta_sums(sku_deltas(details), SKU_AMOUNTS, SKU_CARRY)
+    table = grouped(rows, size, ["sku_id"], sums(*SKU_AMOUNTS))
+    return stamped(joins.enrich_sku(table, dims), day_from="end")
