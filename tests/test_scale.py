@@ -51,3 +51,19 @@ def test_names_join_moves_windows_and_not_text(spark, shuffled):
     table = dws.sku_order(B.order_detail_facts(spark, SF), B.dimensions(spark, SF), "30 days")
     above, below = first_plan(table).split("SortMergeJoin", 1)
     assert "date_format(" in above and "date_format(" not in below
+
+
+def test_split_log_is_compressed_and_not_sorted(spark, tmp_path):
+    seen, write = [], layers._by_source
+
+    def spy(log):
+        seen.append(log.sparkSession.conf.get(layers.OPEN_FILES))
+        return write(log)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(layers, "_by_source", spy)
+        layers.split_changes(registry.decode.change_log(B.raw_order_changes(spark, SF)), str(tmp_path / "log"))
+    assert seen == [str(layers.FOLDERS)] and spark.conf.get(layers.OPEN_FILES, "0") == "0"
+    files = list((tmp_path / "log").glob("*/*/*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
+    back = layers.changes(spark, str(tmp_path / "log"))
+    assert back.count() == B.order_changes(spark, SF).where(F.col("table").isNotNull()).count()
