@@ -5,12 +5,14 @@ its words in repeated windows. The others are judged by a forest: trees split ra
 statistics at random values until a document stands alone; documents that a few splits
 isolate are anomalous. The anomaly score is 2 ** (-mean path length / expected path length).
 
-Trees grow on the driver from a bounded sample, TREES trees of TREE_ROWS documents each from
-at most SAMPLE documents, those with the smallest hashes of id and length. The threshold is
-calibrated from labelled rows, at most CALIBRATION of each label, again by hash: it is the
-score that best parts label 0 from label 1 (highest share of good ones kept minus share of bad
-ones kept), but never one that rejects more than MAX_LOST of the good ones. Without labels of
-both kinds only scores beyond all of the sample are anomalous.
+The forest has TREES trees, and every document that passes the base rules takes part: it is
+dealt to one tree by hash, to more where a tree would get fewer than TREE_ROWS rows. Trees grow
+level by level, all at once: a Spark job brings the count, least and largest statistics of each
+open node, and the driver draws the next splits from those. The threshold is calibrated from the
+scores of all labelled rows, counted in BINS bins: it is the upper end of the bin that best
+parts label 0 from label 1 (highest share of good ones kept minus share of bad ones kept), but
+never one that rejects more than MAX_LOST of the good ones. Without labels of both kinds only
+scores beyond all documents' are anomalous.
 
 Statistics of all documents cover their whole texts. Null and empty texts have no words and
 fail the base rules. Ids with several labels count once, with the smallest.
@@ -32,8 +34,8 @@ from . import common as C
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
-SAMPLE, TREES, TREE_ROWS, SEED = 8192, 128, 256, 11
-CALIBRATION, MAX_LOST = 4000, 0.002
+TREES, TREE_ROWS, SEED = 128, 256, 11
+BINS, MAX_LOST = 1 << 16, 0.002
 
 SYMBOLS, MARKS = b"#*$%&|<>", b"!?"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -166,65 +168,168 @@ class Forest:
                     todo.pop()
         return np.array(feature), np.array(value), np.array(left), np.array(path)
 
+    @staticmethod
+    def leaf(tree, rows: np.ndarray) -> np.ndarray:
+        """The leaf of a tree that each row comes to."""
+        feature, value, left, _ = tree
+        node, every = np.zeros(len(rows), np.int64), np.arange(len(rows))
+        while True:
+            f = feature[node]
+            inner = f >= 0
+            if not inner.any():
+                return node
+            right = rows[every, np.maximum(f, 0)] >= value[node]
+            node = np.where(inner, left[node] + right, node)
+
     def scores(self, rows: np.ndarray) -> np.ndarray:
         if not self.trees or not len(rows):
             return np.zeros(len(rows))
-        total, every = np.zeros(len(rows)), np.arange(len(rows))
-        for feature, value, left, path in self.trees:
-            node = np.zeros(len(rows), np.int64)
-            while True:
-                f = feature[node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                right = rows[every, np.maximum(f, 0)] >= value[node]
-                node = np.where(inner, left[node] + right, node)
-            total += path[node]
+        total = np.zeros(len(rows))
+        for tree in self.trees:
+            total += tree[3][self.leaf(tree, rows)]
         return 2.0 ** (-total / len(self.trees) / max(float(expected_path(self.size)), 1e-9))
 
 
-def calibrated(good: np.ndarray, bad: np.ndarray, sample: np.ndarray) -> float:
-    """The largest score that is still kept."""
-    if not good.size or not bad.size:
-        return float(sample.max(initial=1.0))
-    allowed = max(float(np.quantile(good, 1 - MAX_LOST)), 0)
-    cuts = np.unique(np.concatenate([good, [allowed]]))
-    cuts = cuts[cuts >= allowed]
-    good, bad = np.sort(good), np.sort(bad)
-    gain = np.searchsorted(good, cuts, "right") / good.size - np.searchsorted(bad, cuts, "right") / bad.size
-    return float(cuts[int(np.argmax(gain))])
+def _bin(score: np.ndarray) -> np.ndarray:
+    """Bins of scores; the upper end belongs to a bin."""
+    return np.clip(np.ceil(np.asarray(score, float) * BINS).astype(np.int64) - 1, 0, BINS - 1)
+
+
+def parted(good: np.ndarray, bad: np.ndarray, every: np.ndarray) -> float:
+    """The largest score that is still kept, from counts of scores by bin."""
+    if not good.any() or not bad.any():
+        return float(np.flatnonzero(every).max(initial=BINS - 1 if not every.any() else 0) + 1) / BINS
+    kept, lost = np.cumsum(good) / good.sum(), np.cumsum(bad) / bad.sum()
+    cuts = np.flatnonzero((good > 0) & (kept >= 1 - MAX_LOST))
+    return float(cuts[int(np.argmax((kept - lost)[cuts]))] + 1) / BINS
+
+
+def calibrated(good: np.ndarray, bad: np.ndarray, every: np.ndarray) -> float:
+    """The same from the scores themselves."""
+    return parted(*[np.bincount(_bin(np.ravel(s)), minlength=BINS) for s in (good, bad, every)])
+
+
+WIDTH = statistics([b""])[1].shape[1]
+
+
+def _joined(batches, limit: int = 1 << 16):
+    """Record batches joined to about `limit` rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= limit:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _rows(batch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("f").to_pylist()), np.float64).reshape(-1, WIDTH)
 
 
-def _features(rows: DataFrame) -> np.ndarray:
-    """Features of a bounded number of texts that pass the base rules, with the label."""
+def _features(docs: DataFrame) -> DataFrame:
+    """doc_id and features of the texts that pass the base rules."""
     def work(batches):
         for batch, texts in C.slices(batches):
             counts, features = statistics(texts)
             keep = ~base_failed(counts)
-            yield from C.to_batches({"label": batch.column("_label").filter(pa.array(keep)),
+            yield from C.to_batches({"doc_id": batch.column("doc_id").filter(pa.array(keep)),
                                      "f": pa.array([x.tobytes() for x in features[keep]], pa.binary())})
-    got = C.map_batches(rows.select("text", "_label"), work, "label int, f binary").collect()
-    got.sort(key=lambda r: (-1 if r["label"] is None else r["label"], bytes(r["f"])))
-    width = statistics([b""])[1].shape[1]
-    return (np.frombuffer(b"".join(r["f"] for r in got), np.float64).reshape(-1, width),
-            np.array([-1 if r["label"] is None else r["label"] for r in got], np.int64))
+    return C.map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), work, "doc_id bigint, f binary")
+
+
+def _grown(rows: DataFrame) -> Forest:
+    """A forest of all rows (f and _tree, the first of the trees that a row is dealt to)."""
+    forest, total = Forest(np.zeros((0, WIDTH))), rows.count()
+    if total <= 1:
+        return forest
+    shares = min(TREES, -(-TREES * TREE_ROWS // total))
+    forest.size = max(2, round(total * shares / TREES))
+    depth = math.ceil(math.log2(max(2, min(forest.size, TREE_ROWS))))
+    trees = [([-1], [0.0], [0], [0.0]) for _ in range(TREES)]
+    opened = [[0] for _ in range(TREES)]
+    ends = [f"{end}{i}" for end in ("low", "high") for i in range(WIDTH)]
+    for level in range(depth + 1):
+        found = _nodes(rows, [tuple(np.array(a) for a in t) for t in trees], opened, shares).groupBy("tree", "node").agg(
+            F.sum("n").alias("n"), *[(F.min if e.startswith("low") else F.max)(e).alias(e) for e in ends]).collect()
+        opened = [[] for _ in range(TREES)]
+        for r in sorted(found, key=lambda r: (r.tree, r.node)):
+            feature, value, left, path = trees[r.tree]
+            low, high = np.array(r[3:3 + WIDTH]), np.array(r[3 + WIDTH:])
+            wide = np.flatnonzero(high > low)
+            if level >= depth or r.n <= 1 or not wide.size:
+                path[r.node] = level + float(expected_path(r.n))
+                continue
+            rng = np.random.default_rng([SEED, r.tree, r.node])
+            f = int(rng.choice(wide))
+            feature[r.node], value[r.node], left[r.node] = f, float(rng.uniform(low[f], high[f])), len(feature)
+            for _ in range(2):  # a child that no row comes to stays a leaf of this path
+                opened[r.tree].append(len(feature))
+                feature.append(-1), value.append(0.0), left.append(0), path.append(level + 1.0)
+        if not any(opened):
+            break
+    forest.trees = [tuple(np.array(a) for a in t) for t in trees]
+    return forest
+
+
+def _nodes(rows: DataFrame, trees: list, opened: list, shares: int) -> DataFrame:
+    """Count, least and largest features of the rows in each open node, as each task finds them."""
+    sent = rows.sparkSession.sparkContext.broadcast((trees, opened))
+
+    def work(batches):
+        trees, opened = sent.value
+        for batch in _joined(batches):
+            x, first = _rows(batch), batch.column("_tree").to_numpy()
+            out = {"tree": [], "node": [], "n": [], "low": [], "high": []}
+            for t in range(TREES):
+                mine = x[(t - first) % TREES < shares]
+                if not opened[t] or not len(mine):
+                    continue
+                node = Forest.leaf(trees[t], mine)
+                inside = np.isin(node, opened[t])
+                mine, node = mine[inside], node[inside]
+                order = np.argsort(node, kind="stable")
+                mine, (at, start, n) = mine[order], np.unique(node[order], return_index=True, return_counts=True)
+                if at.size:
+                    out["tree"].append(np.full(at.size, t)), out["node"].append(at), out["n"].append(n)
+                    out["low"].append(np.minimum.reduceat(mine, start)), out["high"].append(np.maximum.reduceat(mine, start))
+            if out["tree"]:
+                got = {k: np.concatenate(v) for k, v in out.items()}
+                yield from C.to_batches({**{k: got[k].astype(np.int64) for k in ("tree", "node", "n")},
+                                         **{f"{e}{i}": got[e][:, i] for e in ("low", "high") for i in range(WIDTH)}})
+
+    ends = ", ".join(f"{e}{i} double" for e in ("low", "high") for i in range(WIDTH))
+    return C.map_batches(rows, work, f"tree bigint, node bigint, n bigint, {ends}")
+
+
+def _counted(rows: DataFrame, forest: Forest) -> DataFrame:
+    """Scores of rows (f, _label) counted by label and bin."""
+    sent = rows.sparkSession.sparkContext.broadcast(forest)
+
+    def work(batches):
+        for batch in _joined(batches):
+            score = _bin(sent.value.scores(_rows(batch)))
+            label = batch.column("_label").fill_null(-1).to_numpy().astype(np.int64)
+            key, n = np.unique((label + 1) * BINS + score, return_counts=True)
+            yield from C.to_batches({"label": key // BINS - 1, "bin": key % BINS, "n": n.astype(np.int64)})
+
+    return C.map_batches(rows.select("f", "_label"), work, "label bigint, bin bigint, n bigint").groupBy(
+        "label", "bin").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Forest:
     """A forest with its threshold; labels: doc_id and quality 0 or 1."""
-    docs = docs.select("doc_id", "text")
-    rank = F.xxhash64("doc_id")
-    chosen = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct().orderBy(rank, "doc_id").limit(SAMPLE)
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("text", F.lit(None).cast("int").alias("_label"))
-    rows, _ = _features(sample)
-    rows = rows[:SAMPLE]
-    forest = Forest(rows)
+    rows = C.stored(_features(docs).withColumn(
+        "_tree", F.pmod(F.xxhash64("doc_id", "f"), F.lit(TREES)).cast("bigint")))
+    forest = _grown(rows)
     known = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("_label")))
-    few = [known.filter(F.col("_label") == q).orderBy(rank, "doc_id").limit(CALIBRATION) for q in (0, 1)]
-    features, label = _features(docs.join(F.broadcast(few[0].unionByName(few[1])), "doc_id"))
-    score = forest.scores(features)
-    forest.threshold = calibrated(score[label == 1], score[label == 0], forest.scores(rows))
+    counts = {q: np.zeros(BINS, np.int64) for q in (-1, 0, 1)}
+    for r in _counted(rows.join(known, "doc_id", "left"), forest).collect():
+        counts[r.label if r.label in (0, 1) else -1][r.bin] += r.n
+    forest.threshold = parted(counts[1], counts[0], sum(counts.values()))
     return forest
 
 
