@@ -260,6 +260,38 @@ def test_near_duplicates(spark, region, monkeypatch):
     assert got(jaccard.components(spark.createDataFrame(rows, DOCS).repartition(3))) == brute.jaccard(rows)
 
 
+def test_pairs_are_joined_in_their_first_common_region():
+    rng = np.random.default_rng(1)
+    x = np.unique(rng.integers(0, 1 << 60, 300, dtype=np.uint64))
+    sets = [x, x[4:], np.unique(rng.integers(0, 1 << 60, 300, dtype=np.uint64))]
+    n = np.array([s.size for s in sets])
+    drawn = [jaccard.sketch(s, jaccard.sketch_bits(s.size)).tobytes() for s in sets]
+    assert jaccard.partnered(n, drawn, [set(), {5}, {5}]).tolist() == [True, True, False]
+    assert jaccard.partnered(n, drawn, [{3, 5}, {5}, set()]).tolist() == [False, False, False]
+    assert jaccard.partnered(n, drawn, [{3}, {5}, {3}]).tolist() == [True, True, False]
+    node = np.array([1, 2, 3])
+    assert jaccard.partnered(n, drawn, head=np.array([False, True, False]), node=node).tolist() == [True, True, False]
+    assert not jaccard.partnered(n, drawn, head=np.array([False, False, True]), node=node).any()
+    assert not jaccard.partnered(n, drawn, head=np.array([True, True, True]), node=np.array([1, 1, 3])).any()
+
+
+def test_regions_keep_documents_of_near_sizes(spark):
+    member = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (4, 4), (4, 5)], "pivot long, node long")
+    sets = spark.createDataFrame([(1, 100), (2, 75), (3, 200), (4, 100), (5, 74)], "node long, n long")
+    assert got(jaccard._sized(member, sets)) == [(1, 1, 100), (1, 2, 75)]
+
+
+def test_large_regions_of_unlinked_documents(spark, monkeypatch):
+    """Texts of one common passage and own words: few of them link, and those must be found."""
+    monkeypatch.setattr(jaccard, "REGION", 8)
+    rng = random.Random(2)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(10 ** 9)}" for _ in range(40)])) for i in range(60)]
+    rows += [(100 + i, rows[7 * i][1] + " more") for i in range(6)]
+    monkeypatch.setattr(jaccard, "TOLD", 2)
+    assert got(jaccard.components(spark.createDataFrame(rows, DOCS).repartition(3))) == brute.jaccard(rows)
+
+
 def test_frequent_shingles_change_no_result(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT_FROM", 2)
     rows = near_copies(9)

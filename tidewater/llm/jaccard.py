@@ -9,14 +9,15 @@ apart. So the first pivots come from an index: two documents that link share a s
 the first n - ceil(0.75 n) + 1 of either (rare shingles first, prefix filter); the smallest
 document that holds a shingle in this prefix is the pivot of all that do, and a document is
 copied to the region of each of its pivots, unless the region lies in another one. Parity sketches, whose Hamming distance never
-exceeds the symmetric difference, drop the copies that can have no partner in a region.
+exceeds the symmetric difference, drop the copies that can have no partner in a region, or
+none that they do not also meet in an earlier region; sizes alone drop some before that.
 
 Next levels, inside a region: several pivots, distances to them, Voronoi regions by the
 nearest one; a document also goes to region q if d(x, q) <= d(x, nearest) + 2 * 0.25. Regions
 of a few documents are joined pair by pair, leaving out pairs that the distances to a pivot
 rule out and pairs that are connected already. Regions of more than REGION documents are
 dealt over many tasks: against some pivots first, then what is not yet connected to the
-largest component against everything, in blocks.
+largest component against everything, in blocks: by sketches, then the sets that these leave.
 
 Copies: equal sets are one vertex. Links inside a region are returned as a spanning forest, so
 no group is expanded into pairs. Null and empty texts, and those of white space, have no
@@ -56,6 +57,9 @@ COUNTED = 1 << 19
 #: Documents of a region that one task joins.
 REGION = 512
 PIVOTS, LEAF, STAR_ROUNDS = 4, 24, 2
+#: Regions of a document, the first ones by pivot, that its rows tell of. A pair is joined in the
+#: first region that it has in common; one that these do not show is joined more than once.
+TOLD = 8
 
 SETS = "doc_id bigint, n bigint, set_name bigint, prefix array<bigint>, sketch binary"
 
@@ -202,9 +206,29 @@ def _needed(member: DataFrame) -> DataFrame:
     return member.join(spans.select("pivot"), "pivot", "left_semi")
 
 
-def partnered(n: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+def _first_regions(member: DataFrame) -> DataFrame:
+    """(node, told): the first regions of every document."""
+    order = Window.partitionBy("node").orderBy("pivot")
+    return (member.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TOLD)
+            .groupBy("node").agg(F.collect_list("pivot").alias("told")))
+
+
+def _sized(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """(pivot, node, n) of small regions, without the documents that no other one of the region
+    comes near in size. The next smaller and the next larger one tell, and only sizes move."""
+    near = Window.partitionBy("pivot").orderBy("n", "node")
+    less, more = F.lag("n").over(near), F.lead("n").over(near)
+    near_less, near_more = 100 * less >= PERCENT * F.col("n"), 100 * F.col("n") >= PERCENT * more
+    return C.stored(member.join(sets.select("node", "n"), "node")
+                    .withColumn("near", F.coalesce(near_less, F.lit(False)) | F.coalesce(near_more, F.lit(False)))
+                    .filter("near").select("pivot", "node", "n"))
+
+
+def partnered(n: np.ndarray, sketches: list[bytes], before: list[set] | None = None, head: np.ndarray | None = None,
+              node: np.ndarray | None = None) -> np.ndarray:
     """Which documents of a region may link with another one there, as far as sizes and
-    sketches tell."""
+    sketches tell. before: earlier regions of each document; pairs that share one are met there.
+    head: one of a pair is a head row; the rows of one node are no pair."""
     bits = np.array([8 * len(s) for s in sketches])
     out = np.zeros(n.size, bool)
     for level in np.unique(bits):
@@ -219,9 +243,15 @@ def partnered(n: np.ndarray, sketches: list[bytes]) -> np.ndarray:
             far = np.bitwise_count(rows[i + 1:] ^ rows[i]).sum(1, dtype=np.int64)
             total = size[i + 1:] + size[i]
             near = (7 * far <= total) & (4 * np.minimum(size[i + 1:], size[i]) >= 3 * np.maximum(size[i + 1:], size[i]))
-            if near.any():
+            if head is not None:
+                near &= (head[who[i + 1:]] | head[who[i]]) & (node[who[i + 1:]] != node[who[i]])
+            met = who[i + 1:][near]
+            if before is not None and before[who[i]]:
+                mine = before[who[i]]
+                met = met[[not (out[who[i]] and out[j]) and mine.isdisjoint(before[j]) for j in met.tolist()]]
+            if met.size:
                 out[who[i]] = True
-                out[who[i + 1:][near]] = True
+                out[met] = True
     return out
 
 
@@ -302,7 +332,7 @@ class Region:
                     self.link(a, b, self.common(a, b))
 
 
-def _sets_of(rows: pa.Table) -> list[np.ndarray]:
+def _sets_of(rows: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in rows.column("set").cast(pa.large_binary()).to_pylist()]
 
 
@@ -332,17 +362,19 @@ def near_edges(docs: DataFrame, sets: DataFrame) -> DataFrame:
     connected. sets: node, set_name, n, sketch, prefix and doc_id, one row for each set."""
     spark = docs.sparkSession
     member = memberships(sets)
-    sizes = member.groupBy("pivot").count().filter(F.col("count") > REGION)
-    small = member.join(sizes, "pivot", "left_anti")
+    sizes = C.stored(member.groupBy("pivot").count().filter(F.col("count") > REGION))
+    small = _sized(member.join(sizes, "pivot", "left_anti"), sets)
     large = member.join(sizes, "pivot")
 
     def may_link(rows):
-        keep = partnered(rows.column("n").to_numpy(), rows.column("sketch").to_pylist())
+        here = rows.column("pivot")[0].as_py()
+        before = [{p for p in told if p < here} for told in rows.column("told").to_pylist()]
+        keep = partnered(rows.column("n").to_numpy(), rows.column("sketch").to_pylist(), before)
         if keep.any():
             yield from rows.select(["pivot", "node"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
-    described_small = small.join(sets.select("node", "n", "sketch"), "node")
-    kept = _by_key(described_small.select("pivot", "node", "n", "sketch"), "pivot", may_link, "pivot bigint, node bigint")
+    described_small = small.join(_first_regions(member), "node").join(sets.select("node", "sketch"), "node")
+    kept = _by_key(described_small.select("pivot", "node", "n", "told", "sketch"), "pivot", may_link, "pivot bigint, node bigint")
     kept = C.stored(kept.withColumn("count", F.lit(0).cast("bigint"))
                     .unionByName(large.select("pivot", "node", "count")))
     # Without the documents that have no partner, more regions lie in others.
@@ -385,54 +417,79 @@ def _large(rows: DataFrame) -> DataFrame:
 
     Round by round some pivots of each region meet all its documents. Documents connected to
     the region's largest component need no pairing among themselves; the others meet every
-    document of the region, block by block."""
+    document of the region, block by block: first the sketches of all, then the sets of those that
+    may link. The sets move to the tasks that compare them, and sizes, sketches and numbers to
+    the others."""
     parts = F.ceil(F.col("count") / REGION).cast("bigint")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("node", "pivot"), parts)).select("pivot", "node", "set", "count", "salt")
     found = None
 
+    def small(batches):
+        for batch in batches:
+            made = _sets_of(batch)
+            yield from C.to_batches({**{c: batch.column(c) for c in ("pivot", "node", "count", "salt")},
+                                     "n": pa.array([x.size for x in made], pa.int64()),
+                                     "sketch": pa.array([sketch(x, sketch_bits(x.size)).tobytes() for x in made], pa.binary())})
+
+    keys = C.stored(C.map_batches(rows.select("pivot", "node", "count", "salt", "set"), small,
+                                  "pivot bigint, node bigint, count bigint, salt bigint, n bigint, sketch binary"))
+
+    def heads_first(table):
+        head = np.array(table.column("head").to_pylist(), bool)
+        return pa.concat_tables([table.filter(pa.array(head)), table.filter(pa.array(~head))]).combine_chunks(), int(head.sum())
+
     def meet(table):
         """The head rows of a task against all its rows."""
-        head = np.array(table.column("head").to_pylist(), bool)
-        table = pa.concat_tables([table.filter(pa.array(head)), table.filter(pa.array(~head))]).combine_chunks()
+        table, first = heads_first(table)
         node = table.column("node").to_numpy()
         region = Region(_sets_of(table))
-        region.leaf(np.arange(node.size), np.zeros((0, node.size)), int(head.sum()))
+        region.leaf(np.arange(node.size), np.zeros((0, node.size)), first)
         yield from _edges(node, region)
 
+    def may_meet(table):
+        """The rows of a task that may link with a head row, or the other way round."""
+        keep = partnered(table.column("n").to_numpy(), table.column("sketch").to_pylist(),
+                         head=np.array(table.column("head").to_pylist(), bool), node=table.column("node").to_numpy())
+        if keep.any():
+            yield from (table.select(["pivot", "node", "task", "head"]).filter(pa.array(keep)).combine_chunks()
+                        .to_batches(max_chunksize=1 << 16))
+
     every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
-    open_rows = rows
+    open_keys = keys
     for turn in range(STAR_ROUNDS):
         # Pivots: the first ones by hash among the documents outside the largest component.
         order = Window.partitionBy("pivot").orderBy(F.xxhash64("node", F.lit(turn)), "node")
-        heads = (open_rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= 2 * PIVOTS)
-                 .withColumn("salt", every_salt))
-        both = (heads.select("pivot", "salt", "node", "set", F.lit(True).alias("head"))
-                .unionByName(rows.join(heads.select("pivot", "node").distinct(), ["pivot", "node"], "left_anti")
+        heads = C.stored(open_keys.select("pivot", "node").withColumn("rank", F.row_number().over(order))
+                         .filter(F.col("rank") <= 2 * PIVOTS).select("pivot", "node").distinct())
+        both = (rows.join(heads, ["pivot", "node"]).withColumn("salt", every_salt)
+                .select("pivot", "salt", "node", "set", F.lit(True).alias("head"))
+                .unionByName(rows.join(heads, ["pivot", "node"], "left_anti")
                              .select("pivot", "salt", "node", "set", F.lit(False).alias("head")))
                 .withColumn("task", F.xxhash64("pivot", "salt")))
         edges = C.stored(_by_key(both.select("task", "node", "set", "head"), "task", meet, EDGES))
         found = edges if found is None else found.unionByName(edges)
         # What the largest component of each region leaves out.
         roots = G.components(found)
-        named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = (keys.select("pivot", "node", "count").join(roots, "node", "left")
+                 .withColumn("root", F.coalesce("root", "node")))
         top = (named.groupBy("pivot", "root").count().groupBy("pivot")
                .agg(F.max(F.struct("count", "root")).alias("top")).select("pivot", F.col("top.root").alias("top")))
-        open_rows = C.stored(named.join(top, "pivot").filter(F.col("root") != F.col("top"))
-                             .select("pivot", "node", "set", "count", "salt"))
-        if open_rows.isEmpty():
+        open_keys = C.stored(named.join(top, "pivot").filter(F.col("root") != F.col("top")).select("pivot", "node", "count"))
+        if open_keys.isEmpty():
             return found
     # The rest, in blocks of documents outside the largest component against all.
-    number = open_rows.groupBy("pivot").agg(F.count("*").alias("open"))
+    number = open_keys.groupBy("pivot").agg(F.count("*").alias("open"))
     half = REGION // 2
-    blocks = number.withColumn("blocks", F.ceil(F.col("open") / half).cast("bigint")).select("pivot", "blocks")
-    block_of = open_rows.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("node", F.lit(-1)), F.col("blocks")))
+    blocks = C.stored(number.withColumn("blocks", F.ceil(F.col("open") / half).cast("bigint")).select("pivot", "blocks"))
+    block_of = (keys.join(open_keys.select("pivot", "node"), ["pivot", "node"]).join(blocks, "pivot")
+                .withColumn("block", F.pmod(F.xxhash64("node", F.lit(-1)), F.col("blocks"))))
     heads = block_of.withColumn("salt", every_salt)
-    rest = rows.join(blocks, "pivot").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    both = (heads.select("pivot", "block", "salt", "node", "set", F.lit(True).alias("head"))
-            .unionByName(rest.select("pivot", "block", "salt", "node", "set", F.lit(False).alias("head")))
-            .withColumn("task", F.xxhash64("pivot", "block", "salt")))
-
-    return found.unionByName(C.stored(_by_key(both.select("task", "node", "set", "head"), "task", meet, EDGES)))
+    rest = keys.join(blocks, "pivot").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    cells = ("pivot", "node", "n", "sketch", F.xxhash64("pivot", "block", "salt").alias("task"))
+    both = heads.select(*cells, F.lit(True).alias("head")).unionByName(rest.select(*cells, F.lit(False).alias("head")))
+    near = C.stored(_by_key(both, "task", may_meet, "pivot bigint, node bigint, task bigint, head boolean"))
+    left = near.join(rows.select("pivot", "node", "set"), ["pivot", "node"])
+    return found.unionByName(C.stored(_by_key(left.select("task", "node", "set", "head"), "task", meet, EDGES)))
 
 
 # --- results ----------------------------------------------------------------------------
@@ -451,15 +508,37 @@ def _leads(docs: DataFrame, least: Column) -> tuple[DataFrame, DataFrame]:
     `least` over the sets of its component, null where it links with none."""
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     every = described(docs)
-    lead = every.filter(F.col("n") > 0).groupBy("set_name").agg(F.min("doc_id").alias("lead"))
-    # One row for each set: that of its smallest id. Nodes are numbered, since small numbers
-    # take less room in a shuffle than names do.
-    sets = C.stored(every.join(lead.select("set_name", F.col("lead").alias("doc_id")), ["set_name", "doc_id"])
-                    .dropDuplicates(["set_name", "doc_id"]).withColumn("node", F.monotonically_increasing_id()))
+    lead = C.stored(every.filter(F.col("n") > 0).groupBy("set_name")
+                    .agg(F.min("doc_id").alias("lead"), F.count("*").alias("rows")))
+    # Nodes are numbered, since small numbers take less room in a shuffle than names do.
+    sets = C.stored(_one_of_each(every, lead).withColumn("node", F.monotonically_increasing_id()))
     roots = G.components(near_edges(docs, sets))
     named = roots.join(sets.select("node", "set_name", "doc_id"), "node")
     found = (named.groupBy("root").agg(least).join(named.select("root", "set_name"), "root").select("set_name", "least"))
-    return every, lead.join(found, "set_name", "left")
+    return every, lead.select("set_name", "lead").join(found, "set_name", "left")
+
+
+def _one_of_each(every: DataFrame, lead: DataFrame) -> DataFrame:
+    """One row for each set: that of its smallest id. Most sets have one row, which a bounded
+    filter on the names of the others lets pass without a shuffle."""
+    sent = every.sparkSession.sparkContext.broadcast(G.id_filter(lead.filter(F.col("rows") > 1), "set_name", hashed=True))
+
+    def chosen(batches, inside):
+        bits = sent.value
+        for batch in batches:
+            hit = G.passes(bits, batch.column("set_name").to_numpy() & (G.FILTER_BITS - 1))
+            yield batch.filter(pa.array(hit == inside))
+
+    def alone(batches):
+        return chosen(batches, False)
+
+    def others(batches):
+        return chosen(batches, True)
+
+    named = every.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    again = (C.map_batches(named, others, SETS).join(lead.select("set_name", F.col("lead").alias("doc_id")), ["set_name", "doc_id"])
+             .dropDuplicates(["set_name", "doc_id"]).select(*every.columns))
+    return C.map_batches(named, alone, SETS).unionByName(again)
 
 
 def distinct(docs: DataFrame) -> DataFrame:
