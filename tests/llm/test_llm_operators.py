@@ -129,6 +129,20 @@ def test_kept_bytes_are_what_the_digest_says(spark):
     assert all(brute.sha(bytes(r.kept)) == r.kept_sha256 for r in found)
 
 
+def test_suffixes_of_several_texts_start_at_their_anchors():
+    rng = random.Random(6)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(size)) for size in (0, 90, 11, 300, 12)]
+    window, gram = 12, 4
+    made = suffixes.Suffixes(texts, window, gram)
+    text, start, n, anchor, _ = suffixes.anchored(texts, window, gram)
+    assert set(text.tolist()) == {1, 3, 4}
+    for i, a, size, least in zip(text.tolist(), start.tolist(), n.tolist(), anchor.tolist()):
+        piece, suffix, before = made.at(i, a, size)
+        assert piece == texts[i][a:a + size + window - 1] == suffixes._text_of(suffix, before)
+        name = common.grams(np.frombuffer(piece, np.uint8).astype(np.uint64) + common.GOLD, gram).tolist()
+        assert before == name.index(min(name)) and name[before] == least
+
+
 def test_loser_tree_merges_with_shared_prefixes():
     rng = random.Random(5)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(0, 30)))

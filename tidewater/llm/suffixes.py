@@ -86,11 +86,22 @@ def _is_minimum(name: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
 
 # --- runs -------------------------------------------------------------------------------
 
-def suffix_of(piece: bytes, gram: int) -> tuple[bytes, int]:
-    """The suffix of a segment at its anchor, and the number of bytes before the anchor."""
-    name = C.grams(np.frombuffer(piece, np.uint8).astype(np.uint64) + C.GOLD, gram)
-    at = int(name.argmin())
-    return piece[at:] + piece[:at][::-1], at
+class Suffixes:
+    """The suffixes of the segments of some texts. The names of all grams are made at once; a
+    segment only looks for the smallest of its own."""
+
+    def __init__(self, texts: list[bytes], window: int, gram: int):
+        self.texts, self.window, self.gram = texts, window, gram
+        self.first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))]).tolist()
+        self.name = C.grams(np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + C.GOLD, gram)
+
+    def at(self, text: int, start: int, n: int) -> tuple[bytes, bytes, int]:
+        """The bytes of a segment of n windows, its suffix at its anchor, and the number of bytes
+        before the anchor."""
+        place = self.first[text] + start
+        at = int(self.name[place:place + n + self.window - self.gram].argmin())
+        piece = self.texts[text][start:start + n + self.window - 1]
+        return piece, piece[at:] + piece[:at][::-1], at
 
 
 def segment_name(suffix: bytes, before: int) -> int:
@@ -193,9 +204,10 @@ def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
             text, start, size, anchor, times = anchored(texts, window, gram)
             every = (anchor & C.U(SAMPLE_EVERY - 1)) == 0
             head = np.full(anchor.size, None, object)
-            for i in np.flatnonzero(every).tolist():
-                piece = texts[text[i]][start[i]:start[i] + size[i] + window - 1]
-                head[i] = suffix_of(piece, gram)[0][:gram]
+            if every.any():
+                suffixes = Suffixes(texts, window, gram)
+                for i in np.flatnonzero(every).tolist():
+                    head[i] = suffixes.at(int(text[i]), int(start[i]), int(size[i]))[1][:gram]
             yield from C.to_batches({
                 "anchor": anchor.view(np.int64), "row": rows.column("row").take(pa.array(text)), "start": start,
                 "n": size.astype(np.int32), "times": times.astype(np.int32), "head": pa.array(head.tolist(), pa.binary())})
@@ -235,10 +247,10 @@ def _pieces(fetched: DataFrame, bounds: list[bytes], window: int, gram: int) ->
             return C.to_batches({n: pa.array(v, k) for n, v, k in zip(names, zip(*out), kinds)}) if out else ()
 
         for rows, texts in C.slices(batches):
-            for row, text, wanted in zip(rows.column("row").to_pylist(), texts, rows.column("segments").to_pylist()):
+            suffixes = Suffixes(texts, window, gram)
+            for i, (row, wanted) in enumerate(zip(rows.column("row").to_pylist(), rows.column("segments").to_pylist())):
                 for s in wanted:
-                    piece = text[s["start"]:s["start"] + s["n"] + window - 1]
-                    suffix, before = suffix_of(piece, gram)
+                    piece, suffix, before = suffixes.at(i, s["start"], s["n"])
                     held, key = (hot, piece) if s["hot"] else (cold, (suffix, before))
                     name, count = held.get(key) or (segment_name(suffix, before), 0)
                     size += 40 if count else 2 * len(piece) + 200
