@@ -67,3 +67,13 @@ def test_split_log_is_compressed_and_not_sorted(spark, tmp_path):
     assert files and all(".zstd." in f.name for f in files)
     back = layers.changes(spark, str(tmp_path / "log"))
     assert back.count() == B.order_changes(spark, SF).where(F.col("table").isNotNull()).count()
+
+
+@pytest.mark.parametrize("name", ["ads_activity", "ads_coupon"])
+def test_reports_of_amounts_join_no_names(spark, name):
+    """They read the product for its price alone, and the table has the same amounts with names."""
+    found = registry.QUERIES[name](spark, SF)
+    assert "p_retailprice" in plan(found) and "p_brand" not in plan(found) and "p_type" not in plan(found)
+    named = dws.sku_order(B.order_detail_facts(spark, SF), B.dimensions(spark, SF), registry.TRADE_WINDOW)
+    bare = dws.sku_amounts(B.order_detail_facts(spark, SF), registry.TRADE_WINDOW)
+    assert named.select(*bare.columns).exceptAll(bare).isEmpty() and bare.exceptAll(named.select(*bare.columns)).isEmpty()

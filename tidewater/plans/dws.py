@@ -302,6 +302,16 @@ def sku_order(details: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW
         rows = delta_correct(sku_facts(details), "id", SKU_AMOUNTS, ttl=delta_ttl)
         table = tumble(rows, size, ["sku_id"], sums(*SKU_AMOUNTS), day_from="end")
         return joins.enrich_sku(table, dims)
+    return stamped(joins.enrich_sku(_sku_windows(details, size), dims), day_from="end")
+
+
+def sku_amounts(details: DataFrame, size: str = WINDOW) -> DataFrame:
+    """The same table of a batch without the product's names, for readers that want amounts alone.
+    The names are left joins on unique ids, which neither add nor drop a row, but Spark cannot
+    know that and would shuffle the table for them."""
+    return stamped(_sku_windows(details, size), day_from="end")
+
+
+def _sku_windows(details: DataFrame, size: str) -> DataFrame:
     rows = state.delta_sums(sku_deltas(details), SKU_AMOUNTS, SKU_CARRY)
-    table = grouped(rows, size, ["sku_id"], sums(*SKU_AMOUNTS))
-    return stamped(joins.enrich_sku(table, dims), day_from="end")
+    return grouped(rows, size, ["sku_id"], sums(*SKU_AMOUNTS))
