@@ -129,6 +129,32 @@ def test_kept_bytes_are_what_the_digest_says(spark):
     assert all(brute.sha(bytes(r.kept)) == r.kept_sha256 for r in found)
 
 
+def around(passage, n, seed=2):
+    """Texts of their own around one passage; every third occurs twice."""
+    rng = random.Random(seed)
+    own = ["".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(n)]
+    rows = [(i, text[:200] + passage + text[200:]) for i, text in enumerate(own)]
+    return rows + [(n + i, text) for i, text in rows[::3]]
+
+
+def test_segments_of_a_frequent_anchor_fall_apart_in_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 20)
+    rng = random.Random(7)
+    rows = around("".join(rng.choice("ijklmn ") for _ in range(500)), 60)
+    df, made = spark.createDataFrame(rows, DOCS), []
+    plain = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda *a, **b: made.append(plain(*a, **b)) or made[-1])
+    assert got(suffixes.removed(df)) == brute.repeated_bytes(rows, 200)
+    # A text has 700 windows, of which 300 lie across an edge of the passage; 40 at an edge share 162 bytes.
+    assert max(m.count() for m in made) < 80 * len(rows)
+
+
+def test_texts_without_repeats_pass_one_worker(spark):
+    found = suffixes.removed(spark.createDataFrame(around("passage " * 60, 9), DOCS))
+    # Two for the texts that a shuffle parts, one for the others.
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 3
+
+
 def test_suffixes_of_several_texts_start_at_their_anchors():
     rng = random.Random(6)
     texts = [bytes(rng.choice(b"abc ") for _ in range(size)) for size in (0, 90, 11, 300, 12)]

@@ -6,9 +6,8 @@ anchor, a name that depends on the content of the window alone. Equal windows th
 in segments with equal anchors, and a segment whose anchor occurs once has no repeats.
 
 Anchors are counted over all documents. The others' segments are fetched from the texts; those
-whose anchor occurs often (more than HOT times) are settled window by window, by counting
-window names, so that no task gets all segments of a frequent anchor; equal segments are
-merged first.
+whose anchor occurs often (more than HOT times) are set apart, so that no task gets all
+segments of a frequent anchor; equal segments are merged first.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from . import graph as G
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(G)
 
-#: Occurrences of an anchor from which on it is settled window by window.
+#: Occurrences of an anchor from which on its segments are set apart.
 HOT = 1000
 #: Windows of a segment; longer runs are cut.
 LONGEST = 512
@@ -112,16 +111,24 @@ def with_text(docs: DataFrame, lists: DataFrame) -> DataFrame:
 
 def chosen(rows: DataFrame, ids: DataFrame, column: str, inside: bool) -> DataFrame:
     """The rows whose key may be (or surely is not) among the ids."""
-    sent = rows.sparkSession.sparkContext.broadcast(G.id_filter(ids, column))
+    return filtered(rows, sent_filter(ids, column), column, inside)
 
-    def work(batches):
-        bits = sent.value
-        for batch in batches:
-            hit = G.passes(bits, batch.column("_place").to_numpy())
-            yield batch.filter(pa.array(hit == inside))
 
+def sent_filter(ids: DataFrame, column: str):
+    return ids.sparkSession.sparkContext.broadcast(G.id_filter(ids, column))
+
+
+def filtered(rows: DataFrame, sent, column: str, inside: bool) -> DataFrame:
+    """chosen() with a filter that was sent before."""
     placed = rows.withColumn("_place", G.place_in_filter(column))
-    return C.map_batches(placed, work, placed.schema).drop("_place")
+    return C.map_batches(placed, lambda batches: passing(batches, sent.value, inside), placed.schema).drop("_place")
+
+
+def passing(batches, bits: np.ndarray, inside: bool):
+    """What is left of batches with the place of their keys in the filter."""
+    for batch in batches:
+        hit = G.passes(bits, batch.column("_place").to_numpy())
+        yield batch.filter(pa.array(hit == inside))
 
 
 def intervals(mask: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
