@@ -149,8 +149,9 @@ def test_segments_of_a_frequent_anchor_fall_apart_in_few_rows(spark, monkeypatch
     assert max(m.count() for m in made) < 80 * len(rows)
 
 
-def test_texts_without_repeats_pass_one_worker(spark):
-    found = suffixes.removed(spark.createDataFrame(around("passage " * 60, 9), DOCS))
+@pytest.mark.parametrize("operator", [suffixes, recompress])
+def test_texts_without_repeats_pass_one_worker(spark, operator):
+    found = operator.removed(spark.createDataFrame(around("passage " * 60, 9), DOCS))
     # Two for the texts that a shuffle parts, one for the others.
     assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 3
 

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -242,11 +243,13 @@ def spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, phrase: i
                                (F.col("start") + F.col("stop")).alias("stop"))).alias("spans")))
 
 
-def _finished(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
+def _finished(rows: DataFrame, window: int, with_text: bool, sent=None) -> DataFrame:
+    """The result for rows with spans; or, if a filter is given, for those outside it, which
+    have none. The filter is tried here, as a step of its own would take a second worker."""
     def work(batches):
-        for table, texts in C.slices(batches):
+        for table, texts in C.slices(R.passing(batches, sent.value, False) if sent else batches):
             out = []
-            for text, found in zip(texts, table.column("spans").to_pylist()):
+            for text, found in zip(texts, repeat(None) if sent else table.column("spans").to_pylist()):
                 words = text.split()
                 kept, at = [], 0
                 for s in sorted(found or [], key=lambda s: s["begin"]):
@@ -260,7 +263,8 @@ def _finished(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
             yield from C.to_batches({"doc_id": table.column("doc_id"), "n_words": pa.array(n, pa.int64()),
                                      "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(sha, pa.string()), **more})
 
-    return C.map_batches(rows.select("doc_id", "text", "spans"), work, RESULT + ", kept string" * with_text)
+    where = G.place_in_filter("row").alias("_place") if sent else "spans"
+    return C.map_batches(rows.select("doc_id", "text", where), work, RESULT + ", kept string" * with_text)
 
 
 def removed(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, phrase: int = PHRASE,
@@ -269,6 +273,6 @@ def removed(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, phrase:
     blank, as well, if asked for."""
     docs = R.keyed(docs)
     found = spans(docs, window, rounds, phrase)
-    touched = R.chosen(docs, found, "row", True).join(found, "row", "left")
-    others = R.chosen(docs, found, "row", False).withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType))
-    return _finished(touched, window, with_text).unionByName(_finished(others, window, with_text))
+    sent = R.sent_filter(found, "row")
+    touched = R.filtered(docs, sent, "row", True).join(found, "row", "left")
+    return _finished(touched, window, with_text).unionByName(_finished(docs, window, with_text, sent))
