@@ -2,11 +2,15 @@
 repeated rows, empty tables and columns with clashing names."""
 
 import os
+import pathlib
 import random
 import sys
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -333,6 +337,41 @@ def test_large_regions_of_unlinked_documents(spark, monkeypatch):
     assert got(jaccard.components(spark.createDataFrame(rows, DOCS).repartition(3))) == brute.jaccard(rows)
 
 
+def test_index_packs_hold_all_entries():
+    rng = np.random.default_rng(4)
+    low = (1 << 33) + np.arange(900)
+    node, s = np.repeat(low, 20), rng.integers(0, 1 << jaccard.INDEX_BITS, 18_000, dtype=np.uint64)
+    s[rng.integers(0, s.size, 3000)] = s[rng.integers(0, s.size, 3000)]
+    made = [pa.Table.from_batches(jaccard.packs(node[part], s[part])) for part in (slice(0, 9000), slice(9000, None))]
+    table = pa.concat_tables(made)
+    assert sum(map(len, table.column("data").to_pylist())) == 6 * s.size
+    found = set()
+    for bucket in set(table.column("bucket").to_pylist()):
+        part = table.filter(pa.compute.equal(table.column("bucket"), bucket))
+        for batch in jaccard.regions(part):
+            found |= set(zip(batch.column("pivot").to_pylist(), batch.column("node").to_pylist()))
+    holders = {}
+    for x, y in zip(s.tolist(), node.tolist()):
+        holders.setdefault(x, set()).add(y)
+    assert found == {(min(h), y) for h in holders.values() if len(h) > 1 for y in h} and found
+
+
+def shuffle_bytes(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f: f.stat().st_size for d in folders for f in pathlib.Path(d.getPath()).glob("*/shuffle_*.data")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    before = shuffle_bytes(spark)
+    assert got(common.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()).agg(F.sum("count"))) == [(1000,)]
+    for _ in range(100):
+        left = [n for f, n in shuffle_bytes(spark).items() if f not in before]
+        if sum(left) < 1000:
+            break
+        time.sleep(0.1)
+    assert sum(left) < 1000 and spark.conf.get(common.CLEANUP, "false") != "true"
+
+
 def test_frequent_shingles_change_no_result(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT_FROM", 2)
     rows = near_copies(9)
