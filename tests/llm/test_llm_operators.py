@@ -372,6 +372,16 @@ def test_stored_tables_leave_no_shuffle_files(spark):
     assert sum(left) < 1000 and spark.conf.get(common.CLEANUP, "false") != "true"
 
 
+def test_copies_go_without_a_shuffle_of_their_texts(spark):
+    rng = random.Random(5)
+    text = " ".join(f"{rng.randrange(10 ** 12)}" for _ in range(2000))
+    docs = spark.createDataFrame([(i, text + " " * i) for i in range(200)], DOCS).repartition(4)
+    found = jaccard.distinct(common.stored(docs))
+    before = shuffle_bytes(spark)
+    assert [r.doc_id for r in found.collect()] == [0]
+    assert sum(n for f, n in shuffle_bytes(spark).items() if f not in before) < 500_000
+
+
 def test_frequent_shingles_change_no_result(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT_FROM", 2)
     rows = near_copies(9)

@@ -601,9 +601,10 @@ def distinct(docs: DataFrame) -> DataFrame:
     and set: rows of one id that do not link are results of their own, and of rows of one id
     and set one stays. Rows with a null id stay.
 
-    Most documents are alone: a bounded filter on the ids that are not lets them pass
-    without a shuffle of their texts; those that it finds are joined with the exact ids and
-    sets."""
+    Most documents are alone: a bounded filter on the ids that are not lets them pass without a
+    shuffle of their texts. Of those that it finds most are copies that go: a second one, on the
+    sets of the rows among them that stay, drops them where they are, and only the others'
+    texts are joined with the exact ids and sets."""
     return C.shielded(docs, _distinct, "_place", "_set")
 
 
@@ -618,6 +619,15 @@ def _distinct(docs: DataFrame) -> DataFrame:
     fate = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_and("stays").alias("stays"))
     fate = C.stored(fate.filter((F.col("rows") > 1) | ~F.col("stays")).select("doc_id"))
     sent = docs.sparkSession.sparkContext.broadcast(G.id_filter(fate, "doc_id"))
+
+    def met(batches):
+        bits = sent.value
+        for batch in batches:
+            yield batch.filter(pa.array(G.passes(bits, batch.column("place").to_numpy()))).select(["set_name"])
+
+    staying = found.filter("stays").select("set_name", G.place_in_filter("doc_id").alias("place"))
+    staying = C.map_batches(staying, met, "set_name bigint")
+    sent_sets = docs.sparkSession.sparkContext.broadcast(G.id_filter(staying, "set_name", hashed=True))
     placed = docs.withColumn("_place", F.when(F.col("doc_id").isNotNull(), G.place_in_filter("doc_id")))
 
     def chosen(batches, inside):
@@ -633,7 +643,8 @@ def _distinct(docs: DataFrame) -> DataFrame:
     def others(batches):
         for rows, texts in C.slices(chosen(batches, True)):
             names = pa.array([set_name(x) for x in shingle_sets(texts)], pa.int64())
-            yield from rows.append_column("_set", names).to_batches()
+            keep = G.passes(sent_sets.value, names.to_numpy() & (G.FILTER_BITS - 1))
+            yield from rows.append_column("_set", names).filter(pa.array(keep)).to_batches()
 
     lost = found.filter(~F.col("stays")).select("doc_id", F.col("set_name").alias("_set"))
     named = C.map_batches(placed, others, StructType([*placed.schema.fields, StructField("_set", LongType())]))
