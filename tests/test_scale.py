@@ -1,5 +1,7 @@
 """What moves between tasks, and what is written."""
 
+import pathlib
+import time
 from decimal import Decimal
 
 import pytest
@@ -7,8 +9,8 @@ from pyspark.sql import functions as F
 
 from test_semantics import SF, deltas, expected_deltas, got_deltas, plan
 from tidewater import bindings as B
-from tidewater import registry
-from tidewater.plans import dws
+from tidewater import registry, session
+from tidewater.plans import dwd, dws
 from tidewater.sources import layers
 
 
@@ -77,3 +79,53 @@ def test_reports_of_amounts_join_no_names(spark, name):
     named = dws.sku_order(B.order_detail_facts(spark, SF), B.dimensions(spark, SF), registry.TRADE_WINDOW)
     bare = dws.sku_amounts(B.order_detail_facts(spark, SF), registry.TRADE_WINDOW)
     assert named.select(*bare.columns).exceptAll(bare).isEmpty() and bare.exceptAll(named.select(*bare.columns)).isEmpty()
+
+
+def test_details_move_once_for_their_order(spark, shuffled):
+    """The order, the promotions and the cancelling of an order find the details where they are."""
+    text = first_plan(registry.QUERIES["dwd_trade_order_cancel"](spark, SF))
+    assert text.count("Exchange hashpartitioning(order_id#") == 1
+    assert "Exchange hashpartitioning(promoted_order#" in text
+
+
+def test_promotions_of_repeated_and_missing_ids(spark, shuffled):
+    """The facts are those of joins row by row, also where ids come twice, are null or have two orders."""
+    def change(table, **data):
+        return ("shop", table, "insert", data, None, 7)
+    rows = [change("order_detail", id=i, order_id=o, sku_id=s, sku_num="2", order_price="1.5")
+            for i, o, s in (("a", "1", "x"), ("a", "1", "x"), ("a", "2", "y"), ("b", "1", "z"), ("c", "9", "z"),
+                            (None, "1", "n"), ("d", None, "n"), ("e", "2", "w"), ("f", "2", "w"))]
+    rows += [change("order_info", id=i, user_id=u) for i, u in (("1", "u"), ("1", "v"), ("2", "u"), (None, "n"))]
+    rows += [change("order_detail_activity", order_detail_id=i, activity_id=n)
+             for i, n in (("a", "p"), ("a", "q"), ("e", "r"), (None, "s"), ("c", "t"))]
+    rows += [change("order_detail_coupon", order_detail_id=i, coupon_id=n)
+             for i, n in (("a", "k"), ("a", "l"), ("f", "m"), (None, "o"), ("d", "p"))]
+    log = spark.createDataFrame(rows, "database string, table string, type string, data map<string,string>, "
+                                "old map<string,string>, ts long").repartition(3)
+    od, oi, act, cou = dwd._detail_parts(log, "shop")
+    plain = (od.join(oi, F.col("order_id") == F.col("oi_id"))
+             .join(act, F.col("id") == F.col("act_detail"), "left").join(cou, F.col("id") == F.col("cou_detail"), "left"))
+    want = sorted(map(tuple, dwd._detail_facts(plain).collect()), key=repr)
+    assert sorted(map(tuple, dwd.order_detail(log, "shop").collect()), key=repr) == want and len(want) == 26
+
+
+def test_stored_days_are_not_dealt_and_leave_no_shuffles(spark, tmp_path):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def shuffles():
+        return {f: f.stat().st_size for d in folders for f in pathlib.Path(d.getPath()).glob("*/shuffle_*.data")}
+    before, seen = shuffles(), []
+    table = (spark.range(0, 4000, 1, 4).groupBy((F.col("id") % 3).alias("k"), (F.col("id") % 2).cast("string").alias("cur_date"))
+             .agg(F.sum("id").alias("n")))
+    write = layers._open_files
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(layers, "_open_files", lambda s, most=None: seen.append(most) or write(s, most))
+        layers.put_days(table, str(tmp_path / "days"))
+    assert seen == [layers.OPEN_DAYS]
+    for _ in range(100):
+        left = sum(n for f, n in shuffles().items() if f not in before)
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(session.CLEANUP, "false") != "true"
+    assert layers.days(spark, str(tmp_path / "days"), table.schema).agg(F.sum("n")).first()[0] == sum(range(4000))

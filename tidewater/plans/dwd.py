@@ -103,8 +103,8 @@ def cart_add(log: DataFrame, database: str) -> DataFrame:
         "ts")
 
 
-def _detail_parts(log: DataFrame, database: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Order details with their order, and the activities and coupons of details."""
+def _detail_parts(log: DataFrame, database: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Order details, orders, and the activities and coupons of details."""
     od = _table(log, database, "order_detail", "insert", None, "od_", "id", "order_id",
                 "sku_id", "sku_name", "create_time", "sku_num", "order_price",
                 "split_total_amount", "split_activity_amount", "split_coupon_amount")
@@ -114,7 +114,22 @@ def _detail_parts(log: DataFrame, database: str) -> tuple[DataFrame, DataFrame,
                  "activity_id", "activity_rule_id", act_detail="order_detail_id")
     cou = _table(log, database, "order_detail_coupon", "insert", None, "cou_",
                  "coupon_id", cou_detail="order_detail_id")
-    return od.join(oi, _near(od, F.col("order_id") == F.col("oi_id"), "od_et", "oi_et")), act, cou
+    return od, oi, act, cou
+
+
+def _with_order(od: DataFrame, oi: DataFrame) -> DataFrame:
+    return od.join(oi, _near(od, F.col("order_id") == F.col("oi_id"), "od_et", "oi_et"))
+
+
+def _promotions(od: DataFrame, act: DataFrame, cou: DataFrame) -> DataFrame:
+    """Activities and coupons with the order of their detail. Only ids move for it, and the details
+    themselves can stay where their order is."""
+    pairs = od.select(F.col("id").alias("promoted"), F.col("order_id").alias("promoted_order"))
+    pairs = pairs.where(F.col("promoted").isNotNull() & F.col("promoted_order").isNotNull())
+    pairs = pairs.repartition("promoted").distinct()
+    found = (pairs.join(act.drop("act_ts", "act_et"), F.col("promoted") == F.col("act_detail"), "left")
+             .join(cou.drop("cou_ts", "cou_et"), F.col("promoted") == F.col("cou_detail"), "left"))
+    return found.where(F.col("act_detail").isNotNull() | F.col("cou_detail").isNotNull())
 
 
 def _detail_facts(rows: DataFrame, *more: str) -> DataFrame:
@@ -129,7 +144,12 @@ def _detail_facts(rows: DataFrame, *more: str) -> DataFrame:
 
 def order_detail(log: DataFrame, database: str) -> DataFrame:
     """Order details with their order, and activity and coupon where there is one."""
-    rows, act, cou = _detail_parts(log, database)
+    od, oi, act, cou = _detail_parts(log, database)
+    rows = _with_order(od, oi)
+    if not rows.isStreaming:
+        return _detail_facts(rows.join(
+            _promotions(od, act, cou),
+            (F.col("order_id") == F.col("promoted_order")) & (F.col("id") == F.col("promoted")), "left"))
     rows = rows.join(act, _near(rows, F.col("id") == F.col("act_detail"), "od_et", "act_et"),
                      "left")
     rows = rows.join(cou, _near(rows, F.col("id") == F.col("cou_detail"), "od_et", "cou_et"),
@@ -142,8 +162,8 @@ def order_detail_early(log: DataFrame, database: str, ttl: str | None = "5 secon
     when its activity or coupon arrives. Kept by id, the last in the order of ts and _version
     (DETAIL_KEYS, DETAIL_ORDER), the rows become the table that order_detail gives."""
     from ..streaming.live import early_left
-    rows, act, cou = _detail_parts(log, database)
-    found = early_left(rows.drop("oi_id", "oi_ts", "oi_et"), "id", [
+    od, oi, act, cou = _detail_parts(log, database)
+    found = early_left(_with_order(od, oi).drop("oi_id", "oi_ts", "oi_et"), "id", [
         (act.select("act_detail", "activity_id", "activity_rule_id"), "act_detail"),
         (cou.select("cou_detail", "coupon_id"), "cou_detail")], ttl)
     return _detail_facts(found, "_version")
